@@ -336,7 +336,7 @@ def _(v):
 
 @query(
     "training_window_start",
-    """SELECT o_orderkey, o_orderdate::TIMESTAMP - INTERVAL 720 DAY AS start_days,
+    """SELECT o_orderkey, (o_orderdate::DATE - 720)::TIMESTAMP AS start_days,
               (o_orderdate - INTERVAL 24 MONTH)::DATE::TIMESTAMP AS start_calendar FROM orders""",
 )
 def _(v):
