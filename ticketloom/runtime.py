@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,10 +47,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
+_CUTS: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate result reliably and drop its lineage.
+    """Write an intermediate result to the shared checkpoint folder and go on from the written table.
 
-    The copy lies in shared storage, so a lost executor costs a re-read, not a recomputation of every round before.
+    A lost executor costs a re-read, not a recomputation of every round before. A written table is used instead of
+    ``checkpoint()`` because iterative plans would otherwise inherit the constraints of all earlier rounds, which grow
+    with every round; it also gives the planner exact sizes.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _CUTS.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_cuts(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far; frames that still read them become unusable."""
+    conf = spark._jsc.hadoopConfiguration()
+    n = 0
+    while _CUTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_CUTS.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
