@@ -37,7 +37,10 @@ def unit(a: Column) -> Column:
 
 
 def weighted_concat(parts: list[tuple[Column, float]]) -> Column:
-    return F.concat(*[F.transform(v, lambda x, w=w: x * F.lit(w)) for v, w in parts])
+    def scaled(v: Column, weight: float) -> Column:
+        return F.transform(v, lambda x: x * weight)
+
+    return F.concat(*[scaled(v, w) for v, w in parts])
 
 
 def to_json_text(v: Column) -> Column:

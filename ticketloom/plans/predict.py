@@ -1,11 +1,20 @@
-"""Scoring job."""
+"""Scoring job: new incidents of all centers against the latest model of their center, in one pass."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketloom import schemas
+from ticketloom.functions import scoring, vectors
+from ticketloom.operators import density, governance, lookups, reduction, scans
+from ticketloom.sources import sinks
+from ticketloom.sources.tables import Store
+
 FAILED_LABEL = "Prediction_Failed"
+MODEL = ["tech_center", "model_version", "model_hash"]
 
 
 def with_failure_records(predictions: DataFrame, failed: Column) -> DataFrame:
@@ -22,3 +31,76 @@ def with_failure_records(predictions: DataFrame, failed: Column) -> DataFrame:
         .withColumn("predicted_cluster_label", pick("predicted_cluster_label", FAILED_LABEL))
         .withColumn("confidence_score", pick("confidence_score", 0.0))
     )
+
+
+def score(store: Store, incidents: DataFrame, as_of: Column, min_samples: int = density.MIN_SAMPLES,
+          keep_vectors: bool = False) -> DataFrame:
+    """Predictions for incidents with ``number, tech_center, embedding``; every input row gets a record."""
+    cycles = store.read("training_cycle_metadata")
+    latest = governance.latest_per_center(cycles).select(*MODEL, "cluster_results_table", "hdbscan_artifact_path")
+    on_latest = latest.select(*MODEL)
+    axes = store.read("model_components").join(on_latest, MODEL, "left_semi")
+    trained = store.read("model_points").join(on_latest, MODEL, "left_semi")
+    info = store.read("model_labels").join(on_latest, MODEL, "left_semi")
+    domain_rows = store.read("model_domains").join(on_latest, MODEL, "left_semi")
+
+    usable = incidents.where(vectors.finite(F.col("embedding"))).join(
+        axes.select("tech_center").distinct(), "tech_center", "left_semi"
+    )
+    placed = reduction.project(usable.select("tech_center", "number", "embedding"), axes, ["tech_center"], "embedding")
+    found = density.predict(
+        placed.select("tech_center", "number", "reduced"),
+        trained.select("tech_center", "number", "reduced", "cluster_id", "core_distance", "lambda"),
+        ["tech_center"], "number", "reduced", min_samples,
+    )
+    named = lookups.label_predictions(found, info, domain_rows.select("tech_center", "cluster_id", "domain_name"), ["tech_center"])
+    ids = domain_rows.select("tech_center", "cluster_id", F.col("domain_id").alias("predicted_domain_id"))
+    named = named.join(ids, ["tech_center", "cluster_id"], "left")
+    base = incidents.select("number", "tech_center", *(["embedding"] if keep_vectors else []))
+    joined = base.join(latest.drop("model_version", "model_hash"), "tech_center", "left").join(named, ["tech_center", "number"], "left")
+    records = joined.select(
+        F.col("number").cast("string").alias("incident_id"), "tech_center",
+        F.col("cluster_id").alias("predicted_cluster_id"), F.col("cluster_name").alias("predicted_cluster_label"),
+        scoring.confidence(F.col("cluster_id"), 1.0 - F.col("strength")).alias("confidence_score"),
+        "predicted_domain_id", F.col("domain").alias("predicted_domain_name"), as_of.alias("prediction_timestamp"),
+        F.col("cluster_results_table").alias("model_table_used"), F.col("hdbscan_artifact_path").alias("blob_model_path"),
+        "distance", F.col("cluster_id").isNull().alias("_failed"), *(["embedding"] if keep_vectors else []),
+    )
+    out = with_failure_records(records, F.col("_failed")).drop("_failed")
+    return out.withColumn("predicted_domain_name", F.when(F.col("status") == "failed", "Error").otherwise(F.col("predicted_domain_name"))).withColumn(
+        "confidence_band", scoring.confidence_band(F.col("confidence_score"), F.col("distance"))
+    )
+
+
+def run_predictions(store: Store, now: datetime, hours: int = 2, json_path: str | None = None, **options) -> DataFrame:
+    """Score everything newer than each center's watermark, append the predictions, then advance the watermarks."""
+    rows = store.read("preprocessed_incidents")
+    fresh = scans.since_watermark_or_default(rows, store.read("prediction_watermarks"), now, hours)
+    return _score_and_store(store, fresh, now, json_path, **options)
+
+
+def run_prediction_cycle(store: Store, now: datetime, centers: list[str] | None = None, batch: int | None = 500,
+                         days: int = 7, **options) -> DataFrame:
+    """Score a batch of recent incidents that have no prediction yet, newest first."""
+    rows = store.read("preprocessed_incidents")
+    done = store.read("incident_predictions").select(F.col("incident_id").alias("number"))
+    todo = scans.not_yet_predicted(rows, done, now, centers, days, batch, key="number")
+    return _score_and_store(store, todo, now, None, **options)
+
+
+def predict_one(store: Store, incident: DataFrame, now: datetime, **options) -> DataFrame:
+    """A single incident takes the same way as a batch."""
+    return score(store, incident, F.lit(now).cast("timestamp"), **options)
+
+
+def _score_and_store(store: Store, rows: DataFrame, now: datetime, json_path: str | None, **options) -> DataFrame:
+    from ticketloom.runtime import cut
+
+    rows = cut(rows)
+    predictions = cut(score(store, rows, F.lit(now).cast("timestamp"), **options))
+    sinks.save_predictions(predictions, store)
+    if json_path:
+        sinks.write_json(sinks.without_vectors(predictions), json_path, "tech_center")
+    marks = governance.prediction_watermarks(rows, now)
+    sinks.write_table(schemas.conform(marks, schemas.PREDICTION_WATERMARKS), store, "prediction_watermarks")
+    return predictions
