@@ -303,14 +303,17 @@ class Hierarchy:
 
 def _levels(tree: SpanningTree, limit: int) -> DataFrame:
     """Cut distances per key, largest first: all distinct weights if there are few, else that many quantiles."""
-    weights = tree.edges.groupBy("_k").agg(F.approx_count_distinct("w", 0.02).alias("_n"))
-    distinct = tree.edges.select("_k", "w").distinct()
+    # equal vectors join at their core distance, so that is a weight of the tree as well
+    twins = tree.nodes.where("_m > 1").select("_k", F.col("_core").alias("w"))
+    edges = tree.edges.select("_k", "w").unionByName(twins)
+    weights = edges.groupBy("_k").agg(F.approx_count_distinct("w", 0.02).alias("_n"))
+    distinct = edges.distinct()
     few = weights.where(F.col("_n") <= 2 * limit).select("_k")
     counted = distinct.join(few, "_k", "left_semi").groupBy("_k").agg(F.count("*").alias("_c")).where(F.col("_c") <= limit)
     exact = distinct.join(counted.select("_k"), "_k", "left_semi")
     fractions = [i / (limit - 1) for i in range(limit)]
     rough = (
-        tree.edges.join(counted.select("_k"), "_k", "left_anti")
+        edges.join(counted.select("_k"), "_k", "left_anti")
         .groupBy("_k")
         .agg(F.percentile_approx("w", fractions, 100_000).alias("_q"))
         .select("_k", F.explode(F.array_distinct("_q")).alias("w"))

@@ -15,6 +15,20 @@ from ticketloom.sources.tables import Store
 
 FAILED_LABEL = "Prediction_Failed"
 MODEL = ["tech_center", "model_version", "model_hash"]
+_MODEL_FIELDS = "tech_center string, model_version string, model_hash string, "
+MODEL_TABLES = {
+    "model_components": _MODEL_FIELDS + "component int, mean array<double>, loadings array<double>, variance double",
+    "model_points": _MODEL_FIELDS + "number string, reduced array<double>, cluster_id int, probability double, "
+    "lambda double, outlier_score double, core_distance double",
+    "model_labels": _MODEL_FIELDS + "cluster_id int, size long, primary_label string, description string, "
+    "keywords array<string>, domain string",
+    "model_domains": _MODEL_FIELDS + "cluster_id int, domain_id int, domain_name string, domain_description string",
+}
+
+
+def load_model(store: Store, name: str, models: DataFrame) -> DataFrame:
+    """Model table restricted to the given models; the partition columns make it a pruned read."""
+    return store.read(name, MODEL_TABLES[name]).join(models.select(*MODEL), MODEL, "left_semi")
 
 
 def with_failure_records(predictions: DataFrame, failed: Column) -> DataFrame:
@@ -38,11 +52,10 @@ def score(store: Store, incidents: DataFrame, as_of: Column, min_samples: int =
     """Predictions for incidents with ``number, tech_center, embedding``; every input row gets a record."""
     cycles = store.read("training_cycle_metadata")
     latest = governance.latest_per_center(cycles).select(*MODEL, "cluster_results_table", "hdbscan_artifact_path")
-    on_latest = latest.select(*MODEL)
-    axes = store.read("model_components").join(on_latest, MODEL, "left_semi")
-    trained = store.read("model_points").join(on_latest, MODEL, "left_semi")
-    info = store.read("model_labels").join(on_latest, MODEL, "left_semi")
-    domain_rows = store.read("model_domains").join(on_latest, MODEL, "left_semi")
+    axes = load_model(store, "model_components", latest)
+    trained = load_model(store, "model_points", latest)
+    info = load_model(store, "model_labels", latest)
+    domain_rows = load_model(store, "model_domains", latest)
 
     usable = incidents.where(vectors.finite(F.col("embedding"))).join(
         axes.select("tech_center").distinct(), "tech_center", "left_semi"

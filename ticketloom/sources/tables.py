@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -60,19 +59,20 @@ class Store:
         fs = jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return bool(fs.exists(jvm_path))
 
-    def read(self, name: str, schema: StructType | None = None) -> DataFrame:
-        """Stored table; one that was never written reads as empty."""
+    def read(self, name: str, schema: StructType | str | None = None, merge: bool = False) -> DataFrame:
+        """Stored table; one that was never written reads as empty.
+
+        A declared schema is applied to the files, which saves the footer scan and keeps partition values text.
+        ``merge`` asks for the union of the columns of all parts instead.
+        """
         schema = schema if schema is not None else schemas.ALL.get(name)
         if not self.exists(name):
             if schema is None:
                 raise FileNotFoundError(self.path(name))
             return self.spark.createDataFrame([], schema)
-        try:
+        if merge or schema is None:
             return self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
-        except AnalysisException:
-            if schema is None:
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     def read_or_compute(self, name: str, compute: Callable[[], DataFrame], reuse: bool = True) -> DataFrame:
         """Stage result: read if it is there, else compute, store and read back."""
