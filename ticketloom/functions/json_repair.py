@@ -32,7 +32,9 @@ END_DATE_PATTERN = r'"end_date\\?":\s*\\?"([^"\\]+)'
 
 
 def is_json(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
+    """Whether the whole text is one document; the parser alone would accept anything after a first one."""
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.try_parse_json(text).isNotNull() & F.coalesce(alone, F.lit(False))
 
 
 def unquote(text: Column) -> Column:
