@@ -123,45 +123,48 @@ def _top_level_objects(text: Column) -> Column:
 def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
     """Add the repaired document and ``repair_stage`` (``none`` where the text was fine already)."""
     raw = F.col(column)
-    staged = (
-        df.withColumn("_s0", raw)
-        .withColumn("_s1", _close(F.col("_s0")))
-        .withColumn("_s2", F.regexp_replace("_s1", r"[^\P{C}\n\r\t]", ""))
-        .withColumn("_s3", _rewrite(F.col("_s2"), STRUCTURAL_RULES + TRAILING_RULES))
-        .withColumn("_s4", _rewrite(F.col("_s2"), STRUCTURAL_RULES + COMMA_RULES + TRAILING_RULES))
-        .withColumn("_s5", F.regexp_extract("_s3", r"(?s)(\{.*\})", 1))
-    )
+    c3 = F.col("_s3")
     topics = _entries(
-        _groups(F.col("_s3"), TOPIC_PATTERN, 1),
+        _groups(c3, TOPIC_PATTERN, 1),
         F.transform(
-            F.arrays_zip(
-                _groups(F.col("_s3"), TOPIC_PATTERN, 2).alias("t"), _groups(F.col("_s3"), TOPIC_PATTERN, 3).alias("d")
-            ),
+            F.arrays_zip(_groups(c3, TOPIC_PATTERN, 2).alias("t"), _groups(c3, TOPIC_PATTERN, 3).alias("d")),
             lambda e: F.concat(
                 F.lit('{"topic":'), _quoted(e["t"]), F.lit(',"description":'), _quoted(e["d"]), F.lit("}")
             ),
         ),
     )
-    objects = F.filter(_top_level_objects(F.col("_s3")), is_json)
+    objects = F.filter(_top_level_objects(c3), is_json)
     bodies = F.filter(
         F.transform(objects, lambda o: F.trim(F.substring(o, F.lit(2), F.length(o) - 2))), lambda b: b != ""
     )
     merged = F.when(F.size(bodies) > 0, F.concat(F.lit("{"), F.array_join(bodies, ","), F.lit("}")))
-    pairs = _entries(
-        _groups(F.col("_s3"), PAIR_PATTERN, 1), F.transform(_groups(F.col("_s3"), PAIR_PATTERN, 2), _quoted)
+    pairs = _entries(_groups(c3, PAIR_PATTERN, 1), F.transform(_groups(c3, PAIR_PATTERN, 2), _quoted))
+    stages = (
+        ("none", raw),
+        ("closed", _close(F.col("_s0"))),
+        ("printable", F.regexp_replace("_s1", r"[^\P{C}\n\r\t]", "")),
+        ("structure", _rewrite(F.col("_s2"), STRUCTURAL_RULES + TRAILING_RULES)),
+        ("commas", _rewrite(F.col("_s2"), STRUCTURAL_RULES + COMMA_RULES + TRAILING_RULES)),
+        ("outer_object", F.regexp_extract("_s3", r"(?s)(\{.*\})", 1)),
+        ("topics", topics),
+        ("objects", merged),
+        ("pairs", pairs),
+    )
+    # a row that parses leaves the ladder: later rewrites are only worked out for rows still broken
+    staged = df.withColumn("repair_stage", F.lit(None).cast("string")).withColumn(out, F.lit(None).cast("string"))
+    for i, (name, rewritten) in enumerate(stages):
+        now = F.col("repair_stage").isNull() & F.coalesce(is_json(F.col(f"_s{i}")), F.lit(False))
+        staged = (
+            staged.withColumn(f"_s{i}", F.when(F.col("repair_stage").isNull(), rewritten))
+            .withColumn("_now", now)
+            .withColumn(out, F.when(F.col("_now"), F.col(f"_s{i}")).otherwise(F.col(out)))
+            .withColumn("repair_stage", F.when(F.col("_now"), name).otherwise(F.col("repair_stage")))
+        )
+    return (
+        staged.withColumn("repair_stage", F.coalesce("repair_stage", F.lit("lost")))
+        .withColumn(out, F.coalesce(out, F.lit("{}")))
+        .drop("_now", *[f"_s{i}" for i in range(len(stages))])
     )
-    staged = staged.withColumn("_s6", topics).withColumn("_s7", merged).withColumn("_s8", pairs)
-    names = ("none", "closed", "printable", "structure", "commas", "outer_object", "topics", "objects", "pairs")
-    stage = None
-    for i, name in enumerate(names):
-        ok = is_json(F.col(f"_s{i}"))
-        stage = F.when(ok, name) if stage is None else stage.when(ok, name)
-    staged = staged.withColumn("repair_stage", F.when(raw.isNull(), "lost").otherwise(stage.otherwise("lost")))
-    text = None
-    for i, name in enumerate(names):
-        hit = F.col("repair_stage") == name
-        text = F.when(hit, F.col(f"_s{i}")) if text is None else text.when(hit, F.col(f"_s{i}"))
-    return staged.withColumn(out, text.otherwise("{}")).drop(*[f"_s{i}" for i in range(len(names))])
 
 
 def missing_keys(document: Column, keys: list[str]) -> Column:

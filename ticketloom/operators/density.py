@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ticketloom.operators import neighbours as nb
 from ticketloom.operators.arrow_blocks import array, matrix, squared_distances
-from ticketloom.operators.graphs import components
+from ticketloom.operators.graphs import collapse, components
 from ticketloom.runtime import cut
 
 # Defaults of the clustering.
@@ -237,8 +237,9 @@ def spanning_tree(
         )
         best = cut(listed.unionByName(extra).groupBy("_k", "_comp").agg(F.min("_e").alias("_e")))
         tree.append(best.select("_k", "_e._a", "_e._b", "_e._wt").distinct())
-        merged = components(best.select("_k", "_e._ca", "_e._cb"), ["_k"], "_ca", "_cb")
-        new = cut(merged.select("_k", F.col("node").alias("_comp"), F.col("component").alias("_new")))
+        other_end = F.when(F.col("_e._ca") == F.col("_comp"), F.col("_e._cb")).otherwise(F.col("_e._ca"))
+        merged = collapse(best.select("_k", "_comp", other_end.alias("_to")), ["_k"], "_comp", "_to")
+        new = merged.select("_k", F.col("node").alias("_comp"), F.col("root").alias("_new"))
         comp = cut(
             comp.join(new, ["_k", "_comp"], "left").select("_k", "_id", F.coalesce("_new", "_comp").alias("_comp"))
         )

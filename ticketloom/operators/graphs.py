@@ -29,7 +29,7 @@ def components(edges: DataFrame, keys: list[str], a: str, b: str, max_rounds: in
         both = e.unionByName(e.select(*keys, F.col("_w").alias("_u"), F.col("_u").alias("_w")))
         low = both.groupBy(*keys, "_u").agg(F.least(F.min("_w"), F.col("_u")).alias("_m"))
         large = both.join(low, [*keys, "_u"]).where(F.col("_w") > F.col("_u"))
-        large = large.select(*keys, F.col("_w").alias("_u"), F.col("_m").alias("_w")).distinct()
+        large = large.select(*keys, F.col("_w").alias("_u"), F.col("_m").alias("_w"))
         down = large.groupBy(*keys, "_u").agg(F.min("_w").alias("_m"))
         small = large.join(down, [*keys, "_u"])
         small = small.where(F.col("_w") != F.col("_m")).select(*keys, F.col("_w").alias("_u"), F.col("_m").alias("_w"))
@@ -43,3 +43,28 @@ def components(edges: DataFrame, keys: list[str], a: str, b: str, max_rounds: in
     nodes = e.select(*keys, F.col("_u").alias("node"), F.col("_w").alias("component"))
     roots = e.select(*keys, F.col("_w").alias("node"), F.col("_w").alias("component")).distinct()
     return nodes.unionByName(roots)
+
+
+def collapse(pointers: DataFrame, keys: list[str], node: str, target: str) -> DataFrame:
+    """Common root of every node that points to exactly one other node: ``keys, node, root``.
+
+    Two nodes that point at each other are closed at the smaller one, then all pointers are doubled until they rest; a
+    path of length n takes log2(n) joins of one row per node.
+    """
+    p = cut(pointers.select(*keys, F.col(node).alias("_n"), F.col(target).alias("_t")))
+
+    def jump(table: DataFrame, closing: bool = False) -> DataFrame:
+        hop = table.select(*keys, F.col("_n").alias("_t"), F.col("_t").alias("_next"))
+        joined = table.join(hop, [*keys, "_t"])
+        if closing:
+            here = (F.col("_next") == F.col("_n")) & (F.col("_n") < F.col("_t"))
+            return joined.select(*keys, "_n", F.when(here, F.col("_n")).otherwise(F.col("_t")).alias("_t"))
+        return joined.select(*keys, "_n", F.col("_next").alias("_t"))
+
+    p = cut(jump(p, closing=True))
+    while True:
+        hop = p.select(*keys, F.col("_n").alias("_t"), F.col("_t").alias("_next"))
+        moving = p.join(hop, [*keys, "_t"]).where("_next <> _t")
+        if moving.isEmpty():
+            return p.select(*keys, F.col("_n").alias("node"), F.col("_t").alias("root"))
+        p = cut(jump(jump(p)))

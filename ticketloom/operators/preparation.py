@@ -33,12 +33,12 @@ def clean_and_filter(
     max_length: int = text.MAX_INPUT_CHARS,
 ) -> DataFrame:
     """Clean a text column, keep rows of the minimum length and cut over-long ones with an ellipsis."""
-    cleaned = text.fast_clean(F.col(column)) if fast else text.deep_clean(text.strip(F.col(column)))
-    return (
-        df.withColumn(column, cleaned)
-        .where(F.length(column) >= min_length)
-        .withColumn(column, text.truncate(F.col(column), max_length))
-    )
+    cleaned = text.fast_clean(F.col(column)) if fast else text.deep_clean(F.col(column))
+    # a plain filter would be pushed below the projection and clean every text twice
+    long_enough = F.filter(F.array(cleaned), lambda t: F.length(t) >= min_length)
+    return df.withColumn("_cleaned", F.explode(long_enough)).withColumn(
+        column, text.truncate(F.col("_cleaned"), max_length)
+    ).drop("_cleaned")
 
 
 def embedding_input(df: DataFrame, column: str, max_tokens: int = text.EMBEDDING_TOKENS) -> DataFrame:
@@ -125,7 +125,7 @@ def summary_statistics(df: DataFrame, keys: list[str] | None = None) -> DataFram
 
 def preparation_statistics(df: DataFrame, column: str, min_length: int = text.MIN_LENGTH) -> DataFrame:
     """Originals, cleaned and dropped rows with the success rate, in one pass."""
-    cleaned = text.deep_clean(text.strip(F.col(column)))
+    cleaned = text.deep_clean(F.col(column))
     n_ok = F.count_if(F.length(cleaned) >= min_length)
     agg = df.agg(F.count("*").alias("total_incidents"), n_ok.alias("processed_incidents"))
     return agg.withColumn("failed_incidents", F.col("total_incidents") - F.col("processed_incidents")).withColumn(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions import text
 from ticketloom.operators.scans import top_per_group
+from ticketloom.runtime import cut
 
 LABEL_TERMS = 3
 KEYWORDS = 10
@@ -27,7 +28,8 @@ def class_terms(points: DataFrame, keys: list[str], column: str, per_class: str
 
     Terms are counted map-side before they are shuffled, and the rank filter cuts each partition before the ranking.
     """
-    counts = term_counts(points.where(F.col(per_class) != -1), [*keys, per_class], column)
+    # the texts are read once; what is kept is one row per class and term
+    counts = cut(term_counts(points.where(F.col(per_class) != -1), [*keys, per_class], column))
     sizes = counts.groupBy(*keys).agg(
         (F.sum("tf") / F.countDistinct(per_class)).alias("_avg")
     )
@@ -70,10 +72,15 @@ def tf_idf(rows: DataFrame, ident: str, column: str, vocabulary: DataFrame) -> D
 
     idf = ln((1 + n) / (1 + df)) + 1; a term of several words never matches, as texts are split into words.
     """
-    counts = term_counts(rows, [ident], column).join(vocabulary.select("term").distinct(), "term", "left_semi")
+    found = rows.select(ident, F.explode(text.tokens(F.col(column))).alias("term"))
+    found = found.join(vocabulary.select("term").distinct(), "term", "left_semi")
+    counts = cut(found.groupBy(ident, "term").agg(F.count("*").alias("tf")))
     df = counts.groupBy("term").agg(F.count("*").alias("_df")).withColumn("_one", F.lit(1))
     total = rows.agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
     idf = df.join(total, "_one").select("term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf"))
     raw = counts.join(idf, "term").withColumn("_w", F.col("tf") * F.col("_idf"))
-    length = raw.groupBy(ident).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
-    return raw.join(length, ident).select(ident, "term", (F.col("_w") / F.col("_len")).alias("weight"))
+    # the terms of one text are few, so its length and its weights come from one grouping
+    entry = F.collect_list(F.struct("term", "_w")).alias("_es")
+    packed = raw.groupBy(ident).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"), entry)
+    flat = packed.select(ident, "_len", F.explode("_es").alias("e"))
+    return flat.select(ident, F.col("e.term").alias("term"), (F.col("e._w") / F.col("_len")).alias("weight"))

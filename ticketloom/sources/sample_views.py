@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.runtime import use_utc
+from ticketloom.sources.tables import spread
 
+TEXT_TABLES = ("documents", "pages", "events")
 EPOCH = "2024-01-01 00:00:00"
 CENTERS = 15
 FAILURE_MESSAGES = (
@@ -43,9 +45,13 @@ class Views:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = use_utc(spark)
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._tables[name] = spread(df) if name in TEXT_TABLES else df
+        return self._tables[name]
 
     @cached_property
     def incidents(self) -> DataFrame:
