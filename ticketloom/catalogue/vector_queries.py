@@ -490,3 +490,40 @@ def _(v):
     labels = v.domain_map.withColumn("topic", F.concat(F.lit("Topic "), "cluster_id"))
     out = domains.name_domains(v.domain_map, labels, ["tech_center", "model_version"])
     return _long(out.drop("domain_description"), "domain_id", "cluster_id")
+
+
+@query("smooth_layout")
+def _(v):
+    from ticketloom.operators import neighbours, reduction
+
+    keys = ["tech_center"]
+    layout = reduction.project(v.points, reduction.fit_components(v.points, keys, "embedding"), keys, "embedding")
+    graph = neighbours.fuzzy_graph(_nn(v), keys, "number", 10)
+    out = reduction.smooth(layout.drop("embedding"), graph, keys, "number", rounds=2)
+    return _rounded(out.select("number", "tech_center", "umap_x", "umap_y"), "umap_x", "umap_y", digits=5)
+
+
+@query(
+    "embed_texts",
+    f"""SELECT doc_id, 'valid' AS embedding_status, 64::BIGINT AS dims,
+          CASE WHEN len({_TOK.format('text')}) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS length FROM documents""",
+)
+def _(v):
+    from ticketloom.functions import providers
+
+    done = providers.embed(v.table("documents"), "text", dims=64)
+    status = F.when(F.col("embedding_status") == "truncated", "valid").otherwise(F.col("embedding_status"))
+    return done.select(
+        "doc_id", status.alias("embedding_status"), F.size("embedding").cast("long").alias("dims"),
+        F.round(vectors.norm(F.col("embedding")), 6).alias("length"),
+    )
+
+
+@query("complete_analysis")
+def _(v):
+    from ticketloom.plans import train
+
+    points = v.clustered.withColumn("reduced", F.array("umap_x", "umap_y"))
+    keys = ["tech_center", "model_version"]
+    out = train.complete_analysis(points, train.TrainingOptions(), keys)["labelled"]
+    return out.select(*keys, "number", "cluster_id", "cluster_label", "domain_id", "domain_name")

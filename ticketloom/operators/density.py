@@ -111,8 +111,9 @@ def _cells_outside(pivots, radius, size, pure, top_core, alpha):
             rows, cells = [], []
             for key in set(keys):
                 at = np.flatnonzero(keys == key)
-                for i in range(0, len(at), 512):
-                    part = at[i : i + 512]
+                step = nb.chunk_rows(len(pivots[key]))
+                for i in range(0, len(at), step):
+                    part = at[i : i + step]
                     x = matrix(batch.column("_v").take(pa.array(part)))
                     d = np.sqrt(squared_distances(x, pivots[key]))
                     closed = (comps[part][:, None] == pure[key][None, :]) | (size[key] == 0)[None, :]

@@ -24,8 +24,9 @@ from ticketloom.operators.scans import top_per_group
 from ticketloom.runtime import cut
 
 CELL_ROWS = 1024
-MAX_PIVOTS = 1000
+MAX_PIVOTS = 20_000
 PIVOT_BYTES = 128 << 20
+CHUNK_CELLS = 1 << 22
 SLACK = 1e-9
 
 
@@ -63,6 +64,11 @@ class CellIndex:
         return [c for c in self.points.columns if c not in ("_cell", "_dp")]
 
 
+def chunk_rows(n_pivots: int) -> int:
+    """Rows to compare with all pivots at a time, so that the distance table stays small."""
+    return max(1, min(1024, CHUNK_CELLS // max(1, n_pivots)))
+
+
 def _assigner(pivots: dict[str, np.ndarray], schema: T.StructType):
     def run(batches):
         for batch in batches:
@@ -74,12 +80,13 @@ def _assigner(pivots: dict[str, np.ndarray], schema: T.StructType):
                     continue
                 rows = np.flatnonzero(keys == key)
                 x = matrix(batch.column("_v").take(pa.array(rows)))
-                for i in range(0, len(rows), 1024):
-                    part = x[i : i + 1024]
+                step = chunk_rows(len(pivots[key]))
+                for i in range(0, len(rows), step):
+                    part = x[i : i + step]
                     best = squared_distances(part, pivots[key]).argmin(1)
-                    cell[rows[i : i + 1024]] = best
+                    cell[rows[i : i + step]] = best
                     diff = part - pivots[key][best]
-                    dist[rows[i : i + 1024]] = np.sqrt((diff * diff).sum(1))
+                    dist[rows[i : i + step]] = np.sqrt((diff * diff).sum(1))
             out = batch.append_column("_cell", pa.array(cell)).append_column("_dp", pa.array(dist))
             yield out
 
@@ -94,8 +101,8 @@ def _with_cells(df: DataFrame, pivots: dict[str, np.ndarray]) -> DataFrame:
 def build_index(base: DataFrame, cell_rows: int = CELL_ROWS, max_pivots: int = MAX_PIVOTS) -> CellIndex:
     """Choose pivots, assign cells, measure the cells.
 
-    What comes to the driver is bounded: at most ``max_pivots`` vectors and cell sizes per key, and never more than
-    ``PIVOT_BYTES`` in all.
+    What comes to the driver is bounded: about ``max_pivots`` vectors and cell sizes per key at most, and no more than
+    about ``PIVOT_BYTES`` in all.
     """
     counts = {r._k: (r.n, r.d) for r in base.groupBy("_k").agg(F.count("*").alias("n"), F.max(F.size("_v")).alias("d")).collect()}
     if not counts:
@@ -103,12 +110,17 @@ def build_index(base: DataFrame, cell_rows: int = CELL_ROWS, max_pivots: int = M
     dims = max(d for _, d in counts.values())
     limit = max(1, min(max_pivots, PIVOT_BYTES // (8 * dims * len(counts))))
     wanted = {k: int(min(limit, max(1, -(-n // cell_rows)))) for k, (n, _) in counts.items()}
-    chosen = top_per_group(base.select("_k", "_id", "_v"), ["_k"], [F.xxhash64("_id"), F.col("_id")], max(wanted.values()))
-    found: dict[str, list] = {k: [] for k in counts}
-    for row in chosen.select("_k", "_v", F.xxhash64("_id").alias("h")).orderBy("_k", "h").collect():
-        if len(found[row._k]) < wanted[row._k]:
-            found[row._k].append(row._v)
-    pivots = {k: np.asarray(v, dtype=float) for k, v in found.items()}
+    # pivots are the points whose digest falls into a fixed share of the range: a plain filter, no ranking; the point
+    # with the smallest digest is added, so that every key has one
+    spark = base.sparkSession
+    shares = spark.createDataFrame([(k, max(1, counts[k][0] // w)) for k, w in wanted.items()], "_k string, _share long")
+    digest = F.xxhash64("_id")
+    picked = base.join(shares, "_k").where(F.pmod(digest, F.col("_share")) == 0).select("_k", "_v", digest.alias("_h"))
+    lowest = base.groupBy("_k").agg(F.min_by("_v", digest).alias("_v"), F.min(digest).alias("_h"))
+    found: dict[str, dict] = {k: {} for k in counts}
+    for row in picked.unionByName(lowest).collect():  # about ``wanted`` rows per key
+        found[row._k][row._h] = row._v
+    pivots = {k: np.asarray([v[h] for h in sorted(v)], dtype=float) for k, v in found.items()}
     index = CellIndex(cut(_with_cells(base, pivots)), pivots)
     for k, p in pivots.items():
         index.radius[k], index.size[k] = np.zeros(len(p)), np.zeros(len(p), int)
@@ -200,8 +212,9 @@ def _reachable(pivots: dict[str, np.ndarray], radius: dict[str, np.ndarray], siz
                 if key not in pivots:
                     continue
                 at = np.flatnonzero(keys == key)
-                for i in range(0, len(at), 1024):
-                    part = at[i : i + 1024]
+                step = chunk_rows(len(pivots[key]))
+                for i in range(0, len(at), step):
+                    part = at[i : i + step]
                     x = matrix(batch.column("_v").take(pa.array(part)))
                     gap = np.sqrt(squared_distances(x, pivots[key])) - radius[key][None, :]
                     limit = bound[part] * (1 + SLACK) + SLACK
