@@ -145,3 +145,17 @@ def test_filters_reach_the_scan(views):
     pushed = plan[plan.index("PushedFilters") :]
     assert "GreaterThanOrEqual(o_order" in pushed and "LessThanOrEqual(o_orde" in pushed
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate" in plan
+
+
+def test_embeddings_artefacts_and_analysis_round_trip(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = spark.createDataFrame([("I1", "s", [1.0, 2.0], 5)], "number string, combined_incidents_summary string, embedding array<double>, extra int")
+    sinks.save_embeddings(rows, store, "embeddings")
+    sinks.save_embeddings(rows, store, "embeddings")
+    assert store.read("embeddings").columns == list(sinks.EMBEDDING_COLUMNS) and store.read("embeddings").count() == 2
+    item = spark.createDataFrame([("c", "2024_q2", "0001", "metrics", "p", '{"k": 3}')], "tech_center string, model_version string, model_hash string, kind string, path string, payload string")
+    sinks.save_artefacts(item.withColumn("last_modified", F.current_timestamp()), store)
+    assert store.read("artefacts").select(F.get_json_object("payload", "$.k")).first()[0] == "3"
+    analysis = spark.createDataFrame([("c", "2024_q2", 3, 0.25)], "tech_center string, model_version string, n_clusters long, noise_ratio double")
+    sinks.save_analysis(analysis, str(tmp_path / "analysis"))
+    assert sinks.load_analysis(spark, str(tmp_path / "analysis"), analysis.schema).exceptAll(analysis).isEmpty()

@@ -77,7 +77,8 @@ def tf_idf(rows: DataFrame, ident: str, column: str, vocabulary: DataFrame) -> D
     counts = cut(found.groupBy(ident, "term").agg(F.count("*").alias("tf")))
     df = counts.groupBy("term").agg(F.count("*").alias("_df")).withColumn("_one", F.lit(1))
     total = rows.agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
-    idf = df.join(total, "_one").select("term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf"))
+    idf = df.join(F.broadcast(total), "_one").select(  # a single row
+        "term", (F.log((1 + F.col("_n")) / (1 + F.col("_df"))) + 1).alias("_idf"))
     raw = counts.join(idf, "term").withColumn("_w", F.col("tf") * F.col("_idf"))
     # the terms of one text are few, so its length and its weights come from one grouping
     entry = F.collect_list(F.struct("term", "_w")).alias("_es")
