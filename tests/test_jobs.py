@@ -150,4 +150,5 @@ def test_stages_restart(spark, tmp_path):
     out = stages.run_stages(store, rows.limit(0), NOW, 3, 4, options=OPTIONS)
     assert out["results"].count() == 90
     assert set(out["results"].columns) <= set(sinks.RESULT_COLUMNS)
-    assert out["stage_metrics"].first().n_clusters == 3
+    # three topics times two services: six texts, each shared by fifteen rows, which is more than the minimum size
+    assert out["stage_metrics"].first().n_clusters == 6
