@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, quality, token_files
+from ticketloom.llm import decontaminate, language, quality, token_files
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -29,6 +29,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document by a model of the documents that are not held out."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(documents.where(~language.held_out(F.col("doc_id"))))
+    found = language.predict(documents, model, columns=["doc_id"])
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Quality cascade over all documents, with the base measures of every text."""
