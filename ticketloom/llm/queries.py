@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, language, quality, token_files
+from ticketloom.llm import decontaminate, language, neardup, quality, token_files
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -48,6 +48,12 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *base, failed.alias("base_failed"), "kept")
 
 
+@query
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class of every document, and the links found at its text."""
+    return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in windows of benchmark items."""
