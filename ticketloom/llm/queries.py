@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, language, neardup, quality, token_files
+from ticketloom.llm import decontaminate, language, mixing, neardup, quality, shards, token_files
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -48,6 +48,13 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *base, failed.alias("base_failed"), "kept")
 
 
+@query
+def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every document in a mixture whose weights damp large sources."""
+    documents = table(spark, folder, "documents").select("doc_id", "source")
+    return mixing.mixed(documents).select("doc_id", "source", "weight", "block", "place", "in_block")
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document, and the links found at its text."""
@@ -66,6 +73,17 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents shuffled into forty shards, written and read back."""
+    documents = table(spark, folder, "documents")
+    rows = shards.write_shards(shards.placed(documents), scratch(spark, "shards"))
+    return rows.select(
+        "doc_id", F.col("shard_size").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"), "shard", "slot", "grown_shard",
+    )
+
+
 @query
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents, written as Simple-8b files and read back."""
