@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, language, mixing, neardup, quality, shards, token_files
+from ticketloom.llm import decontaminate, language, mixing, neardup, quality, secrets, shards, token_files
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -55,6 +55,18 @@ def op4_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(documents).select("doc_id", "source", "weight", "block", "place", "in_block")
 
 
+@query
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document: known forms, and random strings by the models."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan(documents, secrets.fit(documents))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed("assign", "access", "hex").cast("binary"), 256).alias("base_sha256"),
+        secrets.listed(*secrets.KINDS).alias("spans"),
+    )
+
+
 @query
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document, and the links found at its text."""
