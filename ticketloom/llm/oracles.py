@@ -65,5 +65,16 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (rid) LEFT JOIN items USING (rid)
+""",
+    "op8_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+), m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM m
 """,
 }

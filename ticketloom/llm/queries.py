@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import decontaminate, language, mixing, neardup, quality, secrets, shards, token_files
+from ticketloom.llm import archives, decontaminate, language, mixing, neardup, quality, secrets, shards, token_files
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -85,6 +85,15 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages recorded as ARC files, converted to WARC files and read back."""
+    arc, warc = scratch(spark, "arc"), scratch(spark, "warc")
+    archives.write_arc(table(spark, folder, "pages"), arc)
+    archives.convert(spark, arc, warc)
+    return archives.read_back(spark, warc).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents shuffled into forty shards, written and read back."""
