@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from ticketloom.llm.licence_texts import TEMPLATES
+
 WORD = r"[^\x20\x09-\x0D]+"
 
+_TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in TEMPLATES)
+_NORMALISED = (
+    "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
 ORACLES: dict[str, str] = {
     "op3_quality_rules": rf"""
 WITH d AS (
@@ -76,5 +84,41 @@ SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
        CASE WHEN payload_bytes >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 1000 AND last <> page_id THEN last END AS refers_to
 FROM m
+""",
+    "op1_licence_scan": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), lines AS (
+  SELECT rid, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d
+), worded AS (
+  SELECT rid, i, line, len({_NORMALISED.format("line")}) AS n FROM lines
+), paragraphs AS (
+  SELECT rid, string_agg(line, chr(10) ORDER BY i) AS part
+  FROM (SELECT *, sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS p FROM worded) WHERE n > 0 GROUP BY rid, p
+), parts AS (
+  SELECT rid, part, row_number() OVER () AS pid
+  FROM (SELECT rid, line AS part FROM lines UNION ALL SELECT * FROM paragraphs UNION ALL SELECT rid, t FROM d)
+), words AS (
+  SELECT rid, pid, {_NORMALISED.format("part")} AS w FROM parts
+), bigrams AS (
+  SELECT DISTINCT rid, pid, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM words WHERE len(w) > 1)
+), sizes AS (
+  SELECT pid, count(*) AS x FROM bigrams GROUP BY pid
+), templates AS (
+  SELECT name, {_NORMALISED.format("body")} AS w FROM (VALUES {_TEMPLATE_ROWS}) AS v(name, body)
+), template_bigrams AS (
+  SELECT DISTINCT name, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM templates)
+), template_sizes AS (
+  SELECT name, count(*) AS y FROM template_bigrams GROUP BY name
+), common AS (
+  SELECT rid, pid, name, count(*) AS n FROM bigrams JOIN template_bigrams USING (g) GROUP BY ALL
+), scored AS (
+  SELECT rid, name, max((2 * n)::DOUBLE / (x + y)) AS dice
+  FROM common JOIN sizes USING (pid) JOIN template_sizes USING (name) WHERE 2 * n >= 0.85::DOUBLE * (x + y) GROUP BY rid, name
+), best AS (
+  SELECT rid, string_agg(name, ',' ORDER BY name) AS licences, first(name ORDER BY dice DESC, name) AS best, max(dice) AS dice
+  FROM scored GROUP BY rid
+)
+SELECT doc_id, coalesce(licences, '') AS licences, best, coalesce(dice, 0.0)::DOUBLE AS dice FROM d LEFT JOIN best USING (rid)
 """,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import archives, decontaminate, language, mixing, neardup, quality, secrets, shards, token_files
+from ticketloom.llm import archives, decontaminate, language, licences, mixing, neardup, quality, secrets, shards, token_files
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -29,6 +29,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@query
+def op1_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence templates that parts of every document match."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    found = licences.scan(documents, columns=["doc_id"])
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"), "best", "dice")
+
+
 @query
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document by a model of the documents that are not held out."""
