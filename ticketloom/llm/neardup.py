@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -207,7 +208,15 @@ def _labelled(keys: DataFrame, links: DataFrame) -> DataFrame:
     return keys.join(found, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def near_duplicates(
+@dataclass(frozen=True)
+class Groups:
+    """``rows``: doc_id and key of every row; ``nodes``: key, smallest id (least), component and number of links."""
+
+    rows: DataFrame
+    nodes: DataFrame
+
+
+def find_groups(
     df: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -216,24 +225,23 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     partners: int = 3,
-) -> DataFrame:
-    """``doc_id, class_id, n_links`` for every row: the smallest id of its group, and the links found at its text.
+) -> Groups:
+    """Groups of texts with links of at least ``threshold`` between them.
 
     Texts with the same words are one node. Two nodes are candidates if a band of their signatures agrees (at a
     similarity of 0.8 one pair in 17,000 is missed). First every node meets a few partners: the smallest and the largest
     member of its buckets, those it shares most buckets with. Then every bucket whose members are still in several
     components yields its pairs across components that the signatures don't rule out (agreement 0.14, four to five
     standard deviations, below the threshold); pairs within a component can't change a group and are never formed. So
-    ``n_links`` counts the links that were looked at, at least one for every text that joined a group.
-
-    A row with a null text, or a text without words, is a group of its own, under its own id. Rows with equal texts are
-    one group whatever their ids; other columns are not looked at. An empty table gives an empty result.
+    the number of links counts those that were looked at, at least one for every text that joined a group.
     """
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sketched = cut(sketch(source, "text", ["doc_id"], width, bands, rows))
+    named = sketched.where("key IS NOT NULL")
     nodes = cut(
-        sketched.where("key IS NOT NULL").groupBy("key").agg(
-            F.min("weight").alias("weight"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
+        named.groupBy("key").agg(
+            F.min("weight").alias("weight"), F.first("bands").alias("bands"), F.first("signature").alias("signature"),
+            F.min("doc_id").alias("least"),
         )
     )
     slots = nodes.select("key", F.explode("bands").alias("band"))
@@ -244,39 +252,70 @@ def near_duplicates(
     best = met.groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "pivot")), False), 1, partners).alias("best"))
     tried = cut(best.select("key", F.explode("best").alias("p")).select(
         F.least("key", "p.pivot").alias("a"), F.greatest("key", "p.pivot").alias("b")).distinct())
-    wanted = shared.select("key").distinct()
+    wanted = cut(shared.select("key").distinct())
     texts = cut(_texts(source, wanted))
     links = cut(verified(tried, texts, threshold, width))
-    labels = cut(_labelled(wanted, links))
-    mixed = shared.select("band", "key").join(labels, "key")
+    mixed = shared.select("band", "key").join(cut(_labelled(wanted, links)), "key")
     open_ = mixed.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("band")
-    inside = cut(mixed.join(open_, "band"))
-    rest = inside.join(nodes.select("key", "weight", "signature"), "key")
-    x, y = rest.alias("x"), rest.select(*(F.col(c).alias(f"{c}_2") for c in rest.columns)).alias("y")
+    rest = cut(mixed.join(open_, "band")).join(nodes.select("key", "weight", "signature"), "key")
+    other = rest.select(*(F.col(c).alias(f"{c}_2") for c in rest.columns))
     agree = F.aggregate(F.zip_with("signature", "signature_2", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-    across = x.join(
-        y,
+    across = rest.join(
+        other,
         (F.col("band") == F.col("band_2")) & (F.col("key") < F.col("key_2")) & (F.col("component") != F.col("component_2"))
         & (F.col("weight") >= threshold * F.col("weight_2")) & (F.col("weight_2") >= threshold * F.col("weight"))
         & (agree >= int((threshold - 0.14) * bands * rows)),
     ).select(F.col("key").alias("a"), F.col("key_2").alias("b")).distinct()
     more = verified(across.join(tried, ["a", "b"], "left_anti"), texts, threshold, width)
     links = cut(links.unionByName(more))
-    groups = _labelled(wanted, links)
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
-    smallest = sketched.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("least"))
-    placed = cut(
-        smallest.join(groups, "key", "left").join(degree, "key", "left")
+    placed = (
+        nodes.select("key", "least").join(_labelled(wanted, links), "key", "left").join(degree, "key", "left")
         .select("key", "least", F.coalesce("component", "key").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    classes = placed.groupBy("component").agg(F.min("least").alias("class_id"))
-    named = placed.join(classes, "component").select("key", "class_id", "n_links")
-    out = sketched.select("doc_id", "key").join(named, "key", "left")
-    alone = F.col("key").isNull()
-    return out.select(
-        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    return Groups(sketched.select("doc_id", "key"), cut(placed))
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """``doc_id, class_id, n_links`` for every row: the smallest id of its group, and the links found at its text.
+
+    A row with a null text, or a text without words, is a group of its own, under its own id. Rows with the same words
+    are one group whatever their ids; other columns are not looked at. An empty table gives an empty result.
+    ``parameters`` are those of ``find_groups``.
+    """
+    groups = find_groups(df, doc_id, text, **parameters)
+    classes = groups.nodes.groupBy("component").agg(F.min("least").alias("class_id"))
+    named = groups.nodes.join(classes, "component").select("key", "class_id", "n_links")
+    out = groups.rows.join(named, "key", "left")
+    own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
+    return out.select("doc_id", own.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters) -> DataFrame:
+    """One row of each group, that with the smallest id (a null id comes last), with all its columns.
+
+    Rows without words are all kept. Equal rows of a task are put together before they move, so many copies of a text
+    don't meet in one place.
+    """
+    nodes = find_groups(df, doc_id, text, **parameters).nodes
+    first = nodes.groupBy("component").agg(F.min(F.struct(F.col("least").isNull(), "least", "key")).alias("r")).select("r.key")
+    row = F.struct(F.col(doc_id).isNull().alias("__last"), F.col(doc_id).alias("__id"), *(F.col(c).alias(f"__{k}") for k, c in enumerate(df.columns)))
+    keyed = _keyed(df, text)
+    one = keyed.where("__key IS NOT NULL").groupBy("__key").agg(F.min(row).alias("r")).join(first.withColumnRenamed("key", "__key"), "__key", "left_semi")
+    one = one.select(*(F.col(f"r.__{k}").alias(c) for k, c in enumerate(df.columns)))
+    return one.unionByName(keyed.where("__key IS NULL").select(df.columns))
+
+
+def _keyed(df: DataFrame, text: str) -> DataFrame:
+    """All columns, with the digest of the word sequence as ``__key``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, text):
+            yield keep_columns(batch, df_columns, __key=pa.array(_digests(Words(*utf8(batch.column(text)))), pa.binary()))
+
+    df_columns = df.columns
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{kinds}, __key binary")
 
 
 def _digests(words: Words) -> list[bytes | None]:
