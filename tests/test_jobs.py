@@ -73,7 +73,7 @@ def test_scoring_follows_the_model(spark, services, trained):
 def test_prediction_cycle_takes_only_new_rows(trained):
     first = predict.run_prediction_cycle(trained, NOW, days=60, batch=50, min_samples=3)
     assert first.count() == 50
-    second = predict.run_prediction_cycle(trained, NOW, days=60, batch=None, min_samples=3)
+    second = predict.run_prediction_cycle(trained, NOW, min_samples=3)
     assert second.count() == 130
     stored = trained.read("incident_predictions")
     assert stored.count() == 180 and stored.select("incident_id").distinct().count() == 180
@@ -96,14 +96,14 @@ def test_incremental_runs_and_watermarks(spark, services, tmp_path):
     store = Store(spark, str(tmp_path))
     rows = make_incidents(spark, 48)
     first = incremental.run_incremental(store, rows, services, datetime(2024, 6, 3), "2024-06-01", "2024-06-01", dims=32)
-    assert (first["start_time"], first["end_time"]) == (datetime(2024, 6, 1), datetime(2024, 6, 1, 23, 59, 59))
+    assert (first["start_time"], first["end_time"]) == (datetime(2024, 6, 1), datetime(2024, 6, 2))
     assert store.read("preprocessed_incidents").count() == 24
     second = incremental.run_incremental(store, rows, services, datetime(2024, 6, 3, 1), dims=32)
     assert second["start_time"] == datetime(2024, 6, 2) and second["end_time"] == datetime(2024, 6, 2, 1)
-    assert store.read("preprocessed_incidents").count() == 26
+    assert store.read("preprocessed_incidents").count() == 25
     # the same window again adds nothing
     incremental.run_incremental(store, rows, services, datetime(2024, 6, 3, 2), "2024-06-01", "2024-06-01", dims=32)
-    assert store.read("preprocessed_incidents").count() == 26
+    assert store.read("preprocessed_incidents").count() == 25
     # an empty run still moves the watermark
     incremental.run_incremental(store, rows, services, datetime(2024, 6, 9), "2024-06-08", "2024-06-08", dims=32)
     marks = store.read("preprocessing_watermarks")
@@ -113,6 +113,26 @@ def test_incremental_runs_and_watermarks(spark, services, tmp_path):
     assert store.read("preprocessing_watermarks").count() == 1
 
 
+def test_failures_are_kept_and_retried(spark, services, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = make_incidents(spark, 12)
+
+    def refuses(texts):
+        if any("vpn" in t for t in texts):
+            raise ValueError("rate limit 429")
+        return [[1.0, 2.0]] * len(texts)
+
+    day = ("2024-06-01", "2024-06-01")
+    incremental.run_incremental(store, rows, services, datetime(2024, 6, 3), *day, embedding_provider=refuses)
+    assert store.read("preprocessed_incidents").count() == 8
+    failed = store.read("processing_failures").collect()
+    assert len(failed) == 4 and {(r.stage, r.error_class, r.message) for r in failed} == {("embedding", "RATE_LIMIT", "rate limit 429")}
+    later = datetime(2024, 6, 4)
+    incremental.run_incremental(store, rows, services, later, "2024-06-03", "2024-06-03", retry=True, dims=2)
+    assert store.read("preprocessed_incidents").count() == 12
+    assert store.read("processing_failures").count() == 4
+
+
 def test_stream_equals_batch(spark, services, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     folder, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
@@ -137,6 +157,7 @@ def test_hourly_count_stream(spark, tmp_path):
     q.awaitTermination(120)
     batch = incremental.hourly_counts(rows)
     assert spark.table("hourly").exceptAll(batch).isEmpty() and batch.count() == 12
+    spark.catalog.dropTempView("hourly")
 
 
 def test_stages_restart(spark, tmp_path):

@@ -105,7 +105,7 @@ def test_create_tables(spark):
     spark.sql("DROP DATABASE IF EXISTS ticketloom_test CASCADE")
     try:
         names = schemas.create_all(spark, "ticketloom_test")
-        assert {r.tableName for r in spark.sql("SHOW TABLES IN ticketloom_test").collect()} == set(names)
+        assert {r.tableName for r in spark.sql("SHOW TABLES IN ticketloom_test").where("NOT isTemporary").collect()} == set(names)
         schemas.create_table(spark, "ticketloom_test.daily", schemas.INCIDENTS, "sys_created_on", ["business_service"])
         assert "dt" in spark.table("ticketloom_test.daily").columns
     finally:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ticketloom.catalogue.registry import query
@@ -115,6 +116,41 @@ def _(v):
     return scans.since_watermark(v.center_incidents, _marks(v)).select("number")
 
 
+@query(
+    "rows_since_newest_watermark",
+    """WITH marks AS (SELECT tech_center, date_trunc('week', sys_created_on) AS mark, doc % 2 AS pipeline
+         FROM (SELECT *, CAST(substr(number, 4) AS BIGINT) AS doc FROM center_incidents) WHERE doc % 3 = 0),
+       newest AS (SELECT tech_center, max(mark) AS mark FROM marks WHERE pipeline = 1 GROUP BY tech_center)
+       SELECT number, sys_created_on FROM center_incidents i JOIN newest m USING (tech_center) WHERE sys_created_on > mark""",
+)
+def _(v):
+    doc = F.substring("number", 4, 20).cast("long")
+    marks = v.center_incidents.where(doc % 3 == 0).select(
+        "tech_center", F.date_trunc("week", "sys_created_on").alias("last_processed_timestamp"),
+        F.when(doc % 2 == 1, "prediction").otherwise("training").alias("pipeline_name"),
+    )
+    return scans.since_watermark(v.center_incidents, marks, pipeline="prediction").select("number", "sys_created_on")
+
+
+@query(
+    "consecutive_windows",
+    """WITH ends AS (SELECT DISTINCT date_trunc('hour', ts) + (hour(ts) % 7) * INTERVAL 123456 MICROSECOND AS edge FROM events),
+       spans AS (SELECT edge AS a, lead(edge) OVER (ORDER BY edge) AS b FROM ends)
+       SELECT event_id, a AS window_start FROM events JOIN spans ON ts >= a AND ts < b""",
+)
+def _(v):
+    """Windows that follow each other pick up every row between the first and the last end, once."""
+    from ticketloom.functions import dates
+
+    events = v.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    shift = F.make_dt_interval(secs=(F.hour("ts") % 7) * F.lit(0.123456).cast("decimal(18,6)"))
+    ends = events.select((F.date_trunc("hour", "ts") + shift).alias("at")).distinct()
+    following = ends.select("at", F.lead("at").over(Window.orderBy("at")).alias("end_time")).where("end_time IS NOT NULL")
+    spans = following.select(dates.next_start(F.col("at")).alias("start_time"), "end_time")
+    inside = (F.col("ts") >= F.col("start_time")) & (F.col("ts") < F.col("end_time"))
+    return events.join(spans, inside).select("event_id", F.col("start_time").alias("window_start"))
+
+
 @query(
     "rows_since_watermark_or_default",
     f"""WITH {_MARKS} SELECT number FROM center_incidents i LEFT JOIN marks m USING (tech_center)
@@ -127,13 +163,12 @@ def _(v):
 
 @query(
     "unprocessed_batch",
-    f"""SELECT number FROM center_incidents WHERE sys_created_on >= TIMESTAMP '{B}' - INTERVAL 7 DAY
-        AND number NOT IN (SELECT 'INC' || lpad(CAST(doc_id AS VARCHAR), 7, '0') FROM labels)
-        ORDER BY sys_created_on DESC, number LIMIT 500""",
+    """SELECT number FROM center_incidents
+        WHERE number NOT IN (SELECT 'INC' || lpad(CAST(doc_id AS VARCHAR), 7, '0') FROM labels)""",
 )
 def _(v):
     done = v.table("labels").select(incident_number(F.col("doc_id")).alias("number"))
-    return scans.not_yet_predicted(v.center_incidents, done, B, limit=500, key="number").select("number")
+    return scans.not_yet_predicted(v.center_incidents, done, B, key="number").select("number")
 
 
 @query("vector_present", "SELECT number FROM points WHERE embedding IS NOT NULL AND len(embedding) > 0")
@@ -539,11 +574,11 @@ def _(v):
 
 @query(
     "back_fill_scan",
-    f"SELECT number FROM incidents WHERE sys_created_on BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-07 23:59:59'",
+    f"SELECT number FROM incidents WHERE sys_created_on >= TIMESTAMP '2024-01-05' AND sys_created_on < TIMESTAMP '2024-01-08'",
 )
 def _(v):
     from ticketloom.functions import dates
 
     none = F.lit(None).cast("timestamp")
     w = dates.back_fill_window("2024-01-05", "2024-01-07", none, F.lit("2024-02-01").cast("timestamp"))
-    return scans.window_scan(v.incidents, w["start_time"], w["end_time"], ("number",))
+    return scans.window_scan(v.incidents, w["start_time"], w["end_time"], ("number",), closed=False)

@@ -551,9 +551,9 @@ def _(v):
 
 @query(
     "run_records",
-    """SELECT run_id, '{"start_date":"' || strftime(time_trigger - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') || '","end_date":"' ||
-         strftime(time_trigger, '%Y-%m-%dT%H:%M:%S') || '","rows_processed":' || preprocessed_rows || ',"newest_incident_id":"INC' ||
-         run_id || '","newest_incident_timestamp":"' || strftime(time_trigger, '%Y-%m-%dT%H:%M:%S') || '"}' AS details FROM runs""",
+    """SELECT run_id, '{"start_date":"' || strftime(time_trigger - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '","end_date":"' ||
+         strftime(time_trigger, '%Y-%m-%dT%H:%M:%S.%f') || '","rows_processed":' || preprocessed_rows || ',"newest_incident_id":"INC' ||
+         run_id || '","newest_incident_timestamp":"' || strftime(time_trigger, '%Y-%m-%dT%H:%M:%S.%f') || '"}' AS details FROM runs""",
 )
 def _(v):
     t = F.col("time_trigger")

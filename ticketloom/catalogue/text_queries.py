@@ -426,10 +426,10 @@ def _(v):
 @query(
     "hourly_windows",
     """SELECT event_id, last_end IS NULL AS first_run,
-              CASE WHEN last_end IS NULL THEN TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 1 HOUR ELSE last_end + INTERVAL 1 SECOND END
+              CASE WHEN last_end IS NULL THEN TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 1 HOUR ELSE last_end END
                 AS start_time,
               CASE WHEN last_end IS NULL THEN TIMESTAMP '2024-01-20 00:00:00'
-                   ELSE least(last_end + INTERVAL 3601 SECOND, TIMESTAMP '2024-01-20 00:00:00') END AS end_time
+                   ELSE least(last_end + INTERVAL 1 HOUR, TIMESTAMP '2024-01-20 00:00:00') END AS end_time
        FROM (SELECT event_id, CASE WHEN event_type <> 'view' THEN ts END AS last_end FROM events)""",
 )
 def _(v):

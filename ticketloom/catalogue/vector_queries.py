@@ -343,7 +343,7 @@ def _(v):
 
 @query(
     "reachability_edges",
-    f"""WITH {_NN}, core AS (SELECT number, d AS c FROM nn WHERE rank = 5)
+    f"""WITH {_NN.replace("nn AS (", "nn AS MATERIALIZED (", 1)}, core AS (SELECT number, d AS c FROM nn WHERE rank = 5)
         SELECT nn.number, neighbour, round(greatest(a.c, b.c, d), 6) AS reachability FROM nn JOIN core a ON nn.number = a.number
         JOIN core b ON neighbour = b.number WHERE rank <= 10""",
 )

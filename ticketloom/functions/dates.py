@@ -13,6 +13,7 @@ TIMESTAMP_FORMATS = (
     "yyyy-M-d H:m:s",
 )
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+ISO_FRACTIONS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 DAYS_PER_MONTH = 30
 TRAINING_WINDOW_MONTHS = 24
 TRAINING_MONTHS = (6, 12)
@@ -77,21 +78,35 @@ def cache_expired(loaded_at: Column, as_of: Column, ttl_hours: int = CACHE_TTL_H
     return (as_of - loaded_at) > F.make_dt_interval(F.lit(0), F.lit(ttl_hours))
 
 
-def hourly_window(last_end: Column, now: Column) -> Column:
-    """Next hourly window: one second after the last end, at most one hour long, never past ``now``."""
+def next_start(last_end: Column, parity: bool = False) -> Column:
+    """Where the next window begins: at the last end, so that half-open windows join without a gap.
+
+    With ``parity`` a second later, as for windows that include both ends; rows within that second are then lost.
+    """
+    return last_end + F.expr("interval 1 second") if parity else last_end
+
+
+def hourly_window(last_end: Column, now: Column, parity: bool = False) -> Column:
+    """Next hourly window, half-open: from the last end, at most one hour long, never past ``now``."""
     hour = F.expr("interval 1 hour")
-    start = F.coalesce(last_end + F.expr("interval 1 second"), now - hour)
+    start = F.coalesce(next_start(last_end, parity), now - hour)
     end = F.when(last_end.isNull(), now).otherwise(F.least(start + hour, now))
     return F.struct(start.alias("start_time"), end.alias("end_time"))
 
 
-def back_fill_window(start_date: str | None, end_date: str | None, last_end: Column, now: Column) -> Column:
-    """Window for a manual run: given dates win, the watermark fills a missing start, an hour is the last resort."""
+def back_fill_window(
+    start_date: str | None, end_date: str | None, last_end: Column, now: Column, parity: bool = False
+) -> Column:
+    """Half-open window for a manual run: given dates win, the watermark fills a missing start, an hour is the last resort.
+
+    The end date is included: the window ends at the next midnight (with ``parity`` at the last second of the day).
+    """
     if start_date is None and end_date is None:
-        return hourly_window(last_end, now)
-    end = end_of_day(F.to_timestamp(F.lit(end_date), "yyyy-MM-dd")) if end_date else now
+        return hourly_window(last_end, now, parity)
+    day = F.to_timestamp(F.lit(end_date), "yyyy-MM-dd")
+    end = (end_of_day(day) if parity else day + F.expr("interval 1 day")) if end_date else now
     if start_date:
         start = F.to_timestamp(F.lit(start_date), "yyyy-MM-dd")
     else:
-        start = F.coalesce(last_end + F.expr("interval 1 second"), now - F.expr("interval 1 hour"))
+        start = F.coalesce(next_start(last_end, parity), now - F.expr("interval 1 hour"))
     return F.struct(start.alias("start_time"), end.alias("end_time"))

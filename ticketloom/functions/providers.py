@@ -85,7 +85,7 @@ def embed(
         done = hashed_words(staged, "prepared", out, dims).withColumn("error_message", F.lit(None).cast("string"))
         done = done.withColumn(out, F.when(F.col("status") != "empty", F.col(out)))
     else:
-        kind = T.ArrayType(T.DoubleType())
+        kind = T.ArrayType(T.DoubleType(), containsNull=False)
         done = _apply(staged, "prepared", provider, out, kind, batch, attempts)
     failed = F.col("error_message").isNotNull()
     vector: Column = F.col(out)
@@ -95,6 +95,7 @@ def embed(
         done.withColumn("embedding_status", F.when(failed, "failed").otherwise(F.col("status")))
         .withColumn("error_class", F.when(failed, text.classify_error(F.col("error_message"))))
         .withColumn(out, vector)
+        .withColumn("error_message", F.when(failed, F.col("error_message")))
         .drop("status", "prepared")
     )
 

@@ -31,9 +31,12 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """Vector of length one; a zero vector stays as it is."""
-    n = norm(a)
-    return F.when(n > 0, F.transform(a, lambda x: x / n)).otherwise(a)
+    """Vector of length one; a zero vector stays as it is.
+
+    The norm is bound as the only element of an array: within the inner function it would be worked out per element.
+    """
+    scaled = F.transform(F.array(norm(a)), lambda n: F.when(n > 0, F.transform(a, lambda x: x / n)).otherwise(a))
+    return scaled[0]
 
 
 def weighted_concat(parts: list[tuple[Column, float]]) -> Column:

@@ -188,8 +188,8 @@ def latest_run(runs: DataFrame) -> DataFrame:
 
 
 def run_record(rows: Column, start: Column, end: Column, newest_id: Column, newest_time: Column) -> Column:
-    """Details document of a run."""
-    iso = dates.ISO_SECONDS
+    """Details document of a run; times keep their fractions, as the next window begins at the end."""
+    iso = dates.ISO_FRACTIONS
     return F.to_json(
         F.struct(
             F.date_format(start, iso).alias("start_date"),

@@ -77,9 +77,13 @@ def with_center(df: DataFrame, mapping: DataFrame, default: str = "BT-TC-General
     )
 
 
-def since_watermark(df: DataFrame, watermarks: DataFrame, time: str = "sys_created_on") -> DataFrame:
-    """Rows strictly newer than the watermark of their center."""
-    w = watermarks.select("tech_center", F.col("last_processed_timestamp").alias("_mark"))
+def since_watermark(
+    df: DataFrame, watermarks: DataFrame, time: str = "sys_created_on", pipeline: str | None = None
+) -> DataFrame:
+    """Rows strictly newer than the newest watermark of their center, of one pipeline if it is named."""
+    if pipeline is not None:
+        watermarks = watermarks.where(F.col("pipeline_name") == pipeline)
+    w = watermarks.groupBy("tech_center").agg(F.max("last_processed_timestamp").alias("_mark"))
     return df.join(w, "tech_center").where(F.col(time) > F.col("_mark")).drop("_mark")
 
 
@@ -97,17 +101,17 @@ def not_yet_predicted(
     predictions: DataFrame,
     as_of,
     centers: list[str] | None = None,
-    days: int = 7,
+    days: int | None = None,
     limit: int | None = None,
     key: str = "incident_id",
     time: str = "sys_created_on",
 ) -> DataFrame:
-    """Recent rows without a prediction, newest first; ``limit`` is the batch size of one scoring cycle."""
-    recent = df.where(F.col(time) >= dates.days_before(as_time(as_of), days))
+    """All rows without a prediction; ``days`` leaves out older ones, ``limit`` takes the newest of them only."""
+    recent = df if days is None else df.where(F.col(time) >= dates.days_before(as_time(as_of), days))
     if centers is not None:
         recent = of_centers(recent, centers)
-    out = recent.join(predictions.select(key), key, "left_anti").orderBy(F.desc(time), key)
-    return out if limit is None else out.limit(limit)
+    out = recent.join(predictions.select(key), key, "left_anti")
+    return out if limit is None else out.orderBy(F.desc(time), key).limit(limit)
 
 
 def with_vectors(df: DataFrame, vec: str = "embedding") -> DataFrame:

@@ -51,7 +51,7 @@ def score(store: Store, incidents: DataFrame, as_of: Column, min_samples: int =
           keep_vectors: bool = False) -> DataFrame:
     """Predictions for incidents with ``number, tech_center, embedding``; every input row gets a record."""
     cycles = store.read("training_cycle_metadata")
-    latest = governance.latest_per_center(cycles).select(*MODEL, "cluster_results_table", "hdbscan_artifact_path")
+    latest = governance.latest_per_center(cycles).select(*MODEL, "cluster_results_table", "clusterer_artifact_path")
     axes = load_model(store, "model_components", latest)
     trained = load_model(store, "model_points", latest)
     info = load_model(store, "model_labels", latest)
@@ -76,7 +76,7 @@ def score(store: Store, incidents: DataFrame, as_of: Column, min_samples: int =
         F.col("cluster_id").alias("predicted_cluster_id"), F.col("cluster_name").alias("predicted_cluster_label"),
         scoring.confidence(F.col("cluster_id"), 1.0 - F.col("strength")).alias("confidence_score"),
         "predicted_domain_id", F.col("domain").alias("predicted_domain_name"), as_of.alias("prediction_timestamp"),
-        F.col("cluster_results_table").alias("model_table_used"), F.col("hdbscan_artifact_path").alias("blob_model_path"),
+        F.col("cluster_results_table").alias("model_table_used"), F.col("clusterer_artifact_path").alias("blob_model_path"),
         "distance", F.col("cluster_id").isNull().alias("_failed"), *(["embedding"] if keep_vectors else []),
     )
     out = with_failure_records(records, F.col("_failed")).drop("_failed")
@@ -92,13 +92,16 @@ def run_predictions(store: Store, now: datetime, hours: int = 2, json_path: str
     return _score_and_store(store, fresh, now, json_path, **options)
 
 
-def run_prediction_cycle(store: Store, now: datetime, centers: list[str] | None = None, batch: int | None = 500,
-                         days: int = 7, **options) -> DataFrame:
-    """Score a batch of recent incidents that have no prediction yet, newest first."""
+def run_prediction_cycle(store: Store, now: datetime, centers: list[str] | None = None, batch: int | None = None,
+                         days: int | None = None, **options) -> DataFrame:
+    """Score every incident that has no prediction yet; ``batch`` and ``days`` narrow one cycle to the newest.
+
+    A narrowed cycle doesn't move the watermarks, so what it leaves out is found by the next one.
+    """
     rows = store.read("preprocessed_incidents")
     done = store.read("incident_predictions").select(F.col("incident_id").alias("number"))
     todo = scans.not_yet_predicted(rows, done, now, centers, days, batch, key="number")
-    return _score_and_store(store, todo, now, None, **options)
+    return _score_and_store(store, todo, now, None, move_marks=batch is None and days is None, **options)
 
 
 def predict_one(store: Store, incident: DataFrame, now: datetime, **options) -> DataFrame:
@@ -106,7 +109,8 @@ def predict_one(store: Store, incident: DataFrame, now: datetime, **options) ->
     return score(store, incident, F.lit(now).cast("timestamp"), **options)
 
 
-def _score_and_store(store: Store, rows: DataFrame, now: datetime, json_path: str | None, **options) -> DataFrame:
+def _score_and_store(store: Store, rows: DataFrame, now: datetime, json_path: str | None, move_marks: bool = True,
+                     **options) -> DataFrame:
     from ticketloom.runtime import cut
 
     rows = cut(rows)
@@ -114,6 +118,8 @@ def _score_and_store(store: Store, rows: DataFrame, now: datetime, json_path: st
     sinks.save_predictions(predictions, store)
     if json_path:
         sinks.write_json(sinks.without_vectors(predictions), json_path, "tech_center")
+    if not move_marks:
+        return predictions
     marks = governance.prediction_watermarks(rows, now)
     sinks.write_table(schemas.conform(marks, schemas.PREDICTION_WATERMARKS), store, "prediction_watermarks")
     return predictions

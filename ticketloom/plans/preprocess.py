@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom import schemas
-from ticketloom.functions import providers
+from ticketloom.functions import providers, vectors
 from ticketloom.operators import preparation, scans
 
 PROCESSING_VERSION = "v2.0.0"
@@ -45,5 +45,21 @@ def preprocess(
 
 
 def to_table(preprocessed: DataFrame) -> DataFrame:
-    """Columns of the preprocessed table; rows without a vector are left to the failure report."""
+    """Columns of the preprocessed table; rows without a vector are those of :func:`failures`."""
     return schemas.conform(scans.with_vectors(preprocessed), schemas.PREPROCESSED_INCIDENTS)
+
+
+def failures(preprocessed: DataFrame, when: Column) -> DataFrame:
+    """Rows that got no vector, with the stage and the error, for ``processing_failures``."""
+    rows = preprocessed.where(~vectors.present(F.col("embedding"))).select(
+        "number", F.lit("embedding").alias("stage"),
+        F.coalesce("error_class", F.upper("embedding_status")).alias("error_class"),
+        F.col("error_message").alias("message"), "tech_center", when.alias("time_trigger"),
+    )
+    return schemas.conform(rows, schemas.PROCESSING_FAILURES)
+
+
+def to_retry(incidents: DataFrame, failed: DataFrame, done: DataFrame) -> DataFrame:
+    """Incidents that failed in an earlier run and are not in the table yet."""
+    open_ = failed.select("number").distinct().join(done.select("number"), "number", "left_anti")
+    return incidents.join(open_, "number", "left_semi")

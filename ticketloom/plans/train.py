@@ -155,7 +155,7 @@ def _cycle_rows(judged: DataFrame, domain_rows: DataFrame, counts: DataFrame, no
             F.lit(now.month).alias("training_month"), F.lit(now.year).alias("training_year"),
             end.alias("training_completed_date"),
             F.concat(F.lit("model_components/"), path).alias("umap_artifact_path"),
-            F.concat(F.lit("model_points/"), path).alias("hdbscan_artifact_path"),
+            F.concat(F.lit("model_points/"), path).alias("clusterer_artifact_path"),
             F.concat(F.lit("model_labels/"), path).alias("metadata_artifact_path"),
             text.versioned_name("cluster_results", F.col("model_version"), F.col("model_hash")).alias("cluster_results_table"),
             F.lit("preprocessed_incidents").alias("embeddings_source_table"),
@@ -175,7 +175,7 @@ def _registry_rows(cycles: DataFrame, judged: DataFrame, now: datetime, months:
     return cycles.join(metrics, MODEL).select(
         *MODEL, F.lit("density").alias("model_type"),
         dates.window_start(end, months).cast("date").alias("training_data_start"), F.to_date(end).alias("training_data_end"),
-        F.col("hdbscan_artifact_path").alias("blob_path"), end.alias("created_timestamp"),
+        F.col("clusterer_artifact_path").alias("blob_path"), end.alias("created_timestamp"),
         F.lit(None).cast("string").alias("model_params"), F.col("clusters_count").alias("cluster_count"), "silhouette_score",
         F.when(F.col("training_status") == "SUCCESS", "active").otherwise("rejected").alias("model_status"),
         end.alias("training_date"), end.alias("updated_at"), "incidents_count", "metrics",

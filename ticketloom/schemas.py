@@ -96,7 +96,7 @@ MODEL_REGISTRY = _schema(
 TRAINING_CYCLES = _schema(
     "training_cycle_id STRING!, tech_center STRING!, tech_center_slug STRING!, training_month INTEGER!,"
     "training_year INTEGER!, training_completed_date TIMESTAMP!, umap_artifact_path STRING!,"
-    "hdbscan_artifact_path STRING!, metadata_artifact_path STRING!, cluster_results_table STRING!,"
+    "clusterer_artifact_path STRING!, metadata_artifact_path STRING!, cluster_results_table STRING!,"
     "embeddings_source_table STRING!, model_version STRING!, model_hash STRING!, clusters_count INTEGER,"
     "domains_count INTEGER, incidents_count INTEGER, silhouette_score FLOAT, noise_ratio FLOAT,"
     "training_status STRING!, error_message STRING, created_timestamp TIMESTAMP!"
@@ -114,6 +114,9 @@ PREDICTION_WATERMARKS = _schema(
     "tech_center STRING!, prediction_timestamp TIMESTAMP!, last_processed_incident_time TIMESTAMP,"
     "processed_incident_count INTEGER"
 )
+PROCESSING_FAILURES = _schema(
+    "number STRING!, stage STRING!, error_class STRING, message STRING, tech_center STRING, time_trigger TIMESTAMP!"
+)
 ARTEFACTS = _schema(
     "tech_center STRING!, model_version STRING!, model_hash STRING!, kind STRING!, path STRING!,"
     "last_modified TIMESTAMP!, payload JSON"
@@ -134,6 +137,7 @@ ALL = {
     "watermarks": WATERMARKS,
     "preprocessing_watermarks": RUN_WATERMARKS,
     "prediction_watermarks": PREDICTION_WATERMARKS,
+    "processing_failures": PROCESSING_FAILURES,
     "artefacts": ARTEFACTS,
 }
 

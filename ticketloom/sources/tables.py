@@ -18,15 +18,9 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame, small: int = 1 << 30) -> DataFrame:
-    """Spread a small input of few files over the cores before costly text work.
-
-    One file with one row group is one task. Inputs above ``small`` bytes have splits enough and are left as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size <= small and len(df.inputFiles()) < cores else df
+def spread(df: DataFrame) -> DataFrame:
+    """Rebalance rows before costly text work, whatever the size of the input: few large row groups become even tasks."""
+    return df.hint("rebalance")
 
 
 def run_sql(spark: SparkSession, statement: str, args: dict[str, Any] | None = None, **frames: DataFrame) -> DataFrame:

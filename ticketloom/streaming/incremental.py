@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticketloom import schemas
 from ticketloom.functions import dates
 from ticketloom.operators import governance, scans
-from ticketloom.plans.preprocess import preprocess, to_table
+from ticketloom.plans.preprocess import failures, preprocess, to_retry, to_table
 from ticketloom.sources.sinks import write_table
 from ticketloom.sources.tables import Store
 
@@ -32,19 +32,21 @@ def hourly_counts(df: DataFrame, service: str = "business_service", time: str =
 
 
 def boundary_gap(df: DataFrame, time: str) -> DataFrame:
-    """Rows that fall between two hourly windows when the next one starts a second after the last."""
+    """Rows that fall between two windows that include both ends, when the next starts a second after a full hour."""
     past = F.col(time).cast("double") - F.date_trunc("hour", time).cast("double")
     return df.where((past > 0) & (past < 1))
 
 
-def next_window(store: Store, now: datetime, start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+def next_window(
+    store: Store, now: datetime, start_date: str | None = None, end_date: str | None = None, parity: bool = False
+) -> DataFrame:
     """One-row frame with the window of the next run."""
     runs = store.read("preprocessing_watermarks")
     last = runs.withColumn("run_id", F.col("time_trigger")).orderBy(F.desc("time_trigger")).limit(1)
     spark = store.spark
     one = spark.range(1).select(F.lit(now).cast("timestamp").alias("now"), F.lit(1).alias("_one"))
     end = governance.latest_run(last).select("end_time").withColumn("_one", F.lit(1))
-    window = dates.back_fill_window(start_date, end_date, F.col("end_time"), F.col("now"))
+    window = dates.back_fill_window(start_date, end_date, F.col("end_time"), F.col("now"), parity)
     return one.join(end, "_one", "left").select(window.alias("w")).select("w.*")
 
 
@@ -57,15 +59,26 @@ def run_incremental(
     end_date: str | None = None,
     overwrite: bool = False,
     overwrite_watermark: bool = False,
-    half_open: bool = False,
+    parity: bool = False,
+    retry: bool = False,
     **options,
 ) -> dict:
-    """One run: scan the window, preprocess, append new rows, then advance the watermark - also after an empty run."""
-    w = next_window(store, now, start_date, end_date).first()  # a single row
-    rows = scans.window_scan(incidents, w.start_time, w.end_time, closed=not half_open)
-    done = preprocess(rows, F.lit(now).cast("timestamp"), services, **options)
-    table = "preprocessed_incidents"
+    """One run: scan the window, preprocess, append new rows, then advance the watermark - also after an empty run.
+
+    Windows are half-open and follow each other without a gap (``parity``: both ends included, a second apart). Rows
+    without a vector go to ``processing_failures`` with their stage and error; ``retry`` takes those of earlier runs
+    along.
+    """
+    w = next_window(store, now, start_date, end_date, parity).first()  # a single row
+    rows = scans.window_scan(incidents, w.start_time, w.end_time, closed=parity)
+    trigger = F.lit(now).cast("timestamp")
+    table, failed = "preprocessed_incidents", "processing_failures"
+    if retry and store.exists(failed):
+        again = to_retry(incidents, store.read(failed), store.read(table)).select(*rows.columns)
+        rows = rows.unionByName(again).dropDuplicates([KEY])
+    done = preprocess(rows, trigger, services, **options).persist()
     fresh = to_table(done)
+    write_table(failures(done, trigger), store, failed)
     if not overwrite:
         fresh = new_rows_only(fresh, store.read(table))
     write_table(fresh, store, table, "WRITE_TRUNCATE" if overwrite else "WRITE_APPEND")
@@ -83,6 +96,7 @@ def run_incremental(
             record.alias("run_details"),
         )
     )
+    done.unpersist()
     disposition = "WRITE_TRUNCATE" if overwrite_watermark else "WRITE_APPEND"
     # the record is a single row; taking it first lets the same table be replaced
     single = store.spark.createDataFrame(mark.collect(), schemas.RUN_WATERMARKS)
