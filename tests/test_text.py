@@ -66,7 +66,7 @@ def test_words_tokens_and_chunks(spark):
 def test_embedding_checks(spark):
     df = spark.createDataFrame([("  ",), ("x" * 50,), ("hello world",), (None,)], "t string")
     got = [(r.status, r.prepared) for r in preparation.embedding_input(df, "t", 10).collect()]
-    assert got == [("empty", None), ("truncated", "x" * 40), ("valid", "hello world"), ("empty", None)]
+    assert got == [("empty", None), ("long", "x" * 50), ("valid", "hello world"), ("empty", None)]
     assert column(spark, ["", "short", "x" * 99, "good enough"], lambda c: preparation.strict_reason(c, 20)) == [
         "empty", "too_short", "too_long", None
     ]

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ticketloom.catalogue.registry import query
-from ticketloom.catalogue.text_queries import _combined, _deep, _email_free, _words
+from ticketloom.catalogue.text_queries import _combined, _deep, _email_free, _leading, _words
 from ticketloom.functions import text
 from ticketloom.operators import governance, lookups, preparation, scans
 from ticketloom.sources.sample_views import incident_number
@@ -202,11 +202,11 @@ def _(v):
 
 @query(
     "valid_text_filter",
-    f"""SELECT doc_id, CASE WHEN length(c) > 500 THEN substr(c, 1, 500) || '...' ELSE c END AS text
+    f"""SELECT doc_id, c AS text
         FROM (SELECT doc_id, {_deep('text')} AS c FROM documents) WHERE length(c) >= 10""",
 )
 def _(v):
-    return preparation.clean_and_filter(v.table("documents"), "text", max_length=500).select("doc_id", "text")
+    return preparation.clean_and_filter(v.table("documents"), "text").select("doc_id", "text")
 
 
 @query(
@@ -220,9 +220,8 @@ def _(v):
 
 @query(
     "embedding_input",
-    """SELECT doc_id, CASE WHEN length(t) = 0 THEN 'empty' WHEN length(t) // 4 > 400 THEN 'truncated' ELSE 'valid' END AS status,
-              CASE WHEN length(t) = 0 THEN NULL WHEN length(t) // 4 > 400 THEN trim(substr(t, 1, 1600), E' \\n\\t\\r') ELSE t END
-                AS prepared FROM (SELECT doc_id, trim(text, E' \\n\\t\\r') AS t FROM documents)""",
+    """SELECT doc_id, CASE WHEN length(t) = 0 THEN 'empty' WHEN length(t) // 4 > 400 THEN 'long' ELSE 'valid' END AS status,
+              nullif(t, '') AS prepared FROM (SELECT doc_id, trim(text, E' \\n\\t\\r') AS t FROM documents)""",
 )
 def _(v):
     return preparation.embedding_input(v.table("documents"), "text", 400).select("doc_id", "status", "prepared")
@@ -241,11 +240,13 @@ def _(v):
 
 @query(
     "embedding_chars_filter",
-    """SELECT doc_id, trim(CASE WHEN length(text) > 8000 THEN substr(text, 1, 8000) || '...' ELSE text END, E' \\n\\t\\r') AS text
-       FROM documents WHERE length(trim(text)) > 0""",
+    """SELECT doc_id, t AS text, greatest(ceil(length(t) / 8000), 1)::BIGINT AS n_pieces, t[8001:16000] AS second
+       FROM (SELECT doc_id, trim(text, E' \\n\\t\\r') AS t FROM documents) WHERE length(t) > 0""",
 )
 def _(v):
-    return preparation.filter_by_chars(v.table("documents"), "text").select("doc_id", "text")
+    cut = preparation.filter_by_chars(v.table("documents"), "text")
+    second = F.coalesce(F.get("pieces", F.lit(1)), F.lit(""))
+    return cut.select("doc_id", "text", F.size("pieces").cast("long").alias("n_pieces"), second.alias("second"))
 
 
 @query("rename_columns", "SELECT number AS incident_number, sys_created_on AS created_date FROM incidents")
@@ -342,7 +343,7 @@ def _(v):
 
 @query(
     "reassociate_vectors",
-    f"""SELECT i.number, len(e.embedding)::BIGINT AS dims, array_to_string(({_words('description')})[1:30], ' ') AS summary
+    f"""SELECT i.number, len(e.embedding)::BIGINT AS dims, {_leading('description')} AS summary
         FROM incidents i JOIN embeddings e ON i.number = 'INC' || lpad(CAST(e.vec_id AS VARCHAR), 7, '0')""",
 )
 def _(v):
@@ -350,7 +351,7 @@ def _(v):
     return v.incidents.join(vecs, "number").select(
         "number",
         F.size("embedding").cast("long").alias("dims"),
-        text.first_words(F.col("description")).alias("summary"),
+        text.leading_words(F.col("description")).alias("summary"),
     )
 
 
@@ -429,18 +430,18 @@ def _(v):
 
 @query(
     "summary_length_check",
-    f"""SELECT source, count(*) AS n, count(*) FILTER (least(len({_words('text')}), 30) <= 30) AS compliant,
-               max(least(len({_words('text')}), 30))::BIGINT AS longest FROM documents GROUP BY source""",
+    f"""SELECT source, count(*) AS n, count(*) FILTER (len(list_distinct({_words('text')})) >= 30) AS full_length,
+               sum(least(len(list_distinct({_words('text')})), 30))::BIGINT AS words FROM documents GROUP BY source""",
 )
 def _(v):
-    words = text.word_count(text.first_words(F.col("text")))
+    words = text.word_count(text.leading_words(F.col("text")))
     return (
         v.table("documents")
         .groupBy("source")
         .agg(
             F.count("*").alias("n"),
-            F.count_if(words <= text.SUMMARY_WORDS).alias("compliant"),
-            F.max(words).alias("longest"),
+            F.count_if(words == text.SUMMARY_WORDS).alias("full_length"),
+            F.sum(words).alias("words"),
         )
     )
 
@@ -459,7 +460,7 @@ def _(v):
 @query(
     "preprocess_texts",
     f"""SELECT i.number, i.sys_created_on, CASE WHEN length(c) < 100 THEN c
-               ELSE array_to_string(({_words('c')})[1:30], ' ') END AS combined_incidents_summary, i.business_service, t.TechCenter AS tech_center
+               ELSE {_leading('c')} END AS combined_incidents_summary, i.business_service, t.TechCenter AS tech_center
         FROM (SELECT number, {_deep('(' + _combined() + ')')} AS c FROM incidents) x
         JOIN incidents i USING (number) LEFT JOIN team_services t ON i.business_service = t.business_service
         WHERE length(c) >= 10""",

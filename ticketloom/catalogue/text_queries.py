@@ -46,6 +46,13 @@ def _words(c: str) -> str:
     return f"list_filter(string_split_regex({c}, '{_WS}+'), lambda w: w <> '')"
 
 
+def _leading(c: str) -> str:
+    """The thirty most frequent words, the earlier first."""
+    w = _words(c)
+    ranked = f"list_sort(list_transform(map_entries(list_histogram({w})), lambda e: {{'n': -(e.value::BIGINT), 'p': list_position({w}, e.key), 'w': e.key}}))"
+    return f"array_to_string(list_transform(({ranked})[1:30], lambda s: s.w), ' ')"
+
+
 @query("text_deep_clean", f"SELECT doc_id, {_deep('text')} AS cleaned FROM documents")
 def _(v):
     return v.table("documents").select("doc_id", text.deep_clean(F.col("text")).alias("cleaned"))
@@ -114,7 +121,7 @@ def _email_free(c: str) -> str:
         CASE WHEN length({_email_free('description')}) < 300
              THEN trim({_summary('short_description')} || ' - ' || {_normal('business_service')}) END AS summary,
         CASE WHEN length({_email_free('description')}) >= 300
-             THEN substr({_email_free('description')}, 1, 1500) END AS summary_input FROM incidents""",
+             THEN {_email_free('description')} END AS summary_input FROM incidents""",
 )
 def _(v):
     from ticketloom.operators import preparation
@@ -125,21 +132,21 @@ def _(v):
 @query(
     "append_service",
     f"""SELECT number, CASE WHEN svc = '' OR contains(lower(s), lower(svc)) THEN s ELSE s || ' - ' || svc END AS summary
-        FROM (SELECT number, array_to_string(({_words('description')})[1:30], ' ') AS s,
+        FROM (SELECT number, {_leading('description')} AS s,
                      {_normal('business_service')} AS svc FROM incidents)""",
 )
 def _(v):
     return v.incidents.select(
         "number",
         text.append_if_missing(
-            text.first_words(F.col("description")), text.normalize_service(F.col("business_service"))
+            text.leading_words(F.col("description")), text.normalize_service(F.col("business_service"))
         ).alias("summary"),
     )
 
 
 @query(
     "final_sweep_fill",
-    f"""SELECT number, coalesce(CASE WHEN quality = 1 THEN array_to_string(({_words('description')})[1:30], ' ') END,
+    f"""SELECT number, coalesce(CASE WHEN quality = 1 THEN {_leading('description')} END,
                trim(coalesce(short_description, '') || ' - ' || {_normal('business_service')})) AS summary
         FROM (SELECT i.*, l.quality FROM incidents i LEFT JOIN labels l
               ON i.number = 'INC' || lpad(CAST(l.doc_id AS VARCHAR), 7, '0'))""",
@@ -152,7 +159,7 @@ def _(v):
     done = (
         v.incidents.join(labels, "number")
         .where("quality = 1")
-        .select("number", text.first_words(F.col("description")).alias("combined_incidents_summary"))
+        .select("number", text.leading_words(F.col("description")).alias("combined_incidents_summary"))
     )
     return preparation.reuse_summaries(v.incidents, done).select(
         "number", F.col("combined_incidents_summary").alias("summary")
@@ -162,7 +169,7 @@ def _(v):
 @query(
     "summary_skip_short",
     f"""SELECT doc_id, CASE WHEN length(text) < 100 THEN text
-            ELSE regexp_replace(array_to_string(({_words('text')})[1:30], ' '), '^["'']+|["'']+$', '', 'g') END AS summary
+            ELSE regexp_replace({_leading('text')}, '^["'']+|["'']+$', '', 'g') END AS summary
         FROM documents""",
 )
 def _(v):
@@ -170,7 +177,7 @@ def _(v):
     return v.table("documents").select(
         "doc_id",
         F.when(F.length(t) < text.SUMMARY_SKIP_CHARS, t)
-        .otherwise(text.strip_quotes(text.first_words(t)))
+        .otherwise(text.strip_quotes(text.leading_words(t)))
         .alias("summary"),
     )
 

@@ -505,16 +505,15 @@ def _(v):
 
 @query(
     "embed_texts",
-    f"""SELECT doc_id, 'valid' AS embedding_status, 64::BIGINT AS dims,
+    f"""SELECT doc_id, CASE WHEN length(trim(text, E' \\n\\t\\r')) // 4 > 8191 THEN 'long' ELSE 'valid' END AS embedding_status, 64::BIGINT AS dims,
           CASE WHEN len({_TOK.format('text')}) > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS length FROM documents""",
 )
 def _(v):
     from ticketloom.functions import providers
 
     done = providers.embed(v.table("documents"), "text", dims=64)
-    status = F.when(F.col("embedding_status") == "truncated", "valid").otherwise(F.col("embedding_status"))
     return done.select(
-        "doc_id", status.alias("embedding_status"), F.size("embedding").cast("long").alias("dims"),
+        "doc_id", "embedding_status", F.size("embedding").cast("long").alias("dims"),
         F.round(vectors.norm(F.col("embedding")), 6).alias("length"),
     )
 

@@ -1,7 +1,7 @@
 """Pluggable text summaries and embeddings.
 
-Without a provider both run inside the JVM: the summary is the first words of the text, the vector a hashed bag of
-words of unit length. A provider is a callable on a list of texts; it is called on Arrow batches in the tasks, and a
+Without a provider the summary is the most frequent words of the text, the vector a hashed bag of all its words of
+unit length. A provider is a callable on a list of texts; it is called on Arrow batches in the tasks, and a
 batch it refuses is halved until the rows that fail stand alone.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
@@ -39,21 +40,42 @@ def _call(provider: Provider, texts: list[str], attempts: int) -> list[tuple[obj
     return _call(provider, texts[:half], attempts) + _call(provider, texts[half:], attempts)
 
 
-def _apply(df: DataFrame, column: str, provider: Provider, out: str, kind: T.DataType, batch: int, attempts: int):
+def weighted_mean(vectors_: list[Sequence[float]], weights: list[int]) -> list[float]:
+    """Mean vector of the pieces of a text, by their lengths."""
+    return np.average(np.asarray(vectors_, float), axis=0, weights=weights).tolist()
+
+
+def _apply(
+    df: DataFrame, column: str, provider: Provider, out: str, kind: T.DataType, batch: int, attempts: int,
+    piece_chars: int | None = None, merge: Callable[[list, list[int]], object] | None = None,
+):
+    """Call the provider on every text; a text longer than ``piece_chars`` goes in pieces whose results are merged."""
     schema = T.StructType([*df.schema.fields, T.StructField(out, kind), T.StructField("error_message", T.StringType())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             wanted = frame[column].notna()
-            texts = frame.loc[wanted, column].tolist()
+            owners: list[int] = []
+            pieces: list[str] = []
+            for row, text_ in zip(np.flatnonzero(wanted), frame.loc[wanted, column]):
+                step = piece_chars or max(len(text_), 1)
+                mine = [text_[i : i + step] for i in range(0, max(len(text_), 1), step)]
+                pieces += mine
+                owners += [row] * len(mine)
             answers: list[tuple[object, str | None]] = []
-            for i in range(0, len(texts), batch):
-                answers.extend(_call(provider, texts[i : i + batch], attempts))
-            frame[out] = None
-            frame["error_message"] = None
-            for index, (value, message) in zip(frame.index[wanted], answers):
-                frame.at[index, out] = value
-                frame.at[index, "error_message"] = message
+            for i in range(0, len(pieces), batch):
+                answers.extend(_call(provider, pieces[i : i + batch], attempts))
+            values: list[object] = [None] * len(frame)
+            messages: list[str | None] = [None] * len(frame)
+            parts: dict[int, list[tuple[object, int]]] = {}
+            for row, piece, (value, message) in zip(owners, pieces, answers):
+                parts.setdefault(row, []).append((value, len(piece)))
+                messages[row] = messages[row] or message
+            for row, found in parts.items():
+                if messages[row] is None:
+                    values[row] = found[0][0] if len(found) == 1 else merge(*map(list, zip(*found)))
+            frame[out] = pd.Series(values, index=frame.index, dtype=object)
+            frame["error_message"] = pd.Series(messages, index=frame.index, dtype=object)
             yield frame
 
     return df.mapInPandas(run, schema)
@@ -77,7 +99,11 @@ def embed(
     zero_on_failure: bool = False,
     out: str = "embedding",
 ) -> DataFrame:
-    """Add a vector, ``embedding_status`` and ``error_class``. Rows stay tied to their key; none is dropped."""
+    """Add a vector, ``embedding_status`` and ``error_class``. Rows stay tied to their key; none is dropped.
+
+    The whole text counts: one that is too long for a provider is embedded in pieces, and its vector is their mean by
+    length. A text with a failed piece has failed.
+    """
     from ticketloom.operators.preparation import embedding_input
 
     staged = embedding_input(df, column)
@@ -86,7 +112,7 @@ def embed(
         done = done.withColumn(out, F.when(F.col("status") != "empty", F.col(out)))
     else:
         kind = T.ArrayType(T.DoubleType(), containsNull=False)
-        done = _apply(staged, "prepared", provider, out, kind, batch, attempts)
+        done = _apply(staged, "prepared", provider, out, kind, batch, attempts, 4 * text.EMBEDDING_TOKENS, weighted_mean)
     failed = F.col("error_message").isNotNull()
     vector: Column = F.col(out)
     if zero_on_failure:
@@ -112,7 +138,7 @@ def summarize(
     source = F.col(column)
     is_short = F.length(source) < text.SUMMARY_SKIP_CHARS
     if provider is None:
-        return df.withColumn(out, F.when(is_short, source).otherwise(text.first_words(source))).withColumn(
+        return df.withColumn(out, F.when(is_short, source).otherwise(text.leading_words(F.when(~is_short, source)))).withColumn(
             "summary_source", F.when(is_short, "short_text").otherwise("built_in")
         )
     staged = df.withColumn("_input", F.when(~is_short, source))

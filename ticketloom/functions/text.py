@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,13 +28,11 @@ FENCE = r"^```(?:json)?|```$"
 PLACEHOLDER = "No description available"
 PART_SEPARATOR = " | "
 MIN_LENGTH = 10
-MAX_INPUT_CHARS = 400_000
 CHUNK_CHARS = 50_000
 EMBEDDING_TOKENS = 8191
 STRICT_EMBEDDING_TOKENS = 8192
 EMBEDDING_CHARS = 8000
 SHORT_DESCRIPTION = 300
-SUMMARY_INPUT_CHARS = 1500
 SUMMARY_SKIP_CHARS = 100
 SUMMARY_WORDS = 30
 CENTER_PREFIX = "BT-TC-"
@@ -141,10 +141,14 @@ def strip_quotes(text: Column) -> Column:
     return F.regexp_replace(text, r"""^["']+|["']+$""", "")
 
 
-def first_words(text: Column, limit: int = SUMMARY_WORDS) -> Column:
-    """Built-in summary: the first words of the text. The text is split only as far as it is needed."""
-    words = F.filter(F.split(text, SPACES, limit + 2), lambda w: w != "")
-    return F.array_join(F.slice(words, 1, limit), " ")
+def leading_words(text: Column, limit: int = SUMMARY_WORDS) -> Column:
+    """Built-in summary of the whole text: its most frequent words, the earlier one first where they are equally frequent."""
+
+    @F.pandas_udf("string")
+    def leading(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: None if w is None else " ".join(x for x, _ in Counter(w).most_common(limit)))
+
+    return leading(F.filter(F.split(text, SPACES), lambda w: w != ""))
 
 
 def word_count(text: Column) -> Column:

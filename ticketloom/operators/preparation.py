@@ -30,29 +30,26 @@ def clean_and_filter(
     column: str,
     fast: bool = False,
     min_length: int = text.MIN_LENGTH,
-    max_length: int = text.MAX_INPUT_CHARS,
+    max_length: int | None = None,
 ) -> DataFrame:
-    """Clean a text column, keep rows of the minimum length and cut over-long ones with an ellipsis."""
+    """Clean a text column and keep rows of the minimum length; only if ``max_length`` is given, longer ones are cut."""
     cleaned = text.fast_clean(F.col(column)) if fast else text.deep_clean(F.col(column))
     # a plain filter would be pushed below the projection and clean every text twice
     long_enough = F.filter(F.array(cleaned), lambda t: F.length(t) >= min_length)
-    return df.withColumn("_cleaned", F.explode(long_enough)).withColumn(
-        column, text.truncate(F.col("_cleaned"), max_length)
-    ).drop("_cleaned")
+    out = F.col("_cleaned") if max_length is None else text.truncate(F.col("_cleaned"), max_length)
+    return df.withColumn("_cleaned", F.explode(long_enough)).withColumn(column, out).drop("_cleaned")
 
 
 def embedding_input(df: DataFrame, column: str, max_tokens: int = text.EMBEDDING_TOKENS) -> DataFrame:
-    """``status`` (empty, truncated, valid) and the ``prepared`` text for embedding."""
+    """``status`` (empty, long, valid) and the ``prepared`` text for embedding, always whole."""
     stripped = text.strip(F.col(column))
     empty = F.coalesce(F.length(stripped), F.lit(0)) == 0
     too_long = F.floor(F.length(stripped) / 4) > max_tokens
     return df.withColumn(
-        "status", F.when(empty, "empty").when(too_long, "truncated").otherwise("valid")
+        "status", F.when(empty, "empty").when(too_long, "long").otherwise("valid")
     ).withColumn(
         "prepared",
-        F.when(empty, F.lit(None).cast("string"))
-        .when(too_long, text.strip(F.substring(stripped, 1, max_tokens * 4)))
-        .otherwise(stripped),
+        F.when(~empty, stripped),
     )
 
 
@@ -67,10 +64,9 @@ def strict_reason(column: Column, max_tokens: int = text.STRICT_EMBEDDING_TOKENS
 
 
 def filter_by_chars(df: DataFrame, column: str, limit: int = text.EMBEDDING_CHARS) -> DataFrame:
-    """Drop empty texts and cut at a character limit."""
-    return df.where(F.length(text.strip(F.col(column))) > 0).withColumn(
-        column, text.strip(text.truncate(F.col(column), limit))
-    )
+    """Drop empty texts and add ``pieces``, the whole text in parts of at most ``limit`` characters."""
+    stripped = text.strip(F.col(column))
+    return df.where(F.length(stripped) > 0).withColumn(column, stripped).withColumn("pieces", text.chunks(F.col(column), limit))
 
 
 def route_summaries(df: DataFrame) -> DataFrame:
@@ -85,7 +81,7 @@ def route_summaries(df: DataFrame) -> DataFrame:
             "summary",
             F.when(is_short, text.short_dash_service(text.summary_clean(F.col("short_description")), service)),
         )
-        .withColumn("summary_input", F.when(~is_short, F.substring("_clean", 1, text.SUMMARY_INPUT_CHARS)))
+        .withColumn("summary_input", F.when(~is_short, F.col("_clean")))
         .drop("_clean")
     )
 
@@ -138,7 +134,7 @@ def embedding_report(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     agg = df.groupBy(*(keys or [])).agg(
         F.count("*").alias("total_processed"),
         F.count_if(F.col("status") == "empty").alias("empty_texts"),
-        F.count_if(F.col("status") == "truncated").alias("too_long_texts"),
+        F.count_if(F.col("status") == "long").alias("too_long_texts"),
         F.count_if(F.col("status") != "empty").alias("valid_texts"),
     )
     return agg.withColumn("success_rate", safe_rate(F.col("valid_texts"), F.col("total_processed")))

@@ -38,7 +38,7 @@ def preprocess(
         mapping = services.select("business_service", F.col("TechCenter").alias("tech_center"))
         rows = scans.with_center(rows, mapping)
     prepared = prepare_texts(rows, summary_provider, keep_placeholders)
-    embedded = providers.embed(prepared, provider=embedding_provider, dims=dims)
+    embedded = providers.embed(prepared, "combined_text", embedding_provider, dims)
     return embedded.withColumn("created_timestamp", created).withColumn(
         "processing_version", F.lit(PROCESSING_VERSION)
     )
