@@ -100,6 +100,10 @@ def test_json_repair(spark):
         ('x {"a": 1} , {"b": {"c": 2}} y }', "objects", None),
         ('{"k": "v", ?, "k": "w", "z": "q"', "pairs", None),
         ("nothing", "lost", "{}"),
+        ('{"a": "", "b": "x" "c": 1}', "commas", '{"a": "", "b": "x", "c": 1}'),
+        ('{"a": "p, q: r] {" "c": 1}', "commas", '{"a": "p, q: r] {", "c": 1}'),
+        ('{"a": [1, "x" "y,}" ["z" 2] ], b: true "d": null}', "commas", '{"a": [1, "x", "y,}", ["z", 2]], "b": true, "d": null}'),
+        ('{"a": "q\\" : {", "b": [{"c": 1} {"d": 2}]', "structure", '{"a": "q\\" : {", "b": [{"c": 1}, {"d": 2}]}'),
         (None, "lost", "{}"),
     ]
     df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, t string")

@@ -484,6 +484,24 @@ def _(v):
     )
 
 
+@query(
+    "json_repair_documents",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'structure' ELSE 'commas' END AS repair_stage,
+         '{"k":' || json_extract(props, '$.k') || ',"note":' || CASE event_id % 3 WHEN 0 THEN '[{"x":""},{"y":" , : } ] { "}]'
+           WHEN 1 THEN '"","type":"' || event_type || ' 5"' ELSE '[1,"p, q: r","",true],"n":null' END || '}' AS document FROM events""",
+)
+def _(v):
+    """Whole documents: nothing inside strings is touched, empty strings stay empty."""
+    k, head = F.col("event_id") % 3, F.regexp_replace("props", r"\}$", "")
+    raw = (
+        F.when(k == 0, F.concat(head, F.lit(', note: [{"x": ""} {"y": " , : } ] { "},],}')))
+        .when(k == 1, F.concat(head, F.lit(', "note": "" "type": "'), "event_type", F.lit(' 5"}')))
+        .otherwise(F.concat(head, F.lit(', "note": [1, "p, q: r" "" true] "n": null}')))
+    )
+    done = json_repair.repair(v.table("events").withColumn("raw", raw), "raw")
+    return done.select("event_id", "repair_stage", F.col("repaired").alias("document"))
+
+
 @query(
     "json_required_keys",
     """SELECT run_id, CASE WHEN json_valid(run_details) AND json_type(run_details) = 'OBJECT' THEN

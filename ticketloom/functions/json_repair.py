@@ -9,25 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rewrite rules of the structural stage, in order.
-STRUCTURAL_RULES = (
-    (r"([{,])\s*([a-zA-Z0-9_]+)\s*:", r'$1"$2":'),
-    (r"\}\s*\{", "},{"),
-    (r'"\s*\{', '",{'),
-    (r'\}\s*"', '},"'),
-    (r"\]\s*\[", "],["),
-    (r"\]\s*\{", "],{"),
-    (r"\}\s*\[", "},["),
-)
-COMMA_RULES = (
-    (r'"\s*"', '","'),
-    (r'\]\s*"', '],"'),
-    (r'"\s*\[', '",['),
-    (r'(true|false|null|\d)\s*"', r'$1,"'),
-)
-TRAILING_RULES = ((r",\s*\}", "}"), (r",\s*\]", "]"))
+# Neighbouring tokens (s: string, w: other scalar) between which the structural stage and the comma stage
+# put a missing comma, and the patterns of the last stages.
+STRUCTURAL_PAIRS = ("}{", "s{", "}s", "][", "]{", "}[")
+COMMA_PAIRS = STRUCTURAL_PAIRS + ("ss", "]s", "s[", "ws", "sw")
 TOPIC_PATTERN = r'"([^"]+)":\s*\{\s*"topic":\s*"([^"]*)"(?:[^}]*)"description":\s*"([^"]*)"'
 PAIR_PATTERN = r'"([^"]+)":\s*"([^"]+)"'
+TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s"{}\[\],:]+|"'
 END_DATE_PATTERN = r'"end_date\\?":\s*\\?"([^"\\]+)'
 
 
@@ -73,10 +61,30 @@ def _close(text: Column) -> Column:
     return F.concat(text, F.when(open_string, '"').otherwise(""), F.translate(F.reverse(left_open), "{[", "}]"))
 
 
-def _rewrite(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
+def _retokened(text: Column, pairs: tuple[str, ...]) -> Column:
+    """Put the text together again from its tokens: missing commas added, trailing ones left out, bare keys quoted.
+
+    Strings are tokens as a whole, so nothing inside them is touched; blanks between tokens go.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+    def kind(token: Column) -> Column:
+        whole = F.startswith(token, F.lit('"')) & F.endswith(token, F.lit('"')) & (F.length(token) > 1)
+        return F.when(whole, "s").when(token.isin(*"{}[],:"), token).otherwise("w")
+
+    def rebuilt(e: Column) -> Column:
+        before, token, after = e["before"], e["token"], e["after"]
+        bare_key = (kind(token) == "w") & (after == ":") & token.rlike("^[a-zA-Z0-9_]+$")
+        comma = F.concat(kind(before), kind(token)).isin(*pairs)
+        trailing = (token == ",") & after.isin("}", "]")
+        body = F.when(bare_key, _quoted(token)).when(trailing, F.lit("")).otherwise(token)
+        return F.concat(F.when(comma, F.lit(",")).otherwise(F.lit("")), body)
+
+    edge = F.array(F.lit(","))  # stands before the first and behind the last token
+    before = F.slice(F.concat(edge, tokens), 1, F.size(tokens))
+    after = F.slice(F.concat(tokens, edge), 2, F.size(tokens))
+    rows = F.arrays_zip(before.alias("before"), tokens.alias("token"), after.alias("after"))
+    return F.array_join(F.transform(rows, rebuilt), "")
 
 
 def _entries(keys: Column, values: Column) -> Column:
@@ -143,8 +151,8 @@ def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
         ("none", raw),
         ("closed", _close(F.col("_s0"))),
         ("printable", F.regexp_replace("_s1", r"[^\P{C}\n\r\t]", "")),
-        ("structure", _rewrite(F.col("_s2"), STRUCTURAL_RULES + TRAILING_RULES)),
-        ("commas", _rewrite(F.col("_s2"), STRUCTURAL_RULES + COMMA_RULES + TRAILING_RULES)),
+        ("structure", _retokened(F.col("_s2"), STRUCTURAL_PAIRS)),
+        ("commas", _retokened(F.col("_s2"), COMMA_PAIRS)),
         ("outer_object", F.regexp_extract("_s3", r"(?s)(\{.*\})", 1)),
         ("topics", topics),
         ("objects", merged),
