@@ -55,6 +55,19 @@ def test_training_stores_everything(trained):
     assert purity.groupBy("tech_center", "cluster_id").agg(F.countDistinct("t").alias("n")).where("n > 1").count() == 0
     assert trained.read("model_registry").where("model_status = 'active'").count() == 2
     assert trained.read("training_logs").count() == 2
+    assert {r.kind for r in trained.read("artefacts").collect()} == {"reducer", "clusterer", "metadata"}
+    assert all('"min_cluster_size": 10' in r.model_params for r in trained.read("model_registry").collect())
+
+
+def test_training_again_replaces_its_rows(spark, trained):
+    before = {t: trained.read(t).count() for t in ("training_cycle_metadata", "model_registry", "clusters", "artefacts", "cluster_results")}
+    few = trained.read("preprocessed_incidents").where("tech_center = 'BT-TC-Net'").limit(4).withColumn("tech_center", F.lit("BT-TC-Few"))
+    train.train(trained, trained.read("preprocessed_incidents").unionByName(few), NOW, options=OPTIONS)
+    after = {t: trained.read(t).count() for t in before}
+    assert after.pop("training_cycle_metadata") == before.pop("training_cycle_metadata") + 1
+    assert after == before
+    row = trained.read("training_cycle_metadata").where("tech_center = 'BT-TC-Few'").first()
+    assert (row.training_status, row.error_message, row.incidents_count) == ("FAILED", "too_few_rows", 4)
 
 
 def test_scoring_follows_the_model(spark, services, trained):

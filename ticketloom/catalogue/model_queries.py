@@ -650,16 +650,17 @@ def _(v):
 
 @query(
     "engine_status",
-    """SELECT c.tech_center, c.model_version, c.silhouette_score, p.last_prediction, p.n_predictions
+    """SELECT c.tech_center, c.model_version, c.silhouette_score, p.last_prediction, coalesce(p.n_predictions, 0) AS n_predictions
        FROM (SELECT tech_center, model_version, round(silhouette_score, 6) AS silhouette_score FROM cycles WHERE training_status = 'SUCCESS'
          QUALIFY row_number() OVER (PARTITION BY tech_center ORDER BY training_completed_date DESC, model_hash DESC) = 1) c
-       JOIN (SELECT tech_center, max(prediction_timestamp) AS last_prediction, count(*) AS n_predictions FROM predictions GROUP BY 1) p
+       LEFT JOIN (SELECT tech_center, max(prediction_timestamp) AS last_prediction, count(*) AS n_predictions FROM predictions
+                  WHERE tech_center <> 'BT-TC-0' GROUP BY 1) p
        USING (tech_center)""",
 )
 def _(v):
     from ticketloom.plans.analyse import engine_status
 
-    return _rounded(engine_status(v.cycles, v.predictions), "silhouette_score")
+    return _rounded(engine_status(v.cycles, v.predictions.where("tech_center <> 'BT-TC-0'")), "silhouette_score")
 
 
 @query(

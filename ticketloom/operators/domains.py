@@ -17,7 +17,8 @@ from ticketloom.operators.scans import top_per_group
 from ticketloom.runtime import cut
 
 RESTARTS = 10
-ROUNDS = 12
+#: Rounds between two looks at whether the centres have come to rest.
+ROUNDS = 4
 
 
 def keyed_kmeans(
@@ -30,7 +31,7 @@ def keyed_kmeans(
     rounds: int = ROUNDS,
     max_k: int = scoring.MAX_DOMAINS,
 ) -> DataFrame:
-    """k-means per key, best of several seeded starts. ``k`` is a column and at most ``max_k``.
+    """k-means per key, best of several seeded starts, each run until its cost falls no more. ``k`` is at most ``max_k``.
 
     The centres of a run are an array of at most ``max_k`` vectors, so the nearest one is found inside the row.
     """
@@ -54,14 +55,20 @@ def keyed_kmeans(
             .drop("_gaps", "_cs")
         )
 
-    for i in range(rounds):
-        mean = Summarizer.metrics("mean").summary(array_to_vector("_v"))
-        moved = nearest(centres).groupBy(*on, "_c").agg(mean.alias("_m")).select(*on, "_c", vector_to_array("_m.mean").alias("_m"))
-        centres = moved.groupBy(*on).agg(F.transform(F.array_sort(F.collect_list(F.struct("_c", "_m"))), lambda e: e["_m"]).alias("_cs"))
-        if i % 4 == 3:
-            centres = cut(centres)
+    earlier = None
+    while True:
+        for _ in range(rounds):
+            mean = Summarizer.metrics("mean").summary(array_to_vector("_v"))
+            moved = nearest(centres).groupBy(*on, "_c").agg(mean.alias("_m")).select(*on, "_c", vector_to_array("_m.mean").alias("_m"))
+            centres = moved.groupBy(*on).agg(F.transform(F.array_sort(F.collect_list(F.struct("_c", "_m"))), lambda e: e["_m"]).alias("_cs"))
+        centres = cut(centres)
+        cost = cut(nearest(centres).groupBy(*on).agg(F.sum("_cost").alias("_total")))
+        if earlier is not None:
+            falling = earlier.withColumnRenamed("_total", "_old").join(cost, on).where(F.col("_total") < F.col("_old") * (1 - 1e-9))
+            if falling.isEmpty():
+                break
+        earlier = cost
     placed = cut(nearest(centres))
-    cost = placed.groupBy(*on).agg(F.sum("_cost").alias("_total"))
     best = cost.groupBy(*keys).agg(F.min(F.struct("_total", "_run")).alias("_b")).select(*keys, F.col("_b._run").alias("_run"))
     chosen = placed.join(best, on)
     # domains are numbered by their smallest member

@@ -9,9 +9,9 @@ from ticketloom.operators import governance
 
 
 def engine_status(cycles: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Current model and last scoring run of every center."""
+    """Current model and last scoring run of every center, also of one that was never scored."""
     models = governance.latest_per_center(cycles).select("tech_center", "model_version", "silhouette_score")
     marks = predictions.groupBy("tech_center").agg(
         F.max("prediction_timestamp").alias("last_prediction"), F.count("*").alias("n_predictions")
     )
-    return models.join(marks, "tech_center")
+    return models.join(marks, "tech_center", "left").fillna(0, ["n_predictions"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
@@ -85,10 +86,10 @@ def _hash(options: TrainingOptions, day: str) -> Column:
 
 def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = dates.TRAINING_WINDOW_MONTHS,
           options: TrainingOptions | None = None) -> DataFrame:
-    """Train every center on its window and store results, model tables, registry and cycle rows.
+    """Train every center on its window and store results, model tables, artefact, registry and cycle rows.
 
-    A center that fails the quality gate is stored with status FAILED and the reasons; scoring takes successful cycles
-    only. Returns the cycle rows.
+    A center that fails the quality gate, or has fewer rows than a cluster needs, is stored with status FAILED and the
+    reasons; scoring takes successful cycles only. A rerun replaces its own partitions. Returns the cycle rows.
     """
     options = options or TrainingOptions()
     end = F.lit(now).cast("timestamp")
@@ -99,12 +100,9 @@ def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = da
     ).where(vectors.finite(F.col("embedding")))
     window = cut(window)
     # a center needs at least one cluster's worth of rows
-    counts = window.groupBy("tech_center").agg(F.count("*").alias("incidents_count"))
-    counts = cut(
-        counts.where(F.col("incidents_count") >= options.min_cluster_size)
-        .withColumn("model_version", F.lit(version))
-        .withColumn("model_hash", _hash(options, now.date().isoformat()))
-    )
+    seen = window.groupBy("tech_center").agg(F.count("*").alias("incidents_count"))
+    seen = cut(seen.withColumn("model_version", F.lit(version)).withColumn("model_hash", _hash(options, now.date().isoformat())))
+    counts = seen.where(F.col("incidents_count") >= options.min_cluster_size)
     usable = window.join(counts.select("tech_center"), "tech_center", "left_semi")
     clustered, axes = cluster_points(usable, options)
     points = cut(clustered.join(counts, "tech_center"))
@@ -124,9 +122,11 @@ def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = da
         F.col("description").alias("cluster_description"), "domain",
     )
     sinks.save_clusters(model_clusters, store, version, end)
-    cycles = cut(_cycle_rows(judged, results["domain_info"], counts, now, end))
-    sinks.write_table(cycles, store, "training_cycle_metadata")
-    sinks.write_table(_registry_rows(cycles, judged, now, months, end), store, "model_registry")
+    small = seen.where(F.col("incidents_count") < options.min_cluster_size)
+    cycles = cut(_cycle_rows(_with_small(judged, small), results["domain_info"], seen, now, end))
+    sinks.write_table(cycles, store, "training_cycle_metadata", "WRITE_TRUNCATE")
+    sinks.write_table(_registry_rows(cycles, judged, now, months, end, options), store, "model_registry", "WRITE_TRUNCATE")
+    sinks.save_artefacts(_artefact_rows(cycles.where("training_status = 'SUCCESS'"), end), store)
     logs = cycles.select(
         F.concat_ws("-", F.lit("train"), "tech_center", "model_hash").alias("run_id"), end.alias("timestamp"),
         F.lit("training").alias("pipeline_stage"), "tech_center", "model_version",
@@ -143,6 +143,25 @@ def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = da
     return cycles
 
 
+def _with_small(judged: DataFrame, small: DataFrame) -> DataFrame:
+    """Judgements of all centers: those with too few rows have failed for that reason."""
+    columns = [*MODEL, "silhouette_score", "noise_ratio", "n_clusters", "passed", "reasons"]
+    kinds = {f.name: f.dataType for f in judged.schema}
+    values = {"n_clusters": F.lit(0), "passed": F.lit(False), "reasons": F.array(F.lit("too_few_rows"))}
+    failed = small.select(*(F.col(c) if c in MODEL else values.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in columns))
+    return judged.select(*columns).unionByName(failed)
+
+
+def _artefact_rows(cycles: DataFrame, end: Column) -> DataFrame:
+    """One row for each stored part of a model: its kind, where it lies, and what it was made from."""
+    parts = {"reducer": "umap_artifact_path", "clusterer": "clusterer_artifact_path", "metadata": "metadata_artifact_path"}
+    kind = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("path")) for k, c in parts.items()]))
+    payload = F.to_json(F.struct("incidents_count", "clusters_count", "domains_count"))
+    return cycles.select(*MODEL, kind.alias("a"), end.alias("last_modified"), payload.alias("payload")).select(
+        *MODEL, "a.kind", "a.path", "last_modified", "payload"
+    )
+
+
 def _cycle_rows(judged: DataFrame, domain_rows: DataFrame, counts: DataFrame, now: datetime, end: Column) -> DataFrame:
     n_domains = domain_rows.where("domain_id >= 0").groupBy(*MODEL).agg(F.countDistinct("domain_id").alias("domains_count"))
     slug = text.center_slug(F.col("tech_center"))
@@ -168,7 +187,9 @@ def _cycle_rows(judged: DataFrame, domain_rows: DataFrame, counts: DataFrame, no
     )
 
 
-def _registry_rows(cycles: DataFrame, judged: DataFrame, now: datetime, months: int, end: Column) -> DataFrame:
+def _registry_rows(
+    cycles: DataFrame, judged: DataFrame, now: datetime, months: int, end: Column, options: TrainingOptions
+) -> DataFrame:
     metrics = judged.select(
         *MODEL, F.to_json(F.struct("n_clusters", "noise_ratio", "calinski_harabasz", "davies_bouldin", "stability_score")).alias("metrics")
     )
@@ -176,18 +197,17 @@ def _registry_rows(cycles: DataFrame, judged: DataFrame, now: datetime, months:
         *MODEL, F.lit("density").alias("model_type"),
         dates.window_start(end, months).cast("date").alias("training_data_start"), F.to_date(end).alias("training_data_end"),
         F.col("clusterer_artifact_path").alias("blob_path"), end.alias("created_timestamp"),
-        F.lit(None).cast("string").alias("model_params"), F.col("clusters_count").alias("cluster_count"), "silhouette_score",
+        F.lit(json.dumps(asdict(options), sort_keys=True, default=str)).alias("model_params"), F.col("clusters_count").alias("cluster_count"), "silhouette_score",
         F.when(F.col("training_status") == "SUCCESS", "active").otherwise("rejected").alias("model_status"),
         end.alias("training_date"), end.alias("updated_at"), "incidents_count", "metrics",
     )
 
 
 def train_if_due(store: Store, preprocessed: DataFrame, now: datetime, **kwargs) -> DataFrame | None:
-    """Train in the scheduled months only, and only if the version has no active model yet."""
+    """Train in the scheduled months only, and only the centers that have no active model of the version yet."""
     if now.month not in dates.TRAINING_MONTHS:
         return None
     version = f"{now.year}_q{(now.month - 1) // 3 + 1}"
     active = governance.version_exists(store.read("model_registry")).where(F.col("model_version") == version)
-    if not active.isEmpty():
-        return None
-    return train(store, preprocessed, now, **kwargs)
+    todo = preprocessed.join(active.select("tech_center").distinct(), "tech_center", "left_anti")
+    return None if todo.isEmpty() else train(store, todo, now, **kwargs)

@@ -145,6 +145,9 @@ PARTITIONS = {
     "cluster_results": ["model_version", "model_hash", "tech_center"],
     "versioned_training_results": ["model_version", "tech_center"],
     "training_data": ["training_version"],
+    "training_cycle_metadata": ["model_version", "model_hash", "tech_center"],
+    "model_registry": ["model_version", "model_hash", "tech_center"],
+    "artefacts": ["model_version", "model_hash", "tech_center"],
 }
 
 

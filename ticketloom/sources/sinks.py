@@ -79,10 +79,11 @@ def save_training_data(df: DataFrame, store: Store, version: str, created: Colum
 
 
 def save_clusters(df: DataFrame, store: Store, version: str, created: Column) -> None:
-    """One row per cluster of a version."""
+    """One row per cluster of a version; a rerun replaces the rows of its version and centers."""
     out = df.withColumn("created_at", created)
     rows = schemas.conform(out, schemas.CLUSTERS).withColumn("model_version", F.lit(version))
-    rows.write.mode("append").partitionBy("model_version").parquet(store.path("clusters"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("model_version", "tech_center").parquet(store.path("clusters"))
 
 
 def save_cluster_results(df: DataFrame, store: Store, predicted_at: Column) -> None:
@@ -124,7 +125,7 @@ def append_logs(df: DataFrame, store: Store) -> None:
 
 
 def save_artefacts(df: DataFrame, store: Store) -> None:
-    write_table(df, store, "artefacts")
+    write_table(df, store, "artefacts", "WRITE_TRUNCATE")
 
 
 def sorted_by_day(df: DataFrame, path: str, time: str, cluster_by: list[str]) -> None:
