@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.llm.blocks import GOLDEN, Words, blocks, keep_columns, mix, utf8
@@ -29,6 +29,14 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6
+#: Members of a bucket that the others may meet, round by round; pairs that no round settles are all formed after them.
+HUBS = (1, 8)
+#: Components of the finer signatures that rule pairs out, one bit each (two texts differ in half of those that disagree),
+#: and how far below the threshold a pair must seem: four standard deviations.
+FINE = 2048
+MARGIN = 0.055
+#: Bits of the filter that spares the move of texts without a candidate; its size does not depend on the data.
+FILTER_BITS = 1 << 24  # three bytes
 
 
 def shingles(texts: pa.Array, width: int = SHINGLE) -> tuple[Words, np.ndarray, np.ndarray]:
@@ -141,7 +149,7 @@ def multisets(texts: pa.Array, width: int = SHINGLE) -> tuple[Words, np.ndarray,
 
 
 def sketch(df: DataFrame, text: str, columns: Sequence[str], width: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``columns`` with ``key`` (128-bit digest of the word sequence, null if none), ``weight``, ``bands`` and ``signature``."""
+    """``columns`` with ``key`` (128-bit digest of the word sequence, null if none), ``weight`` and ``bands``."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema)
     size = bands * rows
 
@@ -156,19 +164,30 @@ def sketch(df: DataFrame, text: str, columns: Sequence[str], width: int = SHINGL
                 band = mix(band ^ sig[:, k::rows])
             digests = _digests(words)
             offsets = np.append(0, np.cumsum(full))
-            lists = [
-                pa.ListArray.from_arrays(pa.array(offsets * n, pa.int32()), pa.array(values[full].reshape(-1), kind))
-                for n, values, kind in ((bands, band.view(np.int64), pa.int64()), (size, (sig & np.uint64(0x7FFF)).astype(np.int16), pa.int16()))
-            ]
+            lists = pa.ListArray.from_arrays(pa.array(offsets * bands, pa.int32()), pa.array(band[full].view(np.int64).reshape(-1)))
             yield keep_columns(
                 batch, columns, key=pa.array(digests, pa.binary()),
-                weight=pa.array(np.bincount(owner, count, words.texts).astype(np.int64)), bands=lists[0], signature=lists[1],
+                weight=pa.array(np.bincount(owner, count, words.texts).astype(np.int64)), bands=lists,
             )
 
-    schema = "key binary, weight long, bands array<long>, signature array<short>"
+    schema = "key binary, weight long, bands array<long>"
     return df.select(*columns, F.col(text).alias("__text")).mapInArrow(run, ", ".join([x for x in (kinds, schema) if x]))
 
 
+def _bits(texts: DataFrame, width: int) -> DataFrame:
+    """``key`` and ``bits``: one bit of every component of a finer signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            words, owner, shingle, count = multisets(batch.column("text"), width)
+            sig = signatures(owner, shingle, count, words.texts, FINE)
+            packed = np.packbits((sig >> np.uint64(3) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(words.texts + 1) * (FINE // 64), pa.int32()), pa.array(packed.reshape(-1)))
+            yield keep_columns(batch, ["key"], bits=lists)
+
+    return texts.select("key", "text").mapInArrow(run, "key binary, bits array<long>")
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard of two multisets given as sorted distinct shingles with counts."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -224,48 +243,68 @@ def find_groups(
     width: int = SHINGLE,
     bands: int = BANDS,
     rows: int = ROWS,
-    partners: int = 3,
+    partners: int = 4,
 ) -> Groups:
     """Groups of texts with links of at least ``threshold`` between them.
 
     Texts with the same words are one node. Two nodes are candidates if a band of their signatures agrees (at a
-    similarity of 0.8 one pair in 17,000 is missed). First every node meets a few partners: the smallest and the largest
-    member of its buckets, those it shares most buckets with. Then every bucket whose members are still in several
-    components yields its pairs across components that the signatures don't rule out (agreement 0.14, four to five
-    standard deviations, below the threshold); pairs within a component can't change a group and are never formed. So
-    the number of links counts those that were looked at, at least one for every text that joined a group.
+    similarity of 0.8 one pair in 17,000 is missed). In a few rounds every node meets some partners: the members of its
+    buckets that most others meet, of these the ones it shares most buckets with, as long as they belong to another
+    component. Then the texts in buckets whose members are still in several components get finer signatures, and such a
+    bucket yields its pairs across components that these don't rule out (``MARGIN`` below the threshold); pairs within a
+    component can't change a group and are never formed. So the number of links counts those that were looked at, at
+    least one for every text that joined a group.
     """
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sketched = cut(sketch(source, "text", ["doc_id"], width, bands, rows))
     named = sketched.where("key IS NOT NULL")
     nodes = cut(
         named.groupBy("key").agg(
-            F.min("weight").alias("weight"), F.first("bands").alias("bands"), F.first("signature").alias("signature"),
-            F.min("doc_id").alias("least"),
+            F.min("weight").alias("weight"), F.first("bands").alias("bands"), F.min("doc_id").alias("least"),
         )
     )
     slots = nodes.select("key", F.explode("bands").alias("band"))
-    buckets = slots.groupBy("band").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")).where("n > 1")
-    shared = cut(slots.join(buckets, "band"))
-    pivot = F.explode(F.array_distinct(F.array("low", "high"))).alias("pivot")
-    met = shared.select("key", pivot).where("key <> pivot").groupBy("key", "pivot").agg(F.count("*").alias("n"))
-    best = met.groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "pivot")), False), 1, partners).alias("best"))
-    tried = cut(best.select("key", F.explode("best").alias("p")).select(
-        F.least("key", "p.pivot").alias("a"), F.greatest("key", "p.pivot").alias("b")).distinct())
-    wanted = cut(shared.select("key").distinct())
+    sizes = slots.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = cut(slots.join(sizes, "band"))
+    central = shared.groupBy("key").agg(F.sum("n").alias("met"))
+    members = cut(shared.join(central, "key").select("band", "key", "met"))
+    wanted = cut(central.select("key"))
     texts = cut(_texts(source, wanted))
-    links = cut(verified(tried, texts, threshold, width))
-    mixed = shared.select("band", "key").join(cut(_labelled(wanted, links)), "key")
+    labels = wanted.withColumn("component", F.col("key"))
+    links = tried = None
+    for hubs in HUBS:
+        # of every bucket that several components share, each member may meet the members that most others meet
+        mixed = members.join(labels, "key")
+        open_ = mixed.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("band")
+        mixed = cut(mixed.join(open_, "band"))
+        order = Window.partitionBy("band").orderBy(F.desc("met"), "key")
+        top = mixed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= hubs)
+        top = top.select("band", F.col("key").alias("hub"), F.col("component").alias("hub_component"))
+        met = mixed.join(top, "band").where("component <> hub_component").groupBy("key", "hub").agg(F.count("*").alias("n"))
+        if tried is not None:
+            both = tried.select(F.col("a").alias("key"), F.col("b").alias("hub"))
+            met = met.join(both.unionByName(both.select(F.col("hub").alias("key"), F.col("key").alias("hub"))), ["key", "hub"], "left_anti")
+        best = met.groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "hub")), False), 1, partners).alias("best"))
+        pairs = cut(best.select("key", F.explode("best").alias("p")).select(
+            F.least("key", "p.hub").alias("a"), F.greatest("key", "p.hub").alias("b")).distinct())
+        found = verified(pairs, texts, threshold, width)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = cut(found if links is None else links.unionByName(found))
+        labels = cut(_labelled(wanted, links))
+    mixed = members.join(labels, "key")
     open_ = mixed.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c <> d").select("band")
-    rest = cut(mixed.join(open_, "band")).join(nodes.select("key", "weight", "signature"), "key")
+    rest = cut(mixed.join(open_, "band").select("band", "key", "component"))
+    fine = cut(_bits(texts.join(rest.select("key").distinct(), "key", "left_semi"), width))
+    rest = rest.join(nodes.select("key", "weight", "bands"), "key").join(fine, "key")
     other = rest.select(*(F.col(c).alias(f"{c}_2") for c in rest.columns))
-    agree = F.aggregate(F.zip_with("signature", "signature_2", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
+    first_common = F.filter(F.zip_with("bands", "bands_2", lambda p, q: F.when(p == q, p)), lambda v: v.isNotNull())[0]
+    apart = F.aggregate(F.zip_with("bits", "bits_2", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
     across = rest.join(
         other,
         (F.col("band") == F.col("band_2")) & (F.col("key") < F.col("key_2")) & (F.col("component") != F.col("component_2"))
         & (F.col("weight") >= threshold * F.col("weight_2")) & (F.col("weight_2") >= threshold * F.col("weight"))
-        & (agree >= int((threshold - 0.14) * bands * rows)),
-    ).select(F.col("key").alias("a"), F.col("key_2").alias("b")).distinct()
+        & (first_common == F.col("band")) & (apart <= int(FINE * (1 - threshold + MARGIN) / 2)),
+    ).select(F.col("key").alias("a"), F.col("key_2").alias("b"))
     more = verified(across.join(tried, ["a", "b"], "left_anti"), texts, threshold, width)
     links = cut(links.unionByName(more))
     degree = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
@@ -327,17 +366,35 @@ def _digests(words: Words) -> list[bytes | None]:
     ]
 
 
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """Bit map over the first three bytes of the wanted keys, two megabytes whatever their number."""
+    slot = F.conv(F.hex(F.substring("key", 1, 3)), 16, 10).cast("long") + 1
+    parts = wanted.groupBy(F.bitmap_bucket_number(slot).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    out = np.zeros((FILTER_BITS >> 15, 1 << 12), np.uint8)
+    for r in parts.collect():
+        out[r["n"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.reshape(-1)
+
+
 def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text for each wanted key. A task sends each key once, so many copies of a text don't meet in one place."""
+    """One text for each wanted key.
+
+    A task sends each key once, so many copies of a text don't meet in one place. Most texts whose key isn't wanted are
+    held back by a filter of fixed size; the join then leaves out the rest.
+    """
+    shared = source.sparkSession.sparkContext.broadcast(_filter(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[bytes | None] = {None}
+        bits = shared.value
         for batch in blocks(batches, "text"):
-            digests = _digests(Words(*utf8(batch.column("text"))))
             new = []
+            digests = _digests(Words(*utf8(batch.column("text"))))
             for d in digests:
-                new.append(d not in sent)
-                sent.add(d)
+                slot = int.from_bytes(d[:3], "big") if d else 0
+                new.append(d not in sent and bool(bits[slot >> 3] >> (slot & 7) & 1))
+                if new[-1]:
+                    sent.add(d)
             yield keep_columns(batch, ["text"], key=pa.array(digests, pa.binary())).filter(pa.array(new))
 
     keyed = source.select("text").mapInArrow(run, "text string, key binary")
