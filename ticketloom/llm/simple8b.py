@@ -16,6 +16,28 @@ PACKING = [
     (2, 30), (1, 60),
 ]
 _TAIL = max(n for n, _ in PACKING)
+_COUNTS = np.array([1, *(n for n, _ in PACKING)])
+_WIDTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
+def _choices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """At every place, how many values a word that begins there takes, and its selector."""
+    if len(values) and values.max() < len(_WIDTHS):
+        width = _WIDTHS[values]
+    else:
+        width = np.frexp(values.astype(np.float64))[1].astype(np.uint8)  # never below the true number of bits
+    n = len(width)
+    widest = {1: np.concatenate([width, np.full(_TAIL, 255, np.uint8)])}
+    while max(widest) * 2 <= _TAIL:
+        k = max(widest)
+        widest[2 * k] = np.maximum(widest[k], np.append(widest[k][k:], np.full(k, 255, np.uint8)))
+    chosen = np.zeros(n, np.uint8)
+    for selector in range(len(PACKING), 0, -1):  # the last that fits takes the most
+        count, bits = PACKING[selector - 1]
+        k = 1 << (count.bit_length() - 1)
+        fits = np.maximum(widest[k][:n], widest[k][count - k :][:n]) <= bits
+        np.copyto(chosen, selector, where=fits)
+    return _COUNTS[chosen], chosen
 
 
 def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -33,28 +55,22 @@ def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarr
     flat[:n] = values
     padded[:, :block] = flat.reshape(rows, block)
     padded = padded.reshape(-1)
-    take, chosen = np.ones(len(padded), np.int16), np.zeros(len(padded), np.uint8)
-    open_ = np.ones(len(padded), bool)
-    for selector, (count, bits) in enumerate(PACKING, 1):
-        wide = np.zeros(len(padded) + count, np.int32)
-        np.cumsum(padded >> np.uint64(bits) != 0, out=wide[1 : len(padded) + 1])
-        wide[len(padded) + 1 :] = wide[len(padded)]
-        fits = (wide[count:][: len(padded)] == wide[: len(padded)]) & open_
-        take[fits], chosen[fits] = count, selector
-        open_ &= ~fits
+    take, chosen = _choices(padded)
     ends = np.minimum((np.arange(rows) + 1) * block, n) - np.arange(rows) * block
     stride = block + _TAIL
     live, at = np.arange(rows), np.zeros(rows, np.int64)
-    made: list[tuple[np.ndarray, np.ndarray]] = []
+    made: list[np.ndarray] = []
     while len(live):
         where = live * stride + at
-        made.append((live, where))
+        made.append(where)
         at = at + take[where]
         more = at < ends[live]
         live, at = live[more], at[more]
-    owner, where = (np.concatenate(x) for x in zip(*made))
-    order = np.argsort(owner, kind="stable")
-    owner, where = owner[order], where[order]
+    begins = np.zeros(len(padded), bool)
+    for where in made:
+        begins[where] = True
+    where = np.flatnonzero(begins)
+    owner = where // stride
     selectors = chosen[where]
     size = 1 + (selectors == 0)
     place = np.cumsum(size) - size
@@ -82,7 +98,7 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int, block: int = BLOCK) -
     for k in np.flatnonzero(selectors == 0):  # a raw word is no header, whatever its upper bits say
         if header[k]:
             header[k + 1] = False
-    counts = np.array([1, *(c for c, _ in PACKING)])[selectors] * header
+    counts = _COUNTS[selectors] * header
     owner = np.searchsorted(offsets, np.arange(len(words)), "right") - 1
     before = np.cumsum(counts) - counts
     start = before - before[offsets][owner] + owner * block

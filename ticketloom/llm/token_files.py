@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,21 +22,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm import simple8b
-from ticketloom.llm.blocks import BYTE_HASH, Words, blocks, span_hashes, utf8
+from ticketloom.llm.blocks import BYTE_HASH, blocks, byte_table, span_hashes, utf8
 
+#: Text that is encoded at a time.
+BATCH_BYTES = 2 << 20
 MAGIC = b"S8BF"
 HEADER = np.dtype([("magic", "S4"), ("documents", "<u4"), ("ids", "<u8"), ("blocks", "<u4"), ("words", "<u8")])
 #: Pieces of text that a task remembers with their ids; beyond that the memory starts afresh.
 REMEMBERED = 1_000_000
 LONGEST_PIECE = 64
+MARK = byte_table(lambda b: b in b".,;:!?")
+LETTER = byte_table(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 
 
 class PieceEncoder:
     """The ids a byte-level tokenizer gives to texts, worked out once for each distinct piece.
 
     The tokenizer's own splitting always breaks before a single space or line break that stands between printed
-    characters, so texts are cut there. Cut pieces with no other white space are remembered by hash; the rest (starts of
-    texts, runs of white space, very long pieces) goes through the tokenizer as it is.
+    characters, and between an ASCII letter and a mark such as a comma, so texts are cut there. Cut pieces with no other
+    white space are remembered by hash; the rest (starts of texts, runs of white space, very long pieces) goes through
+    the tokenizer as it is.
     """
 
     def __init__(self, definition: str, remembered: int = REMEMBERED) -> None:
@@ -44,6 +50,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.remembered = remembered
+        self.known = {}
         tokens = self.tokenizer.get_vocab(with_added_tokens=False)
         self.opening = np.zeros(max(tokens.values(), default=0) + 2, bool)
         for token, i in tokens.items():
@@ -51,22 +58,41 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
+        """Start afresh with the pieces that came up in more than one block."""
+        kept = np.flatnonzero(self.again[: len(self.known)]) if self.known else np.zeros(0, np.int64)
+        if len(kept) > self.remembered // 2:
+            kept = kept[:0]
+        hashes = np.fromiter(self.known, np.uint64, len(self.known))[kept].tolist() if len(kept) else []
+        sizes = self.sizes[kept] if len(kept) else np.zeros(0, np.int64)
+        run = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ids = self.ids[np.repeat(self.starts[kept], sizes) + np.arange(len(run)) - run] if len(kept) else np.zeros(0, np.uint32)
         self.known: dict[int, int] = {}
         self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.seen, self.again = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)
         self.ids, self.used = np.zeros(1 << 18, np.uint32), 0
+        self._store(hashes, sizes, ids)
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        """Slot of each hash, -1 if it is not known."""
+        return np.fromiter(map(self.known.get, hashes.tolist(), repeat(-1)), np.int64, len(hashes))
 
     def _store(self, hashes: list[int], sizes: np.ndarray, ids: np.ndarray) -> None:
         n, m = len(self.known), len(hashes)
         while n + m > len(self.starts):
-            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
+            for name in ("starts", "sizes", "seen", "again"):
+                setattr(self, name, np.resize(getattr(self, name), 2 * len(self.starts) if name == "starts" else len(self.starts)))
+        self.seen[n : n + m] = self.again[n : n + m] = False
+        self._room(len(ids))
         self.starts[n : n + m] = self.used + np.cumsum(sizes) - sizes
         self.sizes[n : n + m] = sizes
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
         self.known.update(zip(hashes, range(n, n + m)))
 
+    def _room(self, n: int) -> None:
+        while self.used + n > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -84,6 +110,7 @@ class PieceEncoder:
             back = odd[: len(raw)] | np.concatenate([[False], odd[: len(raw) - 1]])
             ends_odd = back[:-2] | lead[:-2]
             safe[1:-1] = blank[1:-1] & (prev > 32) & (prev != 127) & (after > 32) & (after != 127) & ~lead[2:] & ~ends_odd
+            safe[1:-1] |= MARK[raw[1:-1]] & LETTER[prev]
         edge = np.zeros(len(raw) + 1, bool)
         edge[offsets] = True
         safe &= ~edge[:-1] & ~edge[1:]
@@ -99,34 +126,43 @@ class PieceEncoder:
         ends = np.append(starts[1:], len(raw))
         blanks = np.zeros(len(raw) + 1, np.int64)
         np.cumsum(raw <= 32, out=blanks[1:])
-        usual = safe & (blanks[ends] - blanks[starts] == 1) & (ends - starts <= LONGEST_PIECE)
+        opened = raw[starts] <= 32
+        usual = safe & (blanks[ends] - blanks[starts] == opened) & (ends - starts <= LONGEST_PIECE)
         hashes = span_hashes(BYTE_HASH[raw], starts, ends)
         unique, where, inverse = np.unique(hashes[usual], return_index=True, return_inverse=True)
-        missing = [k for k, h in enumerate(unique.tolist()) if h not in self.known]
-        if missing:
+        slots = self._slots(unique)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
             first = np.flatnonzero(usual)[where[missing]]
-            joined = b"".join([raw[a:b].tobytes() for a, b in zip(starts[first].tolist(), ends[first].tolist())])
-            ids = np.array(self._plain([joined.decode("utf-8", "replace")])[0], np.uint32)
+            blank = opened[first]
+            pieces = [raw[a:b].tobytes() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+            # pieces that open with a blank are worked out as one text and parted where a token opens with one
+            ids = np.array(self._plain([b"".join(compress(pieces, blank)).decode("utf-8", "replace")])[0], np.uint32)
             begins = np.flatnonzero(self.opening[ids])
-            if len(begins) == len(missing):
-                self._store(unique[missing].tolist(), np.diff(np.append(begins, len(ids))), ids)
-            else:  # a token of the vocabulary opens with white space inside a piece: ask for each piece
-                each = self._plain([raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[first], ends[first])])
-                self._store(unique[missing].tolist(), np.array([len(x) for x in each]), np.array([i for x in each for i in x], np.uint32))
-        slots = np.array([self.known[h] for h in unique.tolist()], np.int64)[inverse] if len(unique) else inverse
+            if len(begins) != blank.sum():  # some token opens with a blank inside a piece
+                blank, ids, begins = np.zeros(len(pieces), bool), ids[:0], begins[:0]
+            each = self._plain([x.decode("utf-8", "replace") for x in compress(pieces, ~blank)])
+            order = np.concatenate([missing[blank], missing[~blank]])
+            counts = np.concatenate([np.diff(np.append(begins, len(ids))), np.array([len(x) for x in each], np.int64)])
+            self._store(unique[order].tolist(), counts, np.concatenate([ids, np.array([i for x in each for i in x], np.uint32)]))
+            slots[order] = np.arange(len(self.known) - len(order), len(self.known))
+        self.again[slots] |= self.seen[slots]
+        self.seen[slots] = True
+        slots = slots[inverse]
         sizes = np.zeros(len(starts), np.int64)
         sizes[usual] = self.sizes[slots]
         others = np.flatnonzero(~usual)
         rest = self._plain([raw[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[others], ends[others])])
         sizes[others] = [len(x) for x in rest]
+        first = np.zeros(len(starts), np.int64)
+        first[usual] = self.starts[slots]
+        first[others] = self.used + np.cumsum(sizes[others]) - sizes[others]
+        self._room(int(sizes[others].sum()))  # the rest stands behind the remembered ids until the next call
+        self.ids[self.used : self.used + int(sizes[others].sum())] = np.array([i for x in rest for i in x], np.uint32)
         place = np.cumsum(sizes) - sizes
-        out = np.zeros(int(sizes.sum()), np.uint32)
-        own = self.sizes[slots]
-        run = np.repeat(np.cumsum(own) - own, own)
-        step = np.arange(int(own.sum())) - run
-        out[np.repeat(place[usual], own) + step] = self.ids[np.repeat(self.starts[slots], own) + step]
-        for at, x in zip(place[others], rest):
-            out[at : at + len(x)] = x
+        source = np.repeat((first - place).astype(np.int32), sizes)
+        source += np.arange(len(source), dtype=np.int32)
+        out = self.ids[source]
         total = np.append(np.cumsum(sizes) - sizes, sizes.sum())
         bounds = total[np.searchsorted(starts, offsets)]
         return out, np.diff(bounds)
@@ -181,7 +217,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, doc_id: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         definition = shared.value
         encoder = _ENCODERS.get(hash(definition)) or _ENCODERS.setdefault(hash(definition), PieceEncoder(definition))
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BATCH_BYTES):
             ids, sizes = encoder.encode(batch.column("text"))
             closed = np.full(len(ids) + len(sizes), end_id, np.uint32)
             closed[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
