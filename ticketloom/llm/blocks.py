@@ -12,13 +12,24 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 BLOCK_BYTES = 1 << 20
+#: Rows in an Arrow batch between Spark and Python: texts are long, and both sides hold whole batches.
+BATCH_ROWS = 2000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x2545F4914F6CDD1D
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Lower the session's rows per Arrow batch to ``BATCH_ROWS`` if it allows more."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(30))
@@ -46,7 +57,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) <= n:
-            size = max(n + 1, 2 * len(self.up))
+            size = (n >> 18) + 1 << 18
 
             def powers(base: int) -> np.ndarray:
                 steps = np.full(size, base, np.uint64)

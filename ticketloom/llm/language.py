@@ -140,7 +140,7 @@ def fit(
     rows = bounded_sample(rows, ["t", "l"], learn_texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "t", 8 << 20):
+        for batch in blocks(batches, "t", 2 << 20):
             for lang_ in pc.unique(batch.column("l")).to_pylist():
                 words, points = letter_words(batch.column("t").filter(pc.equal(batch.column("l"), lang_)))
                 unique, first, counts = np.unique(words.hashes, return_index=True, return_counts=True)
@@ -200,14 +200,15 @@ def predict(df: DataFrame, model: Model, text: str = "text", columns: Sequence[s
     """
     carried = [c for c in (df.columns if columns is None else columns) if c not in ("lang_pred", "score")]
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*carried).schema)
-    inner = df.select(*carried, F.col(text).alias("__text"))
+    read = text if text in carried else "__text"  # a text that is carried along goes to Python once
+    inner = df.select(*carried, *([] if read == text else [F.col(text).alias(read)]))
     if not model.languages:
-        return inner.drop("__text").withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
+        return inner.select(*carried).withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "__text"):
-            names, share = shared.value.predict(batch.column("__text"))
+        for batch in blocks(batches, read):
+            names, share = shared.value.predict(batch.column(read))
             yield keep_columns(batch, carried, lang_pred=pa.array(names, pa.string()), score=pa.array(share))
 
     return inner.mapInArrow(run, ", ".join([x for x in (kinds, "lang_pred string, score double") if x]))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm import archives, decontaminate, language, licences, mixing, neardup, quality, secrets, shards, token_files
+from ticketloom.llm.blocks import bounded_batches
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
 
@@ -21,7 +22,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
