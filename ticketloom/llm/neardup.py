@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketloom.llm.blocks import GOLDEN, Words, blocks, keep_columns, mix, utf8
+from ticketloom.llm.blocks import BLOCK_BYTES, GOLDEN, Words, blocks, keep_columns, mix, utf8
 from ticketloom.operators.graphs import components
 from ticketloom.runtime import cut
 
@@ -155,7 +155,7 @@ def sketch(df: DataFrame, text: str, columns: Sequence[str], width: int = SHINGL
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = np.arange(bands, dtype=np.uint64) * GOLDEN
-        for batch in blocks(batches, "__text"):
+        for batch in blocks(batches, "__text", BLOCK_BYTES // 2):
             words, owner, shingle, count = multisets(batch.column("__text"), width)
             full = words.counts > 0
             sig = signatures(owner, shingle, count, words.texts, size)
@@ -178,7 +178,7 @@ def _bits(texts: DataFrame, width: int) -> DataFrame:
     """``key`` and ``bits``: one bit of every component of a finer signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", BLOCK_BYTES // 8):  # a text has ten times as many points as in the sketch
             words, owner, shingle, count = multisets(batch.column("text"), width)
             sig = signatures(owner, shingle, count, words.texts, FINE)
             packed = np.packbits((sig >> np.uint64(3) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OVERHEAD = 16
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 #: Buckets (a few numbers each) that may be broadcast; beyond that their starts are joined.
 SMALL = 200_000
 
