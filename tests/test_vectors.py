@@ -119,6 +119,45 @@ def test_hierarchy_selection_and_scores(spark, sets, tree):
         assert ((by.outlier_score >= 0) & (by.outlier_score <= 1)).all()
 
 
+def test_hierarchy_is_exact_beyond_many_distinct_weights(spark):
+    rng = np.random.default_rng(11)
+    x = np.vstack([rng.normal(c, s, (n, 2)) for c, s, n in (((0, 0), 0.5, 150), ((3, 3), 0.2, 120), ((0, 5), 0.9, 130))])
+    x[20:24] = x[20]
+    grid = np.array([(i // 8, i % 8) for i in range(64)], float)  # nearly all weights are equal
+    twins = np.repeat([[0.0, 0.0], [4.0, 0.0], [9.0, 0.0]], 12, axis=0)
+    sets = [("a", 0, x), ("g", 1000, grid), ("t", 2000, twins)]
+    tree = density.spanning_tree(frame(spark, sets), ["c"], "id", "v", 4)
+    assert tree.edges.where("_k like '%a%'").select("w").distinct().count() > 256
+    h = density.hierarchy(tree, 8)
+    got = density.assignments(tree, h, ["c"], "id").toPandas()
+    for key, off, x in sets[:2]:
+        nodes = brute.condensed(x, 4, 8)
+        mine = got[got.c == key]
+        picked = brute.select(nodes)
+        found = {frozenset(int(i) - off for i in g) for c, g in mine[mine.cluster_id >= 0].groupby("cluster_id").id}
+        assert found == {frozenset(nodes[i]["members"]) for i in picked}
+        table = h.clusters.where(F.col("_k") == key).toPandas()
+        for column, want in (
+            ("stability", [n["stability"] for n in nodes]), ("birth", [n["birth"] for n in nodes]),
+            ("death", [max(n["lambda"].values()) for n in nodes]), ("size", [len(n["members"]) for n in nodes]),
+        ):
+            assert np.allclose(sorted(table[column]), sorted(want)), column
+        by = mine.set_index(mine.id - off)
+        for i in picked:
+            top = max(nodes[i]["lambda"].values())
+            for p, lam in nodes[i]["lambda"].items():
+                assert np.isclose(by.probability[p], min(lam, top) / top) and np.isclose(by["lambda"][p], lam)
+        deepest = [max(nodes[j]["lambda"].values()) for j in range(len(nodes))]
+        for j in reversed(range(len(nodes))):
+            deepest[j] = max([deepest[j], *[deepest[c] for c in nodes[j]["children"]]])
+        for n, deep in zip(nodes, deepest):
+            below = set().union(*[nodes[c]["members"] for c in n["children"]])
+            for p in n["members"] - below:
+                assert np.isclose(by.outlier_score[p], (deep - n["lambda"][p]) / deep)
+    mine = got[got.c == "t"]
+    assert sorted(mine.groupby("cluster_id").size()) == [12, 12, 12] and (mine.cluster_id >= 0).all()
+
+
 def test_hierarchy_leaf_and_epsilon(spark, sets, tree):
     leaves = density.hierarchy(tree, 10, "leaf").clusters
     parents = [r.parent for r in leaves.where("parent is not null").collect()]

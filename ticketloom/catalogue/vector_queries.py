@@ -414,7 +414,7 @@ def _model(v):
     from ticketloom.runtime import cut
 
     def make():
-        h = density.hierarchy(_tree(v), MIN_SIZE, levels=64)
+        h = density.hierarchy(_tree(v), MIN_SIZE)
         return h, cut(density.assignments(_tree(v), h, ["tech_center"], "number"))
 
     return _shared(v, "model", make)

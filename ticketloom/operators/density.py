@@ -24,7 +24,6 @@ from ticketloom.runtime import cut
 MIN_CLUSTER_SIZE = 25
 MIN_SAMPLES = 5
 EDGE_NEIGHBOURS = 15
-LEVELS = 256
 TINY = 1e-12
 
 
@@ -299,29 +298,86 @@ def flat_cut(
 class Hierarchy:
     """Condensed cluster tree and, per representative, where it left it."""
 
-    clusters: DataFrame  # _k, cluster, parent, birth, death, stability, first_level, selected
+    clusters: DataFrame  # _k, cluster, parent, birth, death, stability, size, selected
     points: DataFrame  # _k, _rep, cluster_id, probability, outlier_score
 
 
-def _levels(tree: SpanningTree, limit: int) -> DataFrame:
-    """Cut distances per key, largest first: all distinct weights if there are few, else that many quantiles."""
-    # equal vectors join at their core distance, so that is a weight of the tree as well
-    twins = tree.nodes.where("_m > 1").select("_k", F.col("_core").alias("w"))
-    edges = tree.edges.select("_k", "w").unionByName(twins)
-    weights = edges.groupBy("_k").agg(F.approx_count_distinct("w", 0.02).alias("_n"))
-    distinct = edges.distinct()
-    few = weights.where(F.col("_n") <= 2 * limit).select("_k")
-    counted = distinct.join(few, "_k", "left_semi").groupBy("_k").agg(F.count("*").alias("_c")).where(F.col("_c") <= limit)
-    exact = distinct.join(counted.select("_k"), "_k", "left_semi")
-    fractions = [i / (limit - 1) for i in range(limit)]
-    rough = (
-        edges.join(counted.select("_k"), "_k", "left_anti")
-        .groupBy("_k")
-        .agg(F.percentile_approx("w", fractions, 100_000).alias("_q"))
-        .select("_k", F.explode(F.array_distinct("_q")).alias("w"))
+def _dendrogram(tree: SpanningTree) -> tuple[DataFrame, DataFrame]:
+    """Exact single-linkage tree of the spanning tree, by contracting it in log n rounds of joins.
+
+    Edges are ordered by weight, then by their ends. In a round every supervertex is contracted along its least edge. A
+    contracted edge settles in the chain of the supervertex it lies in as soon as it is less than all edges that leave
+    that vertex, else it waits for the next round; the edges of a chain follow each other upwards, and above the last
+    comes the least edge that leaves the vertex. First frame: ``_k, _n`` (edge), ``_up`` (the edge that merges its component
+    next), ``_size, _low`` (members and smallest representative of the component). Second: ``_k, _rep, _up`` of all
+    representatives that have an edge.
+    """
+    live = cut(tree.edges.select("_k", F.struct("w", "a", "b").alias("_n"), F.col("a").alias("_u"), F.col("b").alias("_v")))
+    waiting = live.select("_k", "_n", F.col("_u").alias("_s")).limit(0)
+    settled, tops, level = [], [], 0
+    while True:
+        ends = live.select("_k", F.col("_u").alias("_s"), F.struct("_n", F.col("_v").alias("_to")).alias("_e")).unionByName(
+            live.select("_k", F.col("_v").alias("_s"), F.struct("_n", F.col("_u").alias("_to")).alias("_e"))
+        )
+        best = cut(ends.groupBy("_k", "_s").agg(F.min("_e").alias("_e")).select("_k", "_s", F.col("_e._n").alias("_f"), "_e._to"))
+        tops.append(best.select("_k", F.lit(level).alias("_l"), "_s", "_f"))
+        placed = waiting.join(best.select("_k", "_s", "_f"), ["_k", "_s"], "left")
+        here = F.col("_f").isNull() | (F.col("_n") < F.col("_f"))
+        settled.append(cut(placed.where(here).select("_k", F.lit(level).alias("_l"), "_s", "_n")))
+        if best.isEmpty():
+            break
+        root = collapse(best, ["_k"], "_s", "_to").select("_k", F.col("node").alias("_s"), F.col("root").alias("_r"))
+        least = best.select("_k", F.col("_f").alias("_n")).distinct()
+        rest = placed.where(~here).select("_k", "_n", "_s").unionByName(
+            live.join(least, ["_k", "_n"], "left_semi").select("_k", "_n", F.col("_u").alias("_s"))
+        )
+        waiting = cut(rest.join(root, ["_k", "_s"]).select("_k", "_n", F.col("_r").alias("_s")))
+        live = live.join(least, ["_k", "_n"], "left_anti")
+        for side in ("_u", "_v"):
+            live = live.join(root.withColumnRenamed("_s", side), ["_k", side]).drop(side).withColumnRenamed("_r", side)
+        live = cut(live)
+        level += 1
+    chains, above = settled[0], tops[0]
+    for part, top in zip(settled[1:], tops[1:]):
+        chains, above = chains.unionByName(part), above.unionByName(top)
+    above = cut(above)
+    # a chain may hold most edges of a key: it is dealt in ranges, whose first edges and sums join up afterwards
+    chain = ["_k", "_l", "_s"]
+    chains = cut(chains.repartitionByRange(*chain, "_n").withColumn("_p", F.spark_partition_id()))
+    inside = Window.partitionBy(*chain, "_p").orderBy("_n")
+    after = Window.partitionBy(*chain).orderBy("_first")
+    ranges = cut(chains.groupBy(*chain, "_p").agg(F.min("_n").alias("_first")))
+    chains = chains.withColumn("_next", F.lead("_n").over(inside)).join(
+        ranges.withColumn("_then", F.lead("_first").over(after)), [*chain, "_p"]
     )
-    packed = exact.unionByName(rough).groupBy("_k").agg(F.reverse(F.array_sort(F.collect_set("w"))).alias("_eps"))
-    return packed
+    chains = cut(
+        chains.join(above, chain, "left").select(*chain, "_p", "_n", "_first", F.coalesce("_next", "_then", "_f").alias("_up"))
+    )
+    leaves = cut(above.where("_l = 0").select("_k", F.col("_s").alias("_rep"), F.col("_f").alias("_up")))
+    whole = tree.nodes.select("_k", F.col("_id").alias("_rep"), F.col("_m").cast("long").alias("_size"))
+    hung = cut(leaves.join(whole, ["_k", "_rep"]).groupBy("_k", F.col("_up").alias("_n")).agg(
+        F.sum("_size").alias("_size"), F.min("_rep").alias("_low")
+    ))
+    parts = [chains.limit(0).select("_k", "_n", "_up", F.lit(0).cast("long").alias("_size"), F.col("_s").alias("_low"))]
+    # members, chain by chain: whatever hangs on the edges of a chain was settled in an earlier round
+    for now in range(1, level + 1):
+        mine = chains.where(F.col("_l") == now).join(hung, ["_k", "_n"], "left")
+        mine = cut(mine.withColumns({"_size": F.sum("_size").over(inside), "_low": F.min("_low").over(inside)}))
+        before = Window.partitionBy(*chain).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+        sums = mine.groupBy(*chain, "_p", "_first").agg(F.max("_size").alias("_size"), F.min("_low").alias("_low"))
+        sums = sums.select(*chain, "_p", F.sum("_size").over(before).alias("_ds"), F.min("_low").over(before).alias("_dl"))
+        mine = cut(mine.join(sums, [*chain, "_p"]).select(
+            *chain, "_n", "_up", (F.coalesce("_size", F.lit(0)) + F.coalesce("_ds", F.lit(0))).alias("_size"),
+            F.least("_low", "_dl").alias("_low"),
+        ))
+        parts.append(mine.select("_k", "_n", "_up", "_size", "_low"))
+        done = mine.groupBy(*chain).agg(F.max("_size").alias("_size"), F.min("_low").alias("_low"))
+        done = done.join(above, chain).select("_k", F.col("_f").alias("_n"), "_size", "_low")
+        hung = cut(hung.unionByName(done).groupBy("_k", "_n").agg(F.sum("_size").alias("_size"), F.min("_low").alias("_low")))
+    nodes = parts[0]
+    for part in parts[1:]:
+        nodes = nodes.unionByName(part)
+    return cut(nodes), leaves
 
 
 def hierarchy(
@@ -329,74 +385,59 @@ def hierarchy(
     min_cluster_size: int = MIN_CLUSTER_SIZE,
     method: str = "eom",
     eps: float = 0.0,
-    levels: int = LEVELS,
 ) -> Hierarchy:
-    """Cluster hierarchy by cutting the tree at many distances at once.
+    """Cluster hierarchy: the exact single-linkage tree, condensed to components of at least ``min_cluster_size`` members.
 
-    Exact when a key has at most ``levels`` distinct edge weights; beyond that the cut distances are quantiles of the
-    weights, and births and deaths are as fine as those. All cuts are components of one edge table keyed by level.
+    Exact for any number of distinct weights; edges of equal weight part at once. A cluster is named by the weight at
+    which it is whole and its smallest representative.
     """
     if method not in ("eom", "leaf"):
         raise ValueError(f"unknown method {method!r}")
-    packed = cut(_levels(tree, levels))
-    cuts = packed.select("_k", F.posexplode("_eps").alias("_lv", "_e"))
-    lam = cuts.select("_k", "_lv", (1.0 / F.greatest("_e", F.lit(TINY))).alias("_lam"))
-    near = tree.edges.join(packed, "_k").select("_k", "a", "b", "w", F.posexplode("_eps").alias("_lv", "_e"))
-    near = near.where(F.col("w") <= F.col("_e")).select("_k", "_lv", "a", "b")
-    comp = components(near, ["_k", "_lv"], "a", "b").select(
-        "_k", "_lv", F.col("node").alias("_rep"), F.col("component").alias("_comp")
-    )
+    joins, leaves = _dendrogram(tree)
     # a representative with enough members is a cluster by itself as long as its core distance allows
-    big = tree.nodes.where(F.col("_m") >= min_cluster_size).join(packed, "_k").select(
-        "_k", "_id", "_core", F.posexplode("_eps").alias("_lv", "_e")
-    )
-    single = big.where(F.col("_core") <= F.col("_e")).select(
-        "_k", "_lv", F.col("_id").alias("_rep"), F.col("_id").alias("_comp")
+    big = tree.nodes.where(F.col("_m") >= min_cluster_size).select(
+        "_k", F.col("_id").alias("_rep"), F.struct(F.col("_core").alias("w"), F.col("_id").alias("a"), F.col("_id").alias("b")).alias("_n"),
+        F.col("_m").cast("long").alias("_size"), F.col("_id").alias("_low"),
     )
-    comp = cut(comp.unionByName(single.join(comp, ["_k", "_lv", "_rep"], "left_anti")))
-    weight = tree.nodes.select("_k", F.col("_id").alias("_rep"), "_m")
-    sizes = comp.join(weight, ["_k", "_rep"]).groupBy("_k", "_lv", "_comp").agg(F.sum("_m").alias("_size"))
-    kept = cut(sizes.where(F.col("_size") >= min_cluster_size))
-    inside = cut(comp.join(kept.select("_k", "_lv", "_comp"), ["_k", "_lv", "_comp"], "left_semi"))
-    # parent of a component: the component of its smallest member one level up
-    above = inside.select("_k", (F.col("_lv") + 1).alias("_lv"), F.col("_rep").alias("_comp"), F.col("_comp").alias("_up"))
-    linked = kept.join(above, ["_k", "_lv", "_comp"], "left")
-    splits = linked.groupBy("_k", (F.col("_lv") - 1).alias("_pl"), "_up").agg(F.count("*").alias("_kids"))
-    linked = linked.withColumn("_pl", F.col("_lv") - 1).join(splits, ["_k", "_pl", "_up"], "left")
+    big = cut(big.join(leaves, ["_k", "_rep"], "left"))
+    kept = cut(joins.where(F.col("_size") >= min_cluster_size).unionByName(big.drop("_rep")))
+    # edges of equal weight that follow each other are one component
+    tied = F.coalesce(F.col("_up.w") == F.col("_n.w"), F.lit(False))
+    same = collapse(kept.select("_k", "_n", F.when(tied, F.col("_up")).otherwise(F.col("_n")).alias("_to")), ["_k"], "_n", "_to")
+    same = cut(same.select("_k", F.col("node").alias("_n"), F.col("root").alias("_top")))
+    whole = kept.where(~tied).join(same.select("_k", F.col("_n").alias("_up"), F.col("_top").alias("_over")), ["_k", "_up"], "left")
+    whole = whole.select("_k", "_n", F.col("_over").alias("_up"), "_size", "_low")
+    kids = whole.where("_up is not null").groupBy("_k", "_up").agg(F.count("*").alias("_kids"))
     starts = F.col("_up").isNull() | (F.col("_kids") > 1)
-    name = F.struct(F.col("_lv").alias("lv"), F.col("_comp").alias("c"))
-    parent_name = F.struct(F.col("_pl").alias("lv"), F.col("_up").alias("c"))
-    chain = cut(
-        linked.select("_k", "_lv", "_comp", "_size", starts.alias("_starts"), name.alias("_n"),
-                      F.when(starts, name).otherwise(parent_name).alias("_to"),
-                      F.when(F.col("_up").isNotNull(), parent_name).alias("_parent"))
-    )
-    # pointer doubling along unbranched stretches: the cluster is named after the component that starts it
-    while True:
-        hop = chain.select("_k", F.col("_n").alias("_to"), F.col("_to").alias("_next"))
-        moved = cut(chain.join(hop, ["_k", "_to"]).withColumn("_moved", F.col("_next") != F.col("_to")))
-        done = moved.where("_moved").isEmpty()
-        chain = moved.drop("_to", "_moved").withColumnRenamed("_next", "_to")
-        if done:
-            break
-    chain = cut(chain.join(lam, ["_k", "_lv"]))
-    before = lam.select("_k", (F.col("_lv") + 1).alias("_lv"), F.col("_lam").alias("_prev"))
-    steps = chain.join(before, ["_k", "_lv"], "left").withColumn("_prev", F.coalesce("_prev", F.lit(0.0)))
-    grown = steps.groupBy("_k", F.col("_to").alias("cluster")).agg(
+    lam = 1.0 / F.greatest("_n.w", F.lit(TINY))
+    born = F.when(F.col("_up").isNull(), 0.0).otherwise(1.0 / F.greatest("_up.w", F.lit(TINY)))
+    whole = cut(whole.join(kids, ["_k", "_up"], "left").select(
+        "_k", "_n", "_up", "_size", "_low", starts.alias("_starts"), lam.alias("_lam"), born.alias("_prev")
+    ))
+    # a cluster runs along an unbranched stretch, from the component that starts it
+    run = collapse(whole.select("_k", "_n", F.when(F.col("_starts"), F.col("_n")).otherwise(F.col("_up")).alias("_to")), ["_k"], "_n", "_to")
+    head = whole.where("_starts").select("_k", F.col("_n").alias("root"), F.struct(F.col("_n.w").alias("w"), F.col("_low").alias("c")).alias("cluster"))
+    run = cut(run.join(head, ["_k", "root"]).select("_k", F.col("node").alias("_n"), "cluster"))
+    chain = cut(whole.join(run, ["_k", "_n"]))
+    grown = chain.groupBy("_k", "cluster").agg(
         F.sum(F.col("_size") * (F.col("_lam") - F.col("_prev"))).alias("stability"),
-        F.min("_prev").alias("birth"), F.max("_lam").alias("death"), F.min("_lv").alias("first_level"),
+        F.min("_prev").alias("birth"), F.max("_lam").alias("death"),
         F.max(F.when(F.col("_starts"), F.col("_size"))).alias("size"),
-        F.min_by("_parent", "_lv").alias("_parent_comp"),
+        F.max(F.when(F.col("_starts"), F.col("_up"))).alias("_parent"),
     )
-    owner = chain.select("_k", F.col("_n").alias("_parent_comp"), F.col("_to").alias("parent"))
-    nodes = cut(grown.join(owner, ["_k", "_parent_comp"], "left").drop("_parent_comp"))
+    owner = run.select("_k", F.col("_n").alias("_parent"), F.col("cluster").alias("parent"))
+    nodes = cut(grown.join(owner, ["_k", "_parent"], "left").drop("_parent"))
 
     state = _select(nodes, method, eps)
-    # points: deepest level inside a kept component, and the level at which they left their selected cluster
-    belongs = inside.join(chain.select("_k", "_lv", "_comp", F.col("_to").alias("cluster"), "_lam"), ["_k", "_lv", "_comp"])
-    belongs = belongs.select("_k", "_rep", "_lv", "_lam", "cluster")
-    deepest = belongs.groupBy("_k", "_rep").agg(
-        F.max("_lam").alias("_leave"), F.max_by("cluster", "_lv").alias("cluster")
+    # points: the smallest kept component around each, and the level at which they left their selected cluster
+    top = joins.join(kept.select("_k", "_n"), ["_k", "_n"], "left_anti").select("_k", "_n", F.coalesce("_up", "_n").alias("_to"))
+    climb = collapse(top.unionByName(kept.select("_k", "_n", F.col("_n").alias("_to"))), ["_k"], "_n", "_to")
+    lone = big.select("_k", "_rep", F.col("_n").alias("_up"))
+    first = leaves.join(big, ["_k", "_rep"], "left_anti").select("_k", "_rep", "_up").unionByName(lone)
+    first = first.join(climb.select("_k", F.col("node").alias("_up"), F.col("root").alias("_n")), ["_k", "_up"])
+    first = first.join(same, ["_k", "_n"]).select("_k", "_rep", F.col("_top").alias("_n"))
+    deepest = cut(
+        first.join(chain.select("_k", "_n", "cluster", F.col("_lam").alias("_leave")), ["_k", "_n"]).select("_k", "_rep", "_leave", "cluster")
     )
     scored = deepest.join(state.select("_k", "cluster", "deepest_death"), ["_k", "cluster"]).select(
         "_k", "_rep",
@@ -405,10 +446,15 @@ def hierarchy(
     chosen = cut(state.where("selected"))
     w = Window.partitionBy("_k").orderBy(F.desc("size"), F.col("cluster.c"))
     ids = chosen.withColumn("cluster_id", (F.row_number().over(w) - 1).cast("int"))
-    in_chosen = belongs.join(ids.select("_k", "cluster", "cluster_id", "death"), ["_k", "cluster"])
-    labels = in_chosen.groupBy("_k", "_rep", "cluster_id").agg(
-        (F.max("_lam") / F.first("death")).alias("probability"), F.max("_lam").alias("lambda")
+    ends = F.when(F.col("selected") | F.col("parent").isNull(), F.col("cluster")).otherwise(F.col("parent"))
+    within = collapse(state.select("_k", "cluster", ends.alias("_to")), ["_k"], "cluster", "_to")
+    within = within.select("_k", F.col("node").alias("cluster"), F.col("root").alias("_in"))
+    # a point that went on into a cluster below was in its selected cluster to the end
+    in_chosen = deepest.join(within, ["_k", "cluster"]).join(
+        ids.select("_k", F.col("cluster").alias("_in"), "cluster_id", "death"), ["_k", "_in"]
     )
+    left = F.when(F.col("cluster") == F.col("_in"), F.col("_leave")).otherwise(F.col("death"))
+    labels = in_chosen.select("_k", "_rep", "cluster_id", (left / F.col("death")).alias("probability"), left.alias("lambda"))
     reps = tree.nodes.select("_k", F.col("_id").alias("_rep"), F.col("_core").alias("core_distance"))
     points = (
         reps.join(labels, ["_k", "_rep"], "left")
@@ -506,12 +552,11 @@ def cluster(
     eps: float = 0.0,
     metric: str = "euclidean",
     alpha: float = 1.0,
-    levels: int = LEVELS,
     cell_rows: int = nb.CELL_ROWS,
 ) -> DataFrame:
     """Cluster number, membership probability and outlier score of every point; -1 is noise."""
     tree = spanning_tree(points, keys, ident, vec, min_samples, metric, alpha, cell_rows=cell_rows)
-    return assignments(tree, hierarchy(tree, min_cluster_size, method, eps, levels), keys, ident)
+    return assignments(tree, hierarchy(tree, min_cluster_size, method, eps), keys, ident)
 
 
 def assignments(tree: SpanningTree, h: Hierarchy, keys: list[str], ident: str) -> DataFrame:

@@ -29,7 +29,6 @@ class TrainingOptions:
     n_components: int = reduction.COMPONENTS
     standardize: bool = False
     reduce: bool = True
-    levels: int = density.LEVELS
     silhouette: str = "sqeuclidean"
     max_domains: int = scoring.MAX_DOMAINS
     scored_domains: bool = False
@@ -47,7 +46,7 @@ def cluster_points(points: DataFrame, options: TrainingOptions, ident: str = "nu
     reduced = cut(reduced)
     found = density.cluster(
         reduced, KEYS, ident, "reduced", options.min_cluster_size, options.min_samples,
-        options.cluster_selection_method, options.cluster_selection_epsilon, levels=options.levels,
+        options.cluster_selection_method, options.cluster_selection_epsilon,
     )
     return reduced.join(found, [*KEYS, ident]), axes
 
