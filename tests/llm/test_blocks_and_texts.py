@@ -233,3 +233,27 @@ def test_licences_against_brute_force(spark):
         assert got[k].dice == max(want.values(), default=0.0)
         assert got[k].best == (min(want, key=lambda n: (-want[n], n)) if want else None)
     assert licences.scan(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("sources", [20, 300])
+def test_schedule_keeps_to_the_target_weights(sources):
+    weights = [(1000.0 if k == 0 else 7.3 + k % 3) ** 0.7 for k in range(sources)]
+    share = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
+    order = [(s, t) for s, _, t in mixing.schedule(weights, [int(x * 3000) + 1 for x in share])]
+    seen, dry = [0] * sources, next(t for s, t in order if t >= 2500)
+    for s, t in order:
+        if t >= dry:
+            break
+        assert t == sum(seen)
+        seen[s] += 1
+        assert all(abs(x * (t + 1) - n) < 1 for x, n in zip(share, seen))
+
+
+def test_schedule_of_dry_sources_has_all_blocks_in_their_windows():
+    weights, blocks = [5.0, 1e-3, 2.0], [3, 4, 40]
+    got = list(mixing.schedule(weights, blocks))
+    assert len({t for _, _, t in got}) == len(got) == 47
+    for s, n in enumerate(blocks):
+        assert [j for x, j, _ in got if x == s] == list(range(n))
+    share = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
+    assert all(j / share[s] - 1 < t < (j + 1) / share[s] for s, j, t in got)

@@ -382,3 +382,13 @@ def test_nothing_else_imports_the_subpackage():
                 if name.endswith(".py"):
                     with open(os.path.join(folder, name), encoding="utf-8") as f:
                         assert "llm" not in f.read(), name
+
+
+def test_mixing_of_more_than_a_thousand_sources(spark):
+    frame = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.least(F.col("id"), F.lit(1200))).alias("source"))
+    got = mixing.mixed(frame, block_rows=4).collect()
+    assert sorted(r.doc_id for r in got) == list(range(6000)) and len({(r.place, r.in_block) for r in got}) == 6000
+    total = 1200 + 4800**0.7
+    assert all(abs(r.weight - (4800**0.7 if r.source == "s1200" else 1) / total) < 1e-12 for r in got)
+    share = 4800**0.7 / total
+    assert all(r.block / share - 1 < r.place < (r.block + 1) / share for r in got if r.source == "s1200")
