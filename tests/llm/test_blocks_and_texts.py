@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ticketloom.llm import archives, licences, mixing, neardup, quality, shards, simple8b
+from ticketloom.llm import archives, licences, mixing, neardup, quality, shards, simple8b, token_files
 from ticketloom.llm.blocks import Words, blocks, utf8
 from ticketloom.llm.decontaminate import Automaton, merged, normalised_words
 from ticketloom.llm.licence_texts import TEMPLATES
@@ -257,3 +257,22 @@ def test_schedule_of_dry_sources_has_all_blocks_in_their_windows():
         assert [j for x, j, _ in got if x == s] == list(range(n))
     share = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
     assert all(j / share[s] - 1 < t < (j + 1) / share[s] for s, j, t in got)
+
+
+def test_encoder_agrees_with_an_untouched_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    tokenizer, encoder = Tokenizer.from_str(definition), token_files.PieceEncoder(definition, plain_specials=False)
+    r = random.Random(3)
+    bits = ["<|endoftext|>", "a", " ", " b", ",", "\n", "  ", "é", "word", " word", "<|", "|>", "endoftext", ".", "　", "\n\n"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x, y<|endoftext|>, z w", "<|endof", "text|> q", "", *ODD]
+    texts += ["".join(r.choices(bits, k=r.randint(1, 30))) for _ in range(2000)]
+    for _ in range(2):
+        ids, sizes = encoder.encode(pa.array(texts))
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+    assert 50256 in want[0]

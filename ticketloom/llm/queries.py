@@ -120,7 +120,7 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = scratch(spark, "tokens")
-    token_files.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    token_files.write_tokens(table(spark, folder, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), plain_specials=False)
     digests = scratch(spark, "token-digests")
     token_files.read_digests(spark, path).write.parquet(digests)
     return token_files.with_global_start(spark.read.parquet(digests)).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -41,14 +41,19 @@ class PieceEncoder:
     The tokenizer's own splitting always breaks before a single space or line break that stands between printed
     characters, and between an ASCII letter and a mark such as a comma, so texts are cut there. Cut pieces with no other
     white space are remembered by hash; the rest (starts of texts, runs of white space, very long pieces) goes through
-    the tokenizer as it is.
+    the tokenizer as it is. So does a stretch around an added token's content, which the library takes out of the text
+    before any splitting; with ``plain_specials``, special tokens are plain characters instead.
     """
 
-    def __init__(self, definition: str, remembered: int = REMEMBERED) -> None:
+    def __init__(self, definition: str, remembered: int = REMEMBERED, plain_specials: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        if plain_specials:
+            self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added if t.content and not (plain_specials and t.special)]
+        self.joinable = not any(min(x) <= 32 for x in self.added)
         self.remembered = remembered
         self.known = {}
         tokens = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -117,12 +122,31 @@ class PieceEncoder:
         starts = np.flatnonzero(safe | edge[:-1])
         return starts, safe[starts]
 
+    def _added(self, raw: np.ndarray) -> np.ndarray:
+        """First and last byte of every place that reads like an added token."""
+        content, out = raw.tobytes() if self.added else b"", []
+        for token in self.added:
+            at = content.find(token)
+            while at >= 0:
+                out.append((at, at + len(token) - 1))
+                at = content.find(token, at + 1)
+        return np.array(sorted(out), np.int64).reshape(-1, 2)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other, and how many each text has."""
         if len(self.known) > self.remembered:
             self._forget()
         raw, offsets = utf8(texts)
         starts, safe = self._cuts(raw, offsets)
+        added = self._added(raw)
+        if len(added):
+            # no cut inside an added token or beside it
+            near = np.zeros(len(raw) + 3, np.int64)
+            np.add.at(near, np.maximum(added[:, 0] - 1, 0), 1)
+            np.add.at(near, added[:, 1] + 3, -1)
+            keep = ~safe | (np.cumsum(near)[starts] == 0)
+            starts, safe = starts[keep], safe[keep]
+            safe[np.searchsorted(starts, added[:, 0], "right") - 1] = False
         ends = np.append(starts[1:], len(raw))
         blanks = np.zeros(len(raw) + 1, np.int64)
         np.cumsum(raw <= 32, out=blanks[1:])
@@ -134,7 +158,7 @@ class PieceEncoder:
         missing = np.flatnonzero(slots < 0)
         if len(missing):
             first = np.flatnonzero(usual)[where[missing]]
-            blank = opened[first]
+            blank = opened[first] & self.joinable
             pieces = [raw[a:b].tobytes() for a, b in zip(starts[first].tolist(), ends[first].tolist())]
             # pieces that open with a blank are worked out as one text and parted where a token opens with one
             ids = np.array(self._plain([b"".join(compress(pieces, blank)).decode("utf-8", "replace")])[0], np.uint32)
@@ -200,12 +224,16 @@ def frames(content: memoryview) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield keys, nulls, sizes, simple8b.decode(words, offsets, n)
 
 
-_ENCODERS: dict[int, PieceEncoder] = {}
+_ENCODERS: dict[tuple[int, bool], PieceEncoder] = {}
 
 
-def write_tokens(df: DataFrame, path: str, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2) -> None:
+def write_tokens(
+    df: DataFrame, path: str, tokenizer_file: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 2,
+    plain_specials: bool = True,
+) -> None:
     """Encode every text and write the ids in ascending order of ``doc_id`` (a long; nulls first, ties by text).
 
+    A special token's content in a text is plain characters, or without ``plain_specials`` that token, as the library has it.
     A null text is empty. The documents are dealt out by ranges of id and text, so no repeated id needs a task to itself.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -216,7 +244,8 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, doc_id: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         definition = shared.value
-        encoder = _ENCODERS.get(hash(definition)) or _ENCODERS.setdefault(hash(definition), PieceEncoder(definition))
+        key = hash(definition), plain_specials
+        encoder = _ENCODERS.get(key) or _ENCODERS.setdefault(key, PieceEncoder(definition, plain_specials=plain_specials))
         for batch in blocks(batches, "text", BATCH_BYTES):
             ids, sizes = encoder.encode(batch.column("text"))
             closed = np.full(len(ids) + len(sizes), end_id, np.uint32)
