@@ -11,6 +11,10 @@ _NORMALISED = (
     "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
 
 ORACLES: dict[str, str] = {
     "op3_quality_rules": rf"""
@@ -120,5 +124,29 @@ WITH d AS (
   FROM scored GROUP BY rid
 )
 SELECT doc_id, coalesce(licences, '') AS licences, best, coalesce(dice, 0.0)::DOUBLE AS dice FROM d LEFT JOIN best USING (rid)
+""",
+    "op11_lexical_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents
+), docs AS (
+  SELECT rid, doc_id, w, len(w) AS n FROM d WHERE len(w) > 0
+), g AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM docs
+), q AS (
+  SELECT iid, item_id, unnest(list_distinct(w)) AS t
+  FROM (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS w FROM benchmark)
+), tf AS (
+  SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(w) AS t FROM docs) WHERE t IN (SELECT t FROM q) GROUP BY rid, t
+), df AS (
+  SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, g GROUP BY t
+), s AS (
+  SELECT iid, item_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN df USING (t) JOIN (SELECT rid, doc_id, n FROM docs) USING (rid), g
+  GROUP BY iid, item_id, rid, doc_id
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+) WHERE rank <= 10
 """,
 }

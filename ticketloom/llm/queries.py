@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import archives, decontaminate, language, licences, mixing, neardup, quality, secrets, shards, token_files
+from ticketloom.llm import archives, decontaminate, language, lexical, licences, mixing, neardup, quality, secrets, shards, token_files
 from ticketloom.llm.blocks import bounded_batches
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
@@ -124,3 +124,10 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     digests = scratch(spark, "token-digests")
     token_files.read_digests(spark, path).write.parquet(digests)
     return token_files.with_global_start(spark.read.parquet(digests)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten documents that rank highest for every benchmark item."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return lexical.search(documents, table(spark, folder, "benchmark").select("item_id", "text"))
