@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketloom.llm import archives, decontaminate, language, lexical, licences, mixing, neardup, quality, secrets, shards, token_files
+from ticketloom.llm import (
+    archives, conversations, decontaminate, language, lexical, licences, mixing, neardup, quality, secrets, shards, token_files,
+)
 from ticketloom.llm.blocks import bounded_batches
 from ticketloom.llm.oracles import ORACLES
 from ticketloom.runtime import ensure_checkpoint_dir
@@ -131,3 +133,19 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten documents that rank highest for every benchmark item."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return lexical.search(documents, table(spark, folder, "benchmark").select("item_id", "text"))
+
+
+@query
+def op13_repair_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Cheapest repair of every conversation after planted damage."""
+    talks = table(spark, folder, "conversations")
+    report, edited = conversations.repair(conversations.damaged(talks), copies="copies")
+    hashes = conversations.digests(edited).withColumnRenamed("_conv", "_h")
+    report = report.withColumnRenamed("conv_id", "_r")
+    found = talks.select("conv_id").distinct().join(report, F.col("conv_id").eqNullSafe(F.col("_r")), "left")
+    found = found.join(hashes, F.col("conv_id").eqNullSafe(F.col("_h")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
