@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.llm import (
-    archives, conversations, decontaminate, language, lexical, licences, mixing, neardup, quality, secrets, shards, token_files,
+    archives, conversations, decontaminate, language, lexical, licences, mixing, neardup, quality, secrets, shards, suffixes,
+    token_files,
 )
 from ticketloom.llm.blocks import bounded_batches
 from ticketloom.llm.oracles import ORACLES
@@ -135,6 +136,15 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(documents, table(spark, folder, "benchmark").select("item_id", "text"))
 
 
+@query
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What stays of every document without the byte strings of smaller documents."""
+    found = suffixes.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op13_repair_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """Cheapest repair of every conversation after planted damage."""
