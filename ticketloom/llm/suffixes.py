@@ -40,6 +40,7 @@ PIECE = 1 << 18
 BUCKET_ANCHORS, BUCKET_BYTES = 1 << 20, 1 << 21
 LOW = np.uint64((1 << 24) - 1)
 WIDE = 1 << 21
+NAME_TABLE = 1 << 22
 
 
 def _sorted_names(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +49,7 @@ def _sorted_names(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = columns[0]
         for c in columns[1:]:
             key = key * WIDE + c
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         new = key[1:] != key[:-1]
     else:
@@ -59,6 +60,29 @@ def _sorted_names(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(np.r_[True, new])[: len(order)]
 
 
+def _triple_names(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+    """Order of the triples if it had to be found, and the name of each one; few symbols are named from a table."""
+    base = int(first.max(initial=0)) + 1
+    base = max(base, int(second.max(initial=0)) + 1, int(third.max(initial=0)) + 1)
+    if base > 1 << 16:
+        dense, size = (first, second, third), base
+    else:
+        there = np.zeros(base, bool)
+        for c in (first, second, third):
+            there[c] = True
+        rank = np.cumsum(there) - 1
+        dense, size = (rank[first], rank[second], rank[third]), int(rank[-1]) + 1
+    if size**3 <= NAME_TABLE:
+        key = (dense[0] * size + dense[1]) * size + dense[2]
+        there = np.zeros(size**3, bool)
+        there[key] = True
+        return None, np.cumsum(there)[key]
+    order, named = _sorted_names(*dense)
+    names = np.empty(len(order), np.int64)
+    names[order] = named
+    return order, names
+
+
 def suffix_array(symbols: np.ndarray, span: int | None = None) -> np.ndarray:
     """Starts of the suffixes of ``symbols`` (from 1, below 2**31) in order; with ``span``, of their first ``span`` symbols at least.
 
@@ -71,12 +95,12 @@ def suffix_array(symbols: np.ndarray, span: int | None = None) -> np.ndarray:
     s[:n] = symbols
     ones, twos = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)  # n % 3 == 1: an empty suffix ends the first row
     sample = np.r_[ones, twos]
-    order, named = _sorted_names(s[sample], s[sample + 1], s[sample + 2])
-    names = np.empty(len(sample), np.int64)
-    names[order] = named
-    if named[-1] < len(sample) and (span is None or span > 3):
+    order, names = _triple_names(s[sample], s[sample + 1], s[sample + 2])
+    if names.max() < len(sample) and (span is None or span > 3):
         order = suffix_array(names, None if span is None else -(-span // 3))
         names[order] = np.arange(1, len(sample) + 1)
+    elif order is None:
+        order = np.argsort(names)
     rank = np.zeros(n + 3, np.int64)
     rank[sample] = names
     by_rank = sample[order]
@@ -124,11 +148,12 @@ def repeated_strings(symbols: np.ndarray, wanted: np.ndarray, span: int = SPAN)
     order = suffix_array(symbols, span)
     order = order[mark[order]]
     same = np.ones(max(0, len(order) - 1), bool)
-    words, width = symbols.astype(np.uint64), 1  # bytes and a separator; eight of them fit a word with nine bits for each
-    for _ in range(2):
-        words = np.r_[(words[:-width] << np.uint64(9 * width)) | words[width:], np.zeros(width, np.uint64)]
-        width *= 2
-    for at in [*range(0, span - 4, 4), span - 4]:
+    # seven symbols, bytes or a separator, fit into a word with nine bits for each
+    one = np.r_[symbols.astype(np.uint64), np.zeros(8, np.uint64)]
+    two = (one[:-1] << np.uint64(9)) | one[1:]
+    four = (two[:-2] << np.uint64(18)) | two[2:]
+    words = (four[:-4] << np.uint64(27)) | (two[4 : len(four)] << np.uint64(9)) | one[6 : len(four) + 2]
+    for at in [*range(0, span - 7, 7), span - 7]:
         w = words[order + at]
         same &= w[1:] == w[:-1]
     found = np.empty(len(symbols) + 1, np.int64)
