@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ticketloom.functions import vectors
-from ticketloom.operators import density, domains, neighbours, quality, reduction, scans
+from ticketloom.operators import density, domains, neighbours, quality, reduction, scans, ward
 
 BLOBS = (((0, 0), 0.3, 60), ((3, 3), 0.2, 50), ((0, 4), 0.8, 50))
 
@@ -264,3 +264,70 @@ def test_domains(spark):
     names = domains.name_domains(spark.createDataFrame(scored[["tech_center", "cluster_id", "domain_id"]]), labels, ["tech_center"])
     got = {(r.tech_center, r.domain_id): r.domain_name for r in names.collect()}
     assert got[("a", 1)] == "Domain 1: T4" and got[("b", 0)] == "All Incidents" and got[("a", -1)] == "Noise"
+
+
+def nested_clusters(n, rng):
+    """Condensed trees as rows: a chain of nested clusters with a leaf beside each, and a random tree."""
+    rows = [("chain", 0, None)]
+    for i in range(1, n):
+        rows += [("chain", 2 * i - 1, 2 * i - 2 if i > 1 else 0), ("chain", 2 * i, 2 * i - 2 if i > 1 else 0)]
+    rows += [("random", i, int(rng.integers(max(0, i - 6), i)) if i else None) for i in range(150)] + [("lone", 0, None)]
+    return [(k, i, p, float(np.round(rng.uniform(0, 4), 3)), float(i + 1)) for k, i, p in rows]
+
+
+@pytest.mark.parametrize("method", ["eom", "leaf"])
+def test_nested_clusters_settle_in_few_rounds(spark, monkeypatch, method):
+    rows = nested_clusters(200, np.random.default_rng(11))
+    name = "struct<w: double, c: long>"
+    data = [(k, (0.0, i), None if p is None else (0.0, p), s, 0.5, d) for k, i, p, s, d in rows]
+    nodes = spark.createDataFrame(data, f"_k string, cluster {name}, parent {name}, stability double, birth double, death double")
+    real, rounds = density.cut, []
+    monkeypatch.setattr(density, "cut", lambda df: (rounds.append(1), real(df))[1])
+    got = {(r._k, r.cluster.c): (r.selected, r.deepest_death) for r in density._select(real(nodes), method, 0.0).collect()}
+    assert len(rounds) < 40  # two tables a round at most
+    kids, facts = {}, {(k, i): (p, s, d) for k, i, p, s, d in rows}
+    for (k, i), (p, _, _) in facts.items():
+        kids.setdefault((k, p), []).append((k, i))
+    best, deep, wins = {}, {}, {}
+    for node in sorted(facts, key=lambda n: -n[1]):
+        below = kids.get(node, [])
+        total = sum(best[c] for c in below)
+        wins[node] = (not below) if method == "leaf" else not below or total <= facts[node][1]
+        best[node] = max(facts[node][1], total) if below else facts[node][1]
+        deep[node] = max([facts[node][2], *(deep[c] for c in below)])
+    for node, (parent, _, _) in facts.items():
+        above, free = parent, parent is not None
+        while above is not None:
+            if facts[node[0], above][0] is not None and wins[node[0], above]:
+                free = False
+            above = facts[node[0], above][0]
+        assert got[node] == (free and wins[node], deep[node]), node
+
+
+def test_selected_clusters_climb_above_a_distance(spark):
+    name = "struct<w: double, c: long>"
+    rows = [(0, None, 0.0), (1, 0, 0.4), (2, 1, 2.0), (3, 2, 4.0), (4, 0, 5.0)]  # births; eps 0.6 is lambda 1.67
+    data = [("k", (0.0, i), None if p is None else (0.0, p), b, i in (3, 4)) for i, p, b in rows]
+    state = spark.createDataFrame(data, f"_k string, cluster {name}, parent {name}, birth double, selected boolean")
+    got = density._merge_below(state, 0.6)
+    assert {r.cluster.c for r in got.where("selected").collect()} == {1, 4}
+
+
+def test_ward_merges_like_the_definition():
+    rng = np.random.default_rng(5)
+    for n in (2, 3, 9, 40):
+        x = rng.normal(size=(n, 2))
+        groups, want = {i: [i] for i in range(n)}, []
+        while len(groups) > 1:
+            def gap(a, b):
+                p, q = x[groups[a]], x[groups[b]]
+                return 2 * len(p) * len(q) / (len(p) + len(q)) * ((p.mean(0) - q.mean(0)) ** 2).sum()
+            h, a, b = min((gap(a, b), a, b) for a in groups for b in groups if a < b)
+            want.append((h**0.5, a, b))
+            groups[a] += groups.pop(b)
+        got = ward.merges(x)
+        assert [m[1:] for m in got] == [m[1:] for m in want]
+        assert np.allclose([m[0] for m in got], [m[0] for m in want])
+        assert [len(set(ward.cut_labels(n, got, k))) for k in range(1, n + 1)] == list(range(1, n + 1))
+    equal = ward.merges(np.zeros((4, 2)))
+    assert len(equal) == 3 and {m[0] for m in equal} == {0.0}

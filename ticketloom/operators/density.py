@@ -470,74 +470,97 @@ def hierarchy(
     return Hierarchy(cut(selected), cut(points))
 
 
-def _select(nodes: DataFrame, method: str, eps: float) -> DataFrame:
-    """Choose clusters bottom-up. The root of a key is never chosen; a node settles once all its children have."""
-    kids = nodes.where("parent is not null").groupBy("_k", F.col("parent").alias("cluster")).agg(F.count("*").alias("_kids"))
-    state = nodes.join(kids, ["_k", "cluster"], "left").withColumn("_kids", F.coalesce("_kids", F.lit(0)))
-    leaf = F.col("_kids") == 0
-    state = cut(
-        state.withColumn("_done", leaf)
-        .withColumn("_best", F.when(leaf, F.col("stability")))
-        .withColumn("_wins", F.when(leaf, True))
-        .withColumn("deepest_death", F.when(leaf, F.col("death")))
-    )
-    while not state.where("not _done").isEmpty():
-        ready = state.where("_done and parent is not null").groupBy("_k", F.col("parent").alias("cluster")).agg(
-            F.count("*").alias("_settled"), F.sum("_best").alias("_sum"), F.max("deepest_death").alias("_deep")
+def _subtree_values(nodes: DataFrame) -> DataFrame:
+    """``_kids, _best, deepest_death`` of every cluster, by contracting the tree in log n rounds.
+
+    The best choice below a cluster is ``max(stability, sum over its children)``. Rake: a cluster whose children have all
+    settled settles. Compress: a cluster with one open child is the map ``x -> max(a, b + x)`` of that child's value; such
+    maps compose to maps of the same kind, so chains of them halve in every round, however deep the tree is.
+    """
+    state = cut(nodes.select(
+        "_k", "cluster", "parent", "stability", "death", F.lit(None).cast("double").alias("_best"),
+        F.lit(None).cast("double").alias("deepest_death"), F.lit(0).cast("long").alias("_kids"),
+        F.lit(None).cast(nodes.schema["cluster"].dataType).alias("_to"), *(F.lit(None).cast("double").alias(c) for c in ("_a", "_b", "_d")),
+    ))
+    while True:
+        open_ = F.col("_best").isNull()
+        below = state.where("parent is not null").groupBy("_k", F.col("parent").alias("cluster")).agg(
+            F.count("*").alias("_n"), F.count(F.when(open_, 1)).alias("_open"), F.max(F.when(open_, F.col("cluster"))).alias("_child"),
+            F.coalesce(F.sum("_best"), F.lit(0.0)).alias("_sum"), F.max("deepest_death").alias("_deep"),
         )
-        joined = state.join(ready, ["_k", "cluster"], "left")
-        now = ~F.col("_done") & (F.col("_settled") == F.col("_kids"))
-        keep = F.col("_sum") <= F.col("stability")
-        state = cut(
-            joined.withColumn("_best", F.when(now, F.greatest("_sum", "stability")).otherwise(F.col("_best")))
-            .withColumn("_wins", F.when(now, keep).otherwise(F.col("_wins")))
-            .withColumn("deepest_death", F.when(now, F.greatest("_deep", "death")).otherwise(F.col("deepest_death")))
-            .withColumn("_done", F.col("_done") | F.coalesce(now, F.lit(False)))
-            .drop("_settled", "_sum", "_deep")
+        seen = state.join(below, ["_k", "cluster"], "left")
+        left = F.coalesce("_open", F.lit(0))
+        rake, chain = open_ & (left == 0), open_ & (left == 1) & F.col("_to").isNull()
+        sums, deep = F.coalesce("_sum", F.lit(0.0)), F.greatest("death", "_deep")  # ``greatest`` skips nulls
+        raked = cut(seen.select(
+            "_k", "cluster", "parent", "stability", "death",
+            F.when(rake, F.greatest("stability", sums)).otherwise(F.col("_best")).alias("_best"),
+            F.when(rake, deep).otherwise(F.col("deepest_death")).alias("deepest_death"),
+            F.coalesce("_n", F.lit(0)).alias("_kids"),
+            F.when(chain, F.col("_child")).otherwise(F.col("_to")).alias("_to"),
+            F.when(chain, F.col("stability")).otherwise(F.col("_a")).alias("_a"),
+            F.when(chain, sums).otherwise(F.col("_b")).alias("_b"),
+            F.when(chain, deep).otherwise(F.col("_d")).alias("_d"),
+        ))
+        at = raked.select(
+            "_k", F.col("cluster").alias("_to"), F.col("_best").alias("_x"), F.col("deepest_death").alias("_xd"),
+            F.col("_to").alias("_to2"), F.col("_a").alias("_a2"), F.col("_b").alias("_b2"), F.col("_d").alias("_d2"),
         )
-    # top-down: a winner counts unless something above it has won already
-    root = F.col("parent").isNull()
-    picks = (F.col("_kids") == 0) if method == "leaf" else F.col("_wins")
-    state = cut(
-        state.withColumn("_picks", picks & ~root).withColumn("_open", F.when(root, True)).withColumn("selected", F.lit(False))
+        joined = raked.join(at, ["_k", "_to"], "left")
+        waits = F.col("_best").isNull() & F.col("_to").isNotNull()
+        done, hop = waits & F.col("_x").isNotNull(), waits & F.col("_x").isNull() & F.col("_to2").isNotNull()
+        state = cut(joined.select(
+            "_k", "cluster", "parent", "stability", "death",
+            F.when(done, F.greatest("_a", F.col("_b") + F.col("_x"))).otherwise(F.col("_best")).alias("_best"),
+            F.when(done, F.greatest("_d", "_xd")).otherwise(F.col("deepest_death")).alias("deepest_death"), "_kids",
+            F.when(hop, F.col("_to2")).otherwise(F.col("_to")).alias("_to"),
+            F.when(hop, F.greatest("_a", F.col("_b") + F.col("_a2"))).otherwise(F.col("_a")).alias("_a"),
+            F.when(hop, F.col("_b") + F.col("_b2")).otherwise(F.col("_b")).alias("_b"),
+            F.when(hop, F.greatest("_d", "_d2")).otherwise(F.col("_d")).alias("_d"),
+        ))
+        if state.where("_best is null").isEmpty():
+            return state.drop("_to", "_a", "_b", "_d")
+
+
+def _under_a_pick(state: DataFrame) -> DataFrame:
+    """``_k, cluster, _under``: has something above it been picked? Pointers to ancestors double in every round."""
+    at = cut(state.select("_k", "cluster", F.col("parent").alias("_up"), F.lit(False).alias("_under")))
+    picks = state.select("_k", F.col("cluster").alias("_up"), "_picks")
+    while not at.where("_up is not null").isEmpty():
+        hop = at.select("_k", F.col("cluster").alias("_up"), F.col("_up").alias("_next"), F.col("_under").alias("_more"))
+        joined = at.join(hop.join(picks, ["_k", "_up"]), ["_k", "_up"], "left")
+        gained = F.coalesce(F.col("_picks") | F.col("_more"), F.lit(False))
+        at = cut(joined.select("_k", "cluster", F.col("_next").alias("_up"), (F.col("_under") | gained).alias("_under")))
+    return at.drop("_up")
+
+
+def _select(nodes: DataFrame, method: str, eps: float) -> DataFrame:
+    """Choose clusters: bottom-up by stability, or the leaves; the root of a key is never chosen. Log n rounds of joins."""
+    values = _subtree_values(nodes)
+    sums = values.where("parent is not null").groupBy("_k", F.col("parent").alias("cluster")).agg(F.sum("_best").alias("_sum"))
+    picks = (F.col("_kids") == 0) if method == "leaf" else F.coalesce(F.col("_sum") <= F.col("stability"), F.lit(True))
+    known = values.join(sums, ["_k", "cluster"], "left").select(
+        "_k", "cluster", "deepest_death", (picks & F.col("parent").isNotNull()).alias("_picks")
     )
-    while not state.where("_open is null").isEmpty():
-        above = state.where("_open is not null").select(
-            "_k", F.col("cluster").alias("parent"), (F.col("_open") & ~F.col("selected")).alias("_free")
-        )
-        joined = state.join(above, ["_k", "parent"], "left")
-        now = F.col("_open").isNull() & F.col("_free").isNotNull()
-        state = cut(
-            joined.withColumn("selected", F.when(now, F.col("_free") & F.col("_picks")).otherwise(F.col("selected")))
-            .withColumn("_open", F.when(now, F.col("_free")).otherwise(F.col("_open")))
-            .drop("_free")
-        )
-    if eps > 0:
-        state = _merge_below(state, eps)
-    return state.drop("_kids", "_done", "_best", "_wins", "_picks", "_open")
+    state = cut(nodes.join(known, ["_k", "cluster"]))
+    under = _under_a_pick(state)
+    state = state.join(under, ["_k", "cluster"]).withColumn("selected", F.col("_picks") & ~F.col("_under"))
+    state = cut(state.drop("_picks", "_under"))
+    return _merge_below(state, eps) if eps > 0 else state
 
 
 def _merge_below(state: DataFrame, eps: float) -> DataFrame:
-    """Selected clusters that were born below ``eps`` climb to the first ancestor born above it."""
+    """Selected clusters that were born below ``eps`` climb to the first ancestor born above it, below the root at most."""
     born = F.when(F.col("birth") > 0, 1.0 / F.col("birth")).otherwise(F.lit(float("inf")))
-    nodes = cut(state.withColumn("_born", born))
-    climb = cut(nodes.where("selected").select("_k", "cluster", F.col("cluster").alias("_at"), "_born", "parent"))
-    while True:
-        up = nodes.select("_k", F.col("cluster").alias("parent"), F.col("_born").alias("_ub"), F.col("parent").alias("_up"))
-        joined = climb.join(up, ["_k", "parent"], "left")
-        move = (F.col("_born") < eps) & F.col("_up").isNotNull()
-        joined = cut(joined.withColumn("_move", F.coalesce(move, F.lit(False))))
-        if joined.where("_move").isEmpty():
-            break
-        climb = joined.select(
-            "_k", "cluster",
-            F.when(F.col("_move"), F.col("parent")).otherwise(F.col("_at")).alias("_at"),
-            F.when(F.col("_move"), F.col("_ub")).otherwise(F.col("_born")).alias("_born"),
-            F.when(F.col("_move"), F.col("_up")).otherwise(F.col("parent")).alias("parent"),
-        )
-    ends = climb.select("_k", F.col("_at").alias("cluster")).distinct().withColumn("_end", F.lit(True))
-    return nodes.join(ends, ["_k", "cluster"], "left").withColumn("selected", F.coalesce("_end", F.lit(False))).drop(
-        "_end", "_born"
+    tops = state.select("_k", F.col("cluster").alias("parent"), F.col("parent").isNotNull().alias("_below_root"))
+    climbs = (born < eps) & F.coalesce("_below_root", F.lit(False))
+    step = state.join(tops, ["_k", "parent"], "left").select(
+        "_k", "cluster", F.when(climbs, F.col("parent")).otherwise(F.col("cluster")).alias("_to")
+    )
+    ends = collapse(step, ["_k"], "cluster", "_to").select("_k", F.col("node").alias("cluster"), F.col("root").alias("_end"))
+    chosen = state.where("selected").join(ends, ["_k", "cluster"]).select("_k", F.col("_end").alias("cluster")).distinct()
+    return state.drop("selected").join(chosen.withColumn("selected", F.lit(True)), ["_k", "cluster"], "left").withColumn(
+        "selected", F.coalesce("selected", F.lit(False))
     )
 
 

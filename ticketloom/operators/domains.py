@@ -1,6 +1,7 @@
 """Grouping of clusters into domains, and their names.
 
-Grouping runs keyed k-means over the cluster centres: all centers, domain counts and restarts advance in the same jobs.
+Grouping runs keyed k-means over the cluster centres (all centers and restarts advance in the same jobs), or merges them
+by Ward's criterion and scores the cuts.
 Everything here works on one row per cluster.
 """
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.functions import scoring, vectors
-from ticketloom.operators import quality
+from ticketloom.operators import quality, ward
 from ticketloom.operators.scans import top_per_group
 from ticketloom.runtime import cut
 
@@ -89,17 +90,15 @@ def group_domains(centres: DataFrame, keys: list[str], max_domains: int = scorin
 
 
 def group_domains_scored(centres: DataFrame, keys: list[str], max_domains: int = scoring.DEFAULT_DOMAINS) -> DataFrame:
-    """Domains with the count chosen by silhouette and Calinski-Harabasz over every candidate count.
+    """Domains by Ward merging, the count chosen by silhouette and Calinski-Harabasz over the cuts of the merge tree.
 
     Keys with at most three clusters get the single domain 0. Columns: keys, cluster_id, domain_id, domain_count.
     """
     n = centres.groupBy(*keys).agg(F.count("*").alias("_n"))
     rows = cut(centres.join(n, keys).select(*keys, "cluster_id", F.array("center_x", "center_y").alias("_v"), "_n"))
     few = rows.where("_n <= 3").select(*keys, "cluster_id", F.lit(0).alias("domain_id"), F.lit(1).alias("domain_count"))
-    top = F.greatest(F.lit(2), F.least(F.lit(max_domains), F.col("_n").cast("int") - 1))
-    scan = rows.where("_n > 3").withColumn("_want", F.explode(F.sequence(F.lit(2), top)))
     on = [*keys, "_want"]
-    grouped = cut(keyed_kmeans(scan.withColumn("_kk", F.col("_want")), on, "cluster_id", "_v", "_kk", max_k=max_domains))
+    grouped = cut(ward.cuts(rows.where("_n > 3"), keys, "cluster_id", "_v", max_domains))
     scored = grouped.join(rows, [*keys, "cluster_id"]).select(
         *on, F.col("cluster_id").alias("number"), F.col("domain_id").alias("cluster_id"), "_v", "_n"
     )
