@@ -47,10 +47,12 @@ def _words(c: str) -> str:
 
 
 def _leading(c: str) -> str:
-    """The thirty most frequent words, the earlier first."""
-    w = _words(c)
-    ranked = f"list_sort(list_transform(map_entries(list_histogram({w})), lambda e: {{'n': -(e.value::BIGINT), 'p': list_position({w}, e.key), 'w': e.key}}))"
-    return f"array_to_string(list_transform(({ranked})[1:30], lambda s: s.w), ' ')"
+    """The thirty most frequent words, the earlier first; every word is grouped once."""
+    return (
+        f"CASE WHEN {c} IS NOT NULL THEN coalesce((SELECT string_agg(x.w, ' ' ORDER BY x.n DESC, x.p) FROM (SELECT u.w, count(*) AS n, "
+        f"min(u.i) AS p FROM (SELECT unnest(l.ws) AS w, generate_subscripts(l.ws, 1) AS i FROM (SELECT {_words(c)} AS ws) l) u "
+        "GROUP BY u.w ORDER BY n DESC, p LIMIT 30) x), '') END"
+    )
 
 
 @query("text_deep_clean", f"SELECT doc_id, {_deep('text')} AS cleaned FROM documents")

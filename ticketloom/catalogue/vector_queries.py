@@ -343,7 +343,7 @@ def _(v):
 
 @query(
     "reachability_edges",
-    f"""WITH {_NN.replace("nn AS (", "nn AS MATERIALIZED (", 1)}, core AS (SELECT number, d AS c FROM nn WHERE rank = 5)
+    f"""WITH {_NN.replace("nn AS (", "nn AS MATERIALIZED (", 1)[:-1]} QUALIFY rank <= 10), core AS (SELECT number, d AS c FROM nn WHERE rank = 5)
         SELECT nn.number, neighbour, round(greatest(a.c, b.c, d), 6) AS reachability FROM nn JOIN core a ON nn.number = a.number
         JOIN core b ON neighbour = b.number WHERE rank <= 10""",
 )
@@ -470,12 +470,95 @@ def _(v):
     return domains.group_domains(cluster_stats.planar_centers(v.clustered), keys)
 
 
-@query("domain_groups_scored")
+# Ward merging in SQL: in every step the nearest pair of groups of a key is merged, ties by the smallest names
+_WARD = f"""RECURSIVE centres AS (
+    SELECT {_KEYS}, cluster_id::BIGINT AS cluster_id, avg(umap_x) AS x, avg(umap_y) AS y FROM clustered WHERE cluster_id <> -1 GROUP BY ALL),
+  s AS (
+    SELECT {_KEYS}, 0::BIGINT AS step, NULL::BIGINT AS a, NULL::BIGINT AS b, NULL::DOUBLE AS d2,
+      list({{'id': cluster_id, 'n': 1.0::DOUBLE, 'x': x, 'y': y, 'm': [cluster_id]}} ORDER BY cluster_id) AS g
+    FROM centres GROUP BY {_KEYS}
+    UNION ALL
+    SELECT {_KEYS}, step + 1, p.a, p.b, p.d2,
+      list_concat(list_filter(g, lambda e: e.id <> p.a AND e.id <> p.b),
+        [{{'id': p.a, 'n': p.i.n + p.j.n, 'x': (p.i.n * p.i.x + p.j.n * p.j.x) / (p.i.n + p.j.n),
+           'y': (p.i.n * p.i.y + p.j.n * p.j.y) / (p.i.n + p.j.n), 'm': list_concat(p.i.m, p.j.m)}}])
+    FROM (SELECT *, list_sort(flatten(list_transform(g, lambda i: list_transform(list_filter(g, lambda j: j.id > i.id),
+        lambda j: {{'d2': 2 * i.n * j.n / (i.n + j.n) * ((i.x - j.x) ** 2 + (i.y - j.y) ** 2), 'a': i.id, 'b': j.id, 'i': i, 'j': j}}))))[1] AS p
+      FROM s WHERE len(g) > 1))"""
+
+
+@query("ward_merges", f"WITH {_WARD} SELECT {_KEYS}, step, a, b, round(sqrt(d2), 6) AS height FROM s WHERE step > 0")
+def _(v):
+    from ticketloom.operators import ward
+
+    keys = ["tech_center", "model_version"]
+    rows = cluster_stats.planar_centers(v.clustered).select(*keys, "cluster_id", F.array("center_x", "center_y").alias("v"))
+    return _rounded(_long(ward.merge_table(rows, keys, "cluster_id", "v"), "step", "a", "b"), "height")
+
+
+@query(
+    "domain_groups_scored",
+    f"""WITH {_WARD}, n AS (SELECT {_KEYS}, count(*) AS n FROM centres GROUP BY ALL),
+      parts AS (SELECT {_KEYS}, n - step AS want, n, unnest(g) AS e FROM s JOIN n USING ({_KEYS})
+        WHERE n > 3 AND n - step BETWEEN 2 AND greatest(2, least(15, n - 1))),
+      labels AS (SELECT {_KEYS}, want, n, unnest(e.m) AS cluster_id,
+        dense_rank() OVER (PARTITION BY {_KEYS}, want ORDER BY list_min(e.m)) - 1 AS domain_id FROM parts),
+      l AS (SELECT * FROM labels JOIN centres USING ({_KEYS}, cluster_id)),
+      sums AS (SELECT a.tech_center, a.model_version, a.want, a.cluster_id, a.domain_id, b.domain_id AS other,
+          sum(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2)) AS t, count(*) AS m
+        FROM l a JOIN l b ON a.tech_center = b.tech_center AND a.model_version = b.model_version AND a.want = b.want GROUP BY ALL),
+      own AS (SELECT {_KEYS}, want, cluster_id, max(m) FILTER (other = domain_id) AS size,
+          max(t / greatest(m - 1, 1)) FILTER (other = domain_id) AS a, min(t / m) FILTER (other <> domain_id) AS b FROM sums GROUP BY ALL),
+      sil AS (SELECT {_KEYS}, want, avg(CASE WHEN size = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END) AS sil FROM own GROUP BY ALL),
+      mid AS (SELECT {_KEYS}, want, domain_id, avg(x) AS mx, avg(y) AS my, count(*) AS c FROM l GROUP BY ALL),
+      grand AS (SELECT {_KEYS}, want, avg(x) AS gx, avg(y) AS gy FROM l GROUP BY ALL),
+      between_ AS (SELECT {_KEYS}, want, sum(c * ((mx - gx) ** 2 + (my - gy) ** 2)) AS ssb FROM mid JOIN grand USING ({_KEYS}, want) GROUP BY ALL),
+      within_ AS (SELECT {_KEYS}, want, any_value(n) AS n, sum((x - mx) ** 2 + (y - my) ** 2) AS ssw
+        FROM l JOIN mid USING ({_KEYS}, want, domain_id) GROUP BY ALL),
+      score AS (SELECT {_KEYS}, want, n, sil + ch / (1000 + ch) AS score FROM (
+        SELECT {_KEYS}, want, n, sil, (ssb / (want - 1)) / (ssw / (n - want)) AS ch
+        FROM sil JOIN between_ USING ({_KEYS}, want) JOIN within_ USING ({_KEYS}, want))),
+      best AS (SELECT {_KEYS}, coalesce(arg_min(want, (-score, want)) FILTER (score > 0), least(15, greatest(2, any_value(n) // 5))) AS want
+        FROM score GROUP BY ALL)
+      SELECT {_KEYS}, cluster_id, domain_id, want AS domain_count FROM labels JOIN best USING ({_KEYS}, want)
+      UNION ALL SELECT {_KEYS}, cluster_id, 0, 1 FROM centres JOIN n USING ({_KEYS}) WHERE n <= 3""",
+)
 def _(v):
     from ticketloom.operators import domains
 
     keys = ["tech_center", "model_version"]
-    return domains.group_domains_scored(cluster_stats.planar_centers(v.clustered), keys)
+    out = domains.group_domains_scored(cluster_stats.planar_centers(v.clustered), keys)
+    return _long(out.select(*keys, "cluster_id", "domain_id", "domain_count"), "cluster_id", "domain_id", "domain_count")
+
+
+# customers of a nation in a ring by account balance: its eigenvalues are known, the leading one comes twice
+@query(
+    "ring_spectrum",
+    """SELECT c_nationkey, c::BIGINT AS component, round(cos(2 * pi() / count(*)), 3) AS eigenvalue, true AS settled
+       FROM customer, range(0, 2) AS r(c) GROUP BY c_nationkey, c HAVING count(*) > 2""",
+)
+def _(v):
+    from pyspark.sql import Window
+
+    from ticketloom.operators import spectral
+
+    order = Window.partitionBy("c_nationkey").orderBy("c_acctbal", "c_custkey")
+    size = F.count("*").over(Window.partitionBy("c_nationkey"))
+    rows = v.table("customer").select("c_nationkey", "c_custkey", size.alias("n"), F.coalesce(
+        F.lead("c_custkey").over(order), F.first("c_custkey").over(order)).alias("next")).where("n > 2")
+    found = spectral.eigenvectors(rows.withColumn("w", F.lit(1.0)), ["c_nationkey"], "c_custkey", "next", "w", "c_custkey", tolerance=1e-4)
+    out = found.values.select("c_nationkey", "component", "eigenvalue", (F.col("residual") <= 1e-4).alias("settled"))
+    return _rounded(_long(out, "component"), "eigenvalue", digits=3)
+
+
+@query("graph_layout")
+def _(v):
+    from ticketloom.operators import neighbours, reduction
+
+    graph = neighbours.fuzzy_graph(_nn(v), ["tech_center"], "number", 10)
+    placed, spectrum = reduction.graph_layout(graph, ["tech_center"], "number")
+    out = placed.select("tech_center", "number", "umap_x", "umap_y")
+    return _rounded(out, "umap_x", "umap_y", digits=3)
 
 
 @query(

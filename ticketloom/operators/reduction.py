@@ -1,8 +1,8 @@
 """Dimension reduction: principal components of all keys in one job, with optional neighbourhood smoothing.
 
-The layout is linear and deterministic. It stands in for a stochastic embedding, whose sequential optimisation does not
-distribute; the neighbour graph of such an embedding is available as :func:`neighbours.fuzzy_graph` and can be used to
-pull connected points together.
+The linear layout is deterministic and can be applied to new rows. :func:`graph_layout` places the points of a neighbour
+graph (:func:`neighbours.fuzzy_graph`) by the leading eigenvectors of its Laplacian, where a stochastic embedding starts;
+the sequential optimisation of such an embedding does not distribute.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions import vectors
 from ticketloom.operators import neighbours as nb
+from ticketloom.operators import spectral
 from ticketloom.operators.arrow_blocks import matrix
+from ticketloom.runtime import cut
 
 # Defaults of the reduction.
 COMPONENTS = 2
@@ -119,8 +121,43 @@ def smooth(
     return points.withColumn("umap_x", F.get(reduced, F.lit(0))).withColumn("umap_y", F.get(reduced, F.lit(1)))
 
 
-def parameters(model: DataFrame, keys: list[str], metric: str = "cosine") -> DataFrame:
-    """One parameter document per fitted model."""
-    agg = model.groupBy(*keys).agg(F.count("*").alias("n_components"), F.max(F.size("mean")).alias("dimensions"))
-    doc = F.to_json(F.struct("n_components", "dimensions", F.lit(NEIGHBOURS).alias("n_neighbors"), F.lit(metric).alias("metric")))
+def graph_layout(
+    graph: DataFrame, keys: list[str], ident: str, k: int = COMPONENTS, tolerance: float = spectral.TOLERANCE
+) -> tuple[DataFrame, DataFrame]:
+    """Nodes of a weighted graph ``keys, a, b, weight`` with ``reduced, umap_x, umap_y``, and the spectrum of every key."""
+    placed, spectrum = spectral.layout(graph, keys, ident, k, tolerance=tolerance)
+    placed = placed.withColumn("umap_x", F.get("reduced", F.lit(0))).withColumn("umap_y", F.get("reduced", F.lit(1)))
+    return placed, spectrum
+
+
+def embedded(
+    points: DataFrame, keys: list[str], ident: str, vec: str, k: int = COMPONENTS, n_neighbors: int = NEIGHBOURS, metric: str = "cosine"
+) -> tuple[DataFrame, DataFrame]:
+    """``points`` placed by the graph of their ``n_neighbors`` nearest neighbours, and the spectrum; lone points lie at 0."""
+    near = nb.neighbours(points, keys, ident, vec, n_neighbors, metric)
+    placed, spectrum = graph_layout(cut(nb.fuzzy_graph(near, keys, ident, n_neighbors)), keys, ident, k)
+    joined = points.join(placed, [*keys, ident], "left")
+    origin = F.array_repeat(F.lit(0.0), k)
+    return joined.withColumns({
+        "reduced": F.coalesce("reduced", origin), "umap_x": F.coalesce("umap_x", F.lit(0.0)), "umap_y": F.coalesce("umap_y", F.lit(0.0)),
+    }), spectrum
+
+
+def parameters(model: DataFrame, keys: list[str]) -> DataFrame:
+    """One parameter document per fitted linear model: what the fit used and found."""
+    agg = model.groupBy(*keys).agg(
+        F.count("*").alias("n_components"), F.max(F.size("mean")).alias("dimensions"),
+        F.transform(F.array_sort(F.collect_list(F.struct("component", "variance"))), lambda c: F.round(c["variance"], 6)).alias("variances"),
+    )
+    doc = F.to_json(F.struct(F.lit("principal components").alias("method"), "n_components", "dimensions", "variances"))
     return agg.select(*keys, doc.alias("payload"))
+
+
+def graph_parameters(spectrum: DataFrame, keys: list[str], n_neighbors: int = NEIGHBOURS, metric: str = "cosine") -> DataFrame:
+    """One parameter document per graph layout: what :func:`embedded` used and found."""
+    found = F.array_sort(F.collect_list(F.struct("component", F.round("eigenvalue", 6).alias("eigenvalue"), F.round("residual", 6).alias("residual"))))
+    agg = spectrum.groupBy(*keys).agg(F.count("*").alias("n_components"), found.alias("spectrum"))
+    fixed = F.struct(
+        F.lit("graph").alias("method"), "n_components", F.lit(n_neighbors).alias("n_neighbors"), F.lit(metric).alias("metric"), "spectrum"
+    )
+    return agg.select(*keys, F.to_json(fixed).alias("payload"))
