@@ -1,6 +1,6 @@
 """The jobs end to end on a small generated set of incidents."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +100,18 @@ def test_prediction_run_uses_watermarks(trained):
     assert again.count() == 0  # everything is older than the last run
 
 
+def test_prediction_run_finds_rows_that_were_stored_late(spark, services, trained):
+    """An incident from before the last run that was stored after it, and one of a center that never had a run."""
+    later = F.lit(NOW + timedelta(hours=1)).cast("timestamp")
+    late = to_table(preprocess(make_incidents(spark, 4, 2000), later, services, dims=64))
+    late = late.withColumn("sys_created_on", F.lit(NOW - timedelta(hours=9)).cast("timestamp"))
+    strange = late.limit(1).withColumn("tech_center", F.lit("BT-TC-New")).withColumn("number", F.lit("STRANGE"))
+    sinks.write_table(late.unionByName(strange), trained, "preprocessed_incidents")
+    got = predict.run_predictions(trained, NOW + timedelta(hours=2), min_samples=3)
+    assert {r.incident_id for r in got.collect()} == {r.number for r in late.collect()} | {"STRANGE"}
+    assert predict.run_predictions(trained, NOW + timedelta(hours=3), min_samples=3).count() == 0
+
+
 def test_training_is_skipped_outside_the_schedule(trained):
     assert train.train_if_due(trained, trained.read("preprocessed_incidents"), datetime(2024, 5, 1)) is None
     assert train.train_if_due(trained, trained.read("preprocessed_incidents"), NOW) is None  # version is there
@@ -186,3 +198,17 @@ def test_stages_restart(spark, tmp_path):
     assert set(out["results"].columns) <= set(sinks.RESULT_COLUMNS)
     # three topics times two services: six texts, each shared by fifteen rows, which is more than the minimum size
     assert out["stage_metrics"].first().n_clusters == 6
+
+
+def test_stages_embed_what_preprocessing_embeds(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    rows = make_incidents(spark, 40).withColumn("tech_center", F.lit("BT-TC-Mail"))
+    given = spark.createDataFrame([(rows.first().number, "given before")], "number string, combined_incidents_summary string")
+    out = stages.run_stages(store, rows, NOW, 1, 1, summaries=given, dims=32)["stage_embeddings"]
+    want = preprocess(rows, F.lit(NOW).cast("timestamp"), dims=32)
+    both = out.select("number", "embedding").join(want.select("number", F.col("embedding").alias("e")), "number")
+    assert both.where(F.col("embedding") == F.col("e")).count() == want.count() == 40
+    made = {r.number: r.combined_incidents_summary for r in out.collect()}
+    kept = {r.number: r.combined_incidents_summary for r in want.collect()}
+    changed = [n for n in kept if made[n] != kept[n]]
+    assert [made[n] for n in changed] == ["given before"]

@@ -100,6 +100,17 @@ def reuse_summaries(df: DataFrame, summaries: DataFrame) -> DataFrame:
     )
 
 
+def keep_summaries(prepared: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Earlier summaries, by incident number, in place of the ones that were made; rows without one keep theirs."""
+    known = summaries.groupBy("number").agg(F.max("combined_incidents_summary").alias("_known"))
+    return (
+        prepared.join(known, "number", "left")
+        .withColumn("summary_source", F.when(F.col("_known").isNull(), F.col("summary_source")).otherwise("reused"))
+        .withColumn("combined_incidents_summary", F.coalesce("_known", "combined_incidents_summary"))
+        .select(prepared.columns)
+    )
+
+
 def summary_statistics(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Counts and rates by ``summary_source``."""
     source = F.col("summary_source")

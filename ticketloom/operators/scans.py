@@ -96,6 +96,21 @@ def since_watermark_or_default(
     return df.join(w, "tech_center", "left").where(F.col(time) > start).drop("_mark")
 
 
+def ingested_since(
+    df: DataFrame, watermarks: DataFrame, done: DataFrame, overlap_hours: int = 2, time: str = "created_timestamp", key: str = "number"
+) -> DataFrame:
+    """Rows stored since their center's last run that are not ``done``; a center without a run starts with all its rows.
+
+    Watermarks are run times, so they are compared with the time at which a row was stored, never with event time: an
+    incident may be stored hours after it happened. ``overlap_hours`` are read again for rows that were being stored
+    while the last run read; ``done`` keeps them from being taken twice.
+    """
+    w = watermarks.groupBy("tech_center").agg(F.max("prediction_timestamp").alias("_mark"))
+    since = F.col("_mark") - F.make_dt_interval(F.lit(0), F.lit(overlap_hours))
+    fresh = df.join(w, "tech_center", "left").where(F.col("_mark").isNull() | F.col(time).isNull() | (F.col(time) > since))
+    return fresh.drop("_mark").join(done.select(key).distinct(), key, "left_anti").select(df.columns)
+
+
 def not_yet_predicted(
     df: DataFrame,
     predictions: DataFrame,

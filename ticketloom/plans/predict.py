@@ -86,9 +86,13 @@ def score(store: Store, incidents: DataFrame, as_of: Column, min_samples: int =
 
 
 def run_predictions(store: Store, now: datetime, hours: int = 2, json_path: str | None = None, **options) -> DataFrame:
-    """Score everything newer than each center's watermark, append the predictions, then advance the watermarks."""
+    """Score everything stored since each center's last run, append the predictions, then advance the watermarks.
+
+    ``hours`` before the last run are looked at again; a center without a run starts with all its rows.
+    """
     rows = store.read("preprocessed_incidents")
-    fresh = scans.since_watermark_or_default(rows, store.read("prediction_watermarks"), now, hours)
+    done = store.read("incident_predictions").select(F.col("incident_id").alias("number"))
+    fresh = scans.ingested_since(rows, store.read("prediction_watermarks"), done, hours)
     return _score_and_store(store, fresh, now, json_path, **options)
 
 

@@ -45,8 +45,10 @@ def run_stages(
         return out[name]
 
     def embeddings() -> DataFrame:
-        rows = prepare_texts(incidents) if summaries is None else preparation.reuse_summaries(incidents, summaries)
-        return providers.embed(rows, dims=dims)
+        rows = prepare_texts(incidents)
+        if summaries is not None:
+            rows = preparation.keep_summaries(rows, summaries)
+        return providers.embed(rows, "combined_text", dims=dims)  # whole texts, as in the preprocessing job
 
     embedded = stage(1, "stage_embeddings", embeddings)
     if end >= 2:
