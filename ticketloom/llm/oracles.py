@@ -16,7 +16,87 @@ _TERMS = (
     r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 )
 
+
+def _checksum(key: str) -> str:
+    """CRC-32 of an ASCII string, byte by byte over the table of remainders."""
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    codes = f"list_transform(string_split({key}, ''), lambda c: ascii(c)::BIGINT)"
+    step = f"lambda s, b: xor(s >> 8, {table}[1 + (xor(s, b) & 255)]::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), {step}), 4294967295::BIGINT)"
+
+
+def _row_edits(state: int) -> str:
+    """Cheapest way on from a state over one row, without inserts; ``e0`` to ``e3`` hold cost, audit and lines after it."""
+    after = 3 if state == 2 else 2
+    name = "assistant" if state == 2 else "user"
+    kept = f"initial = '{name[0]}'"
+    ways = [
+        f"{{'c': e{state}.c + 4, 'a': 'D' || e{state}.a, 'r': e{state}.r}}",
+        f"CASE WHEN fault NOT IN (1, 2) THEN {{'c': e{after}.c + 3 + late, 'a': 'R' || e{after}.a, 'r': '{name}:' || text || chr(2) || e{after}.r}} END",
+        f"CASE WHEN fault NOT IN (1, 2) AND {kept} THEN {{'c': e{after}.c + late, 'a': 'K' || e{after}.a, 'r': line || e{after}.r}} END",
+    ]
+    if state == 0:
+        ways.append("CASE WHEN fault NOT IN (1, 2) AND initial = 's' THEN {'c': e1.c + late, 'a': 'K' || e1.a, 'r': line || e1.r} END")
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))[1] AS b{state}"
+
+
+def _row_inserts(state: int, old: str, rest: str, new: str) -> str:
+    after, name = (3, "assistant") if state == 2 else (2, "user")
+    put = f"{{'c': {rest}{after}.c + 3, 'a': 'I' || {rest}{after}.a, 'r': '{name}:' || chr(2) || {rest}{after}.r}}"
+    return f"list_sort([{old}{state}, {put}])[1] AS {new}{state}"
+
+
+_STATES = range(4)
+
 ORACLES: dict[str, str] = {
+    "op13_repair_conversations": rf"""
+WITH RECURSIVE fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_checksum("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fate FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0
+), placed AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial, role || ':' || text || chr(2) AS line,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+         regexp_extract(text, '([^ 	-
+])[ 	-
+]*\z', 1) AS final
+  FROM damaged
+), told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM placed
+), judged AS (
+  SELECT *, CASE WHEN final = '' THEN 1 WHEN again THEN 2 WHEN final NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM told
+), tally AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+         count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM judged GROUP BY conv_id
+), back AS (
+  SELECT conv_id, n AS i, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS e0,
+         {{'c': 6::BIGINT, 'a': 'II', 'r': 'user:' || chr(2) || 'assistant:' || chr(2)}} AS e1,
+         {{'c': 3::BIGINT, 'a': 'I', 'r': 'assistant:' || chr(2)}} AS e2, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS e3 FROM tally
+  UNION ALL
+  SELECT conv_id, i - 1, {', '.join(_row_inserts(s, 'b', 'h', 'f') for s in _STATES)} FROM (
+    SELECT *, {', '.join(_row_inserts(s, 'b', 'b', 'h') for s in _STATES)} FROM (
+      SELECT *, {', '.join(_row_edits(s) for s in _STATES)} FROM (
+        SELECT back.*, role, text, initial, line, fault, CASE WHEN fault = 3 THEN 3 ELSE 0 END AS late
+        FROM back JOIN judged ON judged.conv_id IS NOT DISTINCT FROM back.conv_id AND judged.i = back.i)))
+)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(e0.c, 0) AS cost, coalesce(e0.a, '') AS audit,
+       sha256(coalesce(replace(rtrim(e0.r, chr(2)), chr(2), chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN tally ON tally.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN back ON back.conv_id IS NOT DISTINCT FROM a.conv_id AND back.i = 0
+""",
     "op3_quality_rules": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents

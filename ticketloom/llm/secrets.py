@@ -26,6 +26,9 @@ LEAST_CHARS = 20
 CANDIDATE = r"[A-Za-z0-9+/_=.-]{%d,}"
 IDENTIFIER = r"[A-Za-z0-9_.-]{6,}"
 SPAN = "array<struct<start: int, rank: int, kind: string, end: int>>"
+MATCH = "array<struct<start: int, end: int, token: string>>"
+#: Matches whose places are added up together.
+RUN = 256
 #: Bounds of the training sample: documents read, and random strings made.
 LEARN_TEXTS = 10_000
 RANDOM_STRINGS = 4_000
@@ -40,31 +43,53 @@ class Model:
     ratios: tuple[float, ...]
 
 
-def _none() -> Column:
-    return F.array().cast(SPAN)
+def _none(kind: str = SPAN) -> Column:
+    return F.array().cast(kind)
 
 
-def _joined_spans(pieces: Column, matches: Column, kind: str, keep) -> Column:
-    """Spans of all matches, from the text between them; positions are code points."""
-    start = F.struct(F.lit(0).alias("at"), _none().alias("found"))
+def _found(pieces: Column, matches: Column) -> Column:
+    """Start, end and string of all matches, from the text between them; positions are code points.
 
-    def add(state: Column, part: Column) -> Column:
-        begin = state["at"] + F.length(part["piece"])
-        end = begin + F.length(part["match"])
-        span = F.struct(begin.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"))
-        found = F.when(keep(part["match"]), F.array_append(state["found"], span)).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
+    The running position goes through runs of ``RUN`` matches, so that the work is linear in their number.
+    """
+    sizes = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("token")))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.ceil(F.size(matches) / RUN).cast("int") - 1), lambda k: F.slice(sizes, k * RUN + 1, F.lit(RUN))
+    )
 
-    parts = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    return F.aggregate(parts, start, add, lambda s: s["found"])
+    def one(state: Column, part: Column) -> Column:
+        begin = state["at"] + part["gap"]
+        end = begin + F.length(part["token"])
+        span = F.struct(begin.alias("start"), end.alias("end"), part["token"].alias("token"))
+        return F.struct(end.alias("at"), F.array_append(state["found"], span).alias("found"))
 
+    def run(state: Column, parts: Column) -> Column:
+        done = F.aggregate(parts, F.struct(state["at"].alias("at"), _none(MATCH).alias("found")), one)
+        return F.struct(done["at"].alias("at"), F.array_append(state["found"], done["found"]).alias("found"))
 
-def with_spans(df: DataFrame, text: str, out: str, pattern: str, kind: str, worth: Column, keep=lambda m: F.lit(True)) -> DataFrame:
-    """Add the spans of the leftmost non-overlapping matches that pass ``keep``; only texts that pass ``worth`` are searched."""
+    start = F.struct(F.lit(0).alias("at"), _none(f"array<{MATCH}>").alias("found"))
+    return F.aggregate(runs, start, run, lambda s: F.flatten(s["found"]))
+
+
+def with_matches(df: DataFrame, text: str, out: str, pattern: str, worth: Column) -> DataFrame:
+    """Add the leftmost non-overlapping matches with their places; only texts that pass ``worth`` are searched."""
     matches = F.when(worth, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
     df = df.withColumn("__matches", matches)
-    found = _joined_spans(F.split(F.col(text), pattern, -1), F.col("__matches"), kind, keep)
-    return df.withColumn(out, F.when(F.size("__matches") > 0, found).otherwise(_none())).drop("__matches")
+    found = _found(F.split(F.col(text), pattern, -1), F.col("__matches"))
+    return df.withColumn(out, F.when(F.size("__matches") > 0, found).otherwise(_none(MATCH))).drop("__matches")
+
+
+def spans(matches: str, kind: str, keep) -> Column:
+    """Spans of the matches that pass ``keep``, a test of the matched string."""
+    rank = F.lit(KINDS.index(kind))
+    return F.transform(F.filter(matches, lambda m: keep(m["token"])), lambda m: F.struct(
+        m["start"].alias("start"), rank.alias("rank"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+
+
+def with_spans(df: DataFrame, text: str, out: str, pattern: str, kind: str, worth: Column, keep=lambda m: F.lit(True)) -> DataFrame:
+    """Add the spans of the matches that pass ``keep``."""
+    df = with_matches(df, text, "__found", pattern, worth)
+    return df.withColumn(out, spans("__found", kind, keep)).drop("__found")
 
 
 def base_spans(df: DataFrame, text: str) -> DataFrame:
@@ -145,18 +170,15 @@ def scan(
     """
     rows = df.drop(*KINDS).withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     pattern = CANDIDATE % least_chars
-    rows = with_spans(base_spans(rows, "__text"), "__text", "__long", pattern, "markov", F.col("__text").rlike(pattern))
+    rows = with_matches(base_spans(rows, "__text"), "__text", "__long", pattern, F.col("__text").rlike(pattern))
     base = F.concat("assign", "access", "hex")
 
     def free(span: Column) -> Column:
         return ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
 
-    def token(span: Column) -> Column:
-        return F.substring("__text", span["start"] + 1, span["end"] - span["start"])
-
-    markov = F.filter("__long", lambda s: free(s) & (ratio(token(s), model) > threshold))
-    found = F.when(F.size("__long") > 0, markov).otherwise(_none())
-    return rows.withColumn("markov", found).drop("__text", "__long")
+    random = F.filter("__long", lambda m: ratio(m["token"], model) > threshold)
+    rows = rows.withColumn("__long", F.when(F.size("__long") > 0, F.filter(random, free)).otherwise(_none(MATCH)))
+    return rows.withColumn("markov", spans("__long", "markov", lambda m: F.lit(True))).drop("__text", "__long")
 
 
 def listed(*spans: str) -> Column:
