@@ -53,7 +53,11 @@ def folder(spark, odd, tmp_path_factory):
     return out
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: Queries without a row per document or page have tests of their own.
+OTHER = {"op11_lexical_search", "op13_repair_conversations"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - OTHER))
 def test_queries_on_odd_and_empty_tables(spark, folder, name):
     empty = QUERIES[name](spark, folder["empty"])
     assert empty.count() == 0
@@ -392,3 +396,39 @@ def test_mixing_of_more_than_a_thousand_sources(spark):
     assert all(abs(r.weight - (4800**0.7 if r.source == "s1200" else 1) / total) < 1e-12 for r in got)
     share = 4800**0.7 / total
     assert all(r.block / share - 1 < r.place < (r.block + 1) / share for r in got if r.source == "s1200")
+
+
+def test_rare_languages_are_learned(spark):
+    """Six texts of one language among thousands of another, in another script and in the same one."""
+    many = spark.range(6000).select(F.concat(F.lit(EN + " "), F.col("id").cast("string"), F.lit(" "), F.md5(F.col("id").cast("string"))).alias("text"),
+                                    F.lit("en").alias("lang"))
+    rare = [(f"эта кошка и собака этого дома были здесь {k}", "ru") for k in range(6)] + [(f"{DE} nummer {k}", "de") for k in range(6)]
+    labelled = many.unionByName(spark.createDataFrame(rare, "text string, lang string"))
+    model = language.fit(labelled, learn_texts=600, model_words=300, model_grams=300)
+    assert model.languages == ["de", "en", "ru"]
+    asked = spark.createDataFrame([(1, "собака и кошка здесь"), (2, "die frau und der hund aus dem haus"), (3, "the dog and the man had it")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in language.predict(asked, model).collect()}
+    assert got == {1: "ru", 2: "de", 3: "en"}
+
+
+def test_the_language_stage_keeps_labelled_documents(spark, tmp_path):
+    rows = [(k, f"{EN} {k}", "en", "a", 1) for k in range(300)] + [(1000 + k, f"эта кошка и собака {k}", "ru", "b", 1) for k in range(3)]
+    rows += [(2000, "12 34", "en", "a", 1), (2001, None, "en", "a", 1), (2002, "", "ru", None, 1)]
+    docs = spark.createDataFrame(rows, KINDS).withColumn("score", F.lit("mine")).withColumn("lang_pred", F.lit("own"))
+    kept = stages.identify_language(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and kept.where("score = 'mine' and lang_pred = 'own'").count() == 303
+    assert kept.where("doc_id >= 2000").count() == 0
+    assert stages.identify_language(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    """Spans of a text with thousands of tokens and digests, against plain regular expressions."""
+    parts = [hashlib.sha256(str(k).encode()).hexdigest()[: 40 if k % 3 else 30] + (f" é{k} word" if k % 2 else " ") for k in range(1500)]
+    text = " ".join(p.upper() if k % 3 == 0 else p for k, p in enumerate(parts))
+    df = spark.createDataFrame([(1, text), (2, EN)], "doc_id long, text string")
+    model = secrets.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    got = {r.doc_id: r for r in secrets.scan(df, model).collect()}
+    assert [(s.start, s.end) for s in got[1].hex] == [m.span() for m in re.finditer("[0-9a-f]{24,}", text)]
+    tokens = [m.span() for m in re.finditer(secrets.CANDIDATE % secrets.LEAST_CHARS, text)]
+    assert set((s.start, s.end) for s in got[1].markov) <= set(tokens) and len(got[1].markov) > 300
+    assert not got[2].hex and not got[2].markov

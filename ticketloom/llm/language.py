@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.blocks import Words, blocks, code_points, keep_columns, mix, utf8
+from ticketloom.runtime import cut
 
 UNDETERMINED = "und"
 #: Bounds of the model: texts to learn from, words, and n-grams of each length. They bound what is learned, not what is
@@ -115,12 +116,19 @@ class Model:
         return names.tolist(), share
 
 
-def bounded_sample(df: DataFrame, key: Sequence[str], rows: int) -> DataFrame:
-    """About ``rows`` rows, chosen by a hash of ``key`` (all if there are no more)."""
-    total = df.count()
-    if total <= rows:
-        return df
-    return df.where(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < int(rows / total * (1 << 30)))
+def learned_texts(rows: DataFrame, texts: int) -> DataFrame:
+    """Distinct texts ``t, l``: about ``texts`` in all, the same number at most for each language, chosen by a hash.
+
+    A language with fewer texts than its share is learned whole, however large the others are, and copies count once.
+    """
+    found = F.approx_count_distinct(F.xxhash64("t"), 0.02)
+    sizes = {r.l: r.n for r in rows.groupBy("l").agg(found.alias("n")).collect()}  # a row per language
+    if not sizes:
+        return rows
+    share = max(1, texts // len(sizes))
+    # a tenth more, so that the error of the estimate leaves no text out of a language that fits
+    bound = F.element_at(F.create_map(*[F.lit(x) for l, n in sizes.items() for x in (l, min(1 << 30, int(1.1 * share / max(1, n) * (1 << 30))))]), F.col("l"))
+    return rows.where(F.pmod(F.xxhash64("t", "l"), F.lit(1 << 30)) < bound).distinct()
 
 
 def fit(
@@ -131,13 +139,14 @@ def fit(
     model_words: int = MODEL_WORDS,
     model_grams: int = MODEL_GRAMS,
 ) -> Model:
-    """Learn from at most about ``learn_texts`` rows with text and language, chosen by a hash of both.
+    """Learn from at most about ``learn_texts`` distinct texts, each language from an equal share of them at most.
 
-    Counts are combined in Spark; only the most frequent words and n-grams (of the bounds) reach the driver. Rows with a
-    null text or language are not learned from. Without any row the model knows no language.
+    Counts are combined in Spark; only the most frequent words and n-grams of each language reach the driver, an equal
+    share of the bounds for each. Rows with a null text or language are not learned from. Without any row the model
+    knows no language.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"))
-    rows = bounded_sample(rows, ["t", "l"], learn_texts)
+    rows = learned_texts(rows, learn_texts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "t", 2 << 20):
@@ -157,24 +166,28 @@ def fit(
                     )
 
     counts = rows.mapInArrow(count, "lang string, size int, hash long, n long").groupBy("size", "hash", "lang").agg(F.sum("n").alias("n"))
-    entries = counts.groupBy("size", "hash").agg(
-        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-    ).persist()
-    try:
-        totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
-        sizes = entries.groupBy("size", "total").agg(F.count("*").alias("k")).orderBy("size", F.desc("total")).collect()
-        least: dict[int, int] = {}
-        taken: dict[int, int] = {}
-        for r in sizes:
-            taken[r["size"]] = taken.get(r["size"], 0) + r["k"]
-            if taken[r["size"]] <= (model_words if r["size"] == 0 else model_grams):
-                least[r["size"]] = r["total"]
-        wanted = F.lit(False)
-        for size, n in least.items():
-            wanted = wanted | ((F.col("size") == size) & (F.col("total") >= n))
-        kept = entries.where(wanted).select("size", "hash", "by").collect() if least else []
-    finally:
-        entries.unpersist()
+    counts = cut(counts)
+    totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
+    names = len({r["lang"] for r in totals})
+    sizes = counts.groupBy("lang", "size", "n").agg(F.count("*").alias("k")).orderBy("lang", "size", F.desc("n")).collect()
+    # of the entries at the level where a share ends, a part is taken by hash
+    taken: dict[tuple[str, int], int] = {}
+    level: dict[tuple[str, int], tuple[int, int]] = {}
+    for r in sizes:
+        part, share = (r["lang"], r["size"]), max(1, (model_words if r["size"] == 0 else model_grams) // names)
+        left = share - taken.get(part, 0)
+        taken[part] = taken.get(part, 0) + r["k"]
+        if left > 0:
+            level[part] = (r["n"], 1 << 20 if r["k"] <= left else (left << 20) // r["k"])
+    kept = []
+    if level:
+        at = F.element_at(F.create_map(*[x for (l, size), (n, part) in level.items() for x in (
+            F.lit(f"{size} {l}"), F.struct(F.lit(n).alias("n"), F.lit(part).alias("part")))]), F.concat_ws(" ", F.col("size").cast("string"), "lang"))
+        often = counts.where((F.col("n") > at["n"]) | ((F.col("n") == at["n"]) & (F.pmod("hash", F.lit(1 << 20)) < at["part"])))
+        often = often.select("size", "hash").distinct()
+        chosen = counts.join(often, ["size", "hash"], "left_semi")  # a row per language of at most as many entries as the model has
+        by = F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
+        kept = chosen.groupBy("size", "hash").agg(by).collect()
     languages = sorted({r["lang"] for r in totals})
     place = {x: k for k, x in enumerate(languages)}
     seen = {(r["lang"], r["size"]): r["n"] for r in totals}
@@ -188,7 +201,8 @@ def fit(
                 table[k, place[lang_]] = n
         total = np.array([seen.get((x, size), 0) for x in languages], float)
         order = np.argsort(keys)
-        tables[size] = (keys[order], np.log(table[order] + SMOOTHING) - np.log(total + SMOOTHING * (len(mine) + 1)))
+        # what a language lacks costs the same in all of them, whatever the size of their samples
+        tables[size] = (keys[order], np.log(table[order] / np.maximum(total, 1) + SMOOTHING / max(1.0, total.max(initial=0))))
     return Model(languages, tables)
 
 
