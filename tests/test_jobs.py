@@ -102,6 +102,7 @@ def test_prediction_run_uses_watermarks(trained):
 
 def test_prediction_run_finds_rows_that_were_stored_late(spark, services, trained):
     """An incident from before the last run that was stored after it, and one of a center that never had a run."""
+    predict.run_predictions(trained, NOW, min_samples=3)
     later = F.lit(NOW + timedelta(hours=1)).cast("timestamp")
     late = to_table(preprocess(make_incidents(spark, 4, 2000), later, services, dims=64))
     late = late.withColumn("sys_created_on", F.lit(NOW - timedelta(hours=9)).cast("timestamp"))
