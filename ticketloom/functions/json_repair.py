@@ -61,26 +61,31 @@ def _close(text: Column) -> Column:
     return F.concat(text, F.when(open_string, '"').otherwise(""), F.translate(F.reverse(left_open), "{[", "}]"))
 
 
-def _retokened(text: Column, pairs: tuple[str, ...]) -> Column:
-    """Put the text together again from its tokens: missing commas added, trailing ones left out, bare keys quoted.
-
-    Strings are tokens as a whole, so nothing inside them is touched; blanks between tokens go.
-    """
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+def _tokens(text: Column) -> Column:
+    """Tokens with their kinds: strings are tokens as a whole (s), brackets and separators are their own kind, else w."""
 
     def kind(token: Column) -> Column:
         whole = F.startswith(token, F.lit('"')) & F.endswith(token, F.lit('"')) & (F.length(token) > 1)
-        return F.when(whole, "s").when(token.isin(*"{}[],:"), token).otherwise("w")
+        return F.struct(token.alias("t"), F.when(whole, "s").when(token.isin(*"{}[],:"), token).otherwise("w").alias("k"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), kind)
+
+
+def _retokened(tokens: Column, pairs: tuple[str, ...]) -> Column:
+    """Put a text together again from its tokens: missing commas added, trailing ones left out, bare keys quoted.
+
+    Nothing inside a string is touched; blanks between tokens go.
+    """
 
     def rebuilt(e: Column) -> Column:
-        before, token, after = e["before"], e["token"], e["after"]
-        bare_key = (kind(token) == "w") & (after == ":") & token.rlike("^[a-zA-Z0-9_]+$")
-        comma = F.concat(kind(before), kind(token)).isin(*pairs)
-        trailing = (token == ",") & after.isin("}", "]")
+        before, token, kind, after = e["before"]["k"], e["token"]["t"], e["token"]["k"], e["after"]["k"]
+        bare_key = (kind == "w") & (after == ":") & token.rlike("^[a-zA-Z0-9_]+$")
+        comma = F.concat(before, kind).isin(*pairs)
+        trailing = (kind == ",") & after.isin("}", "]")
         body = F.when(bare_key, _quoted(token)).when(trailing, F.lit("")).otherwise(token)
-        return F.concat(F.when(comma, F.lit(",")).otherwise(F.lit("")), body)
+        return F.when(comma, F.concat(F.lit(","), body)).otherwise(body)
 
-    edge = F.array(F.lit(","))  # stands before the first and behind the last token
+    edge = F.array(F.struct(F.lit(",").alias("t"), F.lit(",").alias("k")))  # before the first and behind the last token
     before = F.slice(F.concat(edge, tokens), 1, F.size(tokens))
     after = F.slice(F.concat(tokens, edge), 2, F.size(tokens))
     rows = F.arrays_zip(before.alias("before"), tokens.alias("token"), after.alias("after"))
@@ -151,8 +156,8 @@ def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
         ("none", raw),
         ("closed", _close(F.col("_s0"))),
         ("printable", F.regexp_replace("_s1", r"[^\P{C}\n\r\t]", "")),
-        ("structure", _retokened(F.col("_s2"), STRUCTURAL_PAIRS)),
-        ("commas", _retokened(F.col("_s2"), COMMA_PAIRS)),
+        ("structure", _retokened(F.col("_tokens"), STRUCTURAL_PAIRS)),
+        ("commas", _retokened(F.col("_tokens"), COMMA_PAIRS)),
         ("outer_object", F.regexp_extract("_s3", r"(?s)(\{.*\})", 1)),
         ("topics", topics),
         ("objects", merged),
@@ -162,6 +167,8 @@ def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
     staged = df.withColumn("repair_stage", F.lit(None).cast("string")).withColumn(out, F.lit(None).cast("string"))
     for i, (name, rewritten) in enumerate(stages):
         now = F.col("repair_stage").isNull() & F.coalesce(is_json(F.col(f"_s{i}")), F.lit(False))
+        if name == "structure":  # read by two stages
+            staged = staged.withColumn("_tokens", F.when(F.col("repair_stage").isNull(), _tokens(F.col("_s2"))))
         staged = (
             staged.withColumn(f"_s{i}", F.when(F.col("repair_stage").isNull(), rewritten))
             .withColumn("_now", now)
@@ -171,7 +178,7 @@ def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
     return (
         staged.withColumn("repair_stage", F.coalesce("repair_stage", F.lit("lost")))
         .withColumn(out, F.coalesce(out, F.lit("{}")))
-        .drop("_now", *[f"_s{i}" for i in range(len(stages))])
+        .drop("_now", "_tokens", *[f"_s{i}" for i in range(len(stages))])
     )
 
 
