@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from ticketloom.operators import governance
 from ticketloom.plans import predict, stages, train
 from ticketloom.plans.preprocess import preprocess, to_table
 from ticketloom.sources import sinks
@@ -134,6 +135,8 @@ def test_incremental_runs_and_watermarks(spark, services, tmp_path):
     incremental.run_incremental(store, rows, services, datetime(2024, 6, 9), "2024-06-08", "2024-06-08", dims=32)
     marks = store.read("preprocessing_watermarks")
     assert marks.count() == 4
+    metrics = governance.run_metrics(store.read("run_log")).first()
+    assert (metrics.stage, metrics.runs, metrics.rows) == ("preprocessing", 4, 25) and metrics.seconds > 0
     assert marks.orderBy(F.desc("time_trigger")).first().preprocessed_rows == 0
     incremental.run_incremental(store, rows, services, datetime(2024, 6, 10), "2024-06-08", "2024-06-08", overwrite_watermark=True, dims=32)
     assert store.read("preprocessing_watermarks").count() == 1
@@ -172,6 +175,10 @@ def test_stream_equals_batch(spark, services, tmp_path):
     cols = ["number", "combined_incidents_summary", "tech_center"]
     assert got.count() == 40
     assert got.select(*cols).exceptAll(want.select(*cols)).isEmpty()
+    records = spark.read.parquet(store.path("preprocessed_stream_runs")).orderBy("batch_id").collect()
+    assert [r.preprocessed_rows for r in records if r.start_time] == [20, 20] and all(r.seconds > 0 for r in records)
+    assert sum(r.preprocessed_rows for r in records) == 40  # a stream may end in batches without rows
+    assert spark.read.schema("number string, batch_id long").parquet(store.path("preprocessed_stream_failures")).count() == 0
 
 
 def test_hourly_count_stream(spark, tmp_path):
@@ -213,3 +220,11 @@ def test_stages_embed_what_preprocessing_embeds(spark, tmp_path):
     kept = {r.number: r.combined_incidents_summary for r in want.collect()}
     changed = [n for n in kept if made[n] != kept[n]]
     assert [made[n] for n in changed] == ["given before"]
+
+
+def test_centers_with_their_own_minimum(spark):
+    seen = spark.createDataFrame([("a", 10), ("b", 10), ("c", 3)], "tech_center string, incidents_count long")
+    own = spark.createDataFrame([("a", 500), ("c", 1), ("d", 2)], "tech_center string, min_incidents int")
+    got = {r.tech_center: r.enough for r in train.with_minimum(seen, 5, own).collect()}
+    assert got == {"a": False, "b": True, "c": False}
+    assert {r.enough for r in train.with_minimum(seen, 3).collect()} == {True}

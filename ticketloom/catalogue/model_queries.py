@@ -663,6 +663,25 @@ def _(v):
     return _rounded(engine_status(v.cycles, v.predictions.where("tech_center <> 'BT-TC-0'")), "silhouette_score")
 
 
+@query(
+    "pipeline_status",
+    """WITH m AS (SELECT count(*) AS current_models, max(training_completed_date) AS last_training FROM (
+           SELECT tech_center, training_completed_date FROM cycles WHERE training_status = 'SUCCESS'
+           QUALIFY row_number() OVER (PARTITION BY tech_center ORDER BY training_completed_date DESC, model_hash DESC) = 1)),
+         p AS (SELECT count(*) AS predictions, max(prediction_timestamp) AS last_prediction FROM predictions),
+         t AS (SELECT count(DISTINCT TechCenter) AS tech_centers_count FROM team_services)
+       SELECT 6::BIGINT AS training_frequency_months, 24::BIGINT AS training_window_months, 120::BIGINT AS prediction_frequency_minutes,
+         tech_centers_count, current_models, last_training, (last_training + INTERVAL 6 MONTH)::DATE::TIMESTAMP AS next_training, predictions,
+         last_prediction FROM m, p, t""",
+)
+def _(v):
+    from ticketloom.plans.analyse import pipeline_status
+
+    centers = v.team_services.withColumnRenamed("TechCenter", "tech_center")
+    out = pipeline_status(v.cycles, v.predictions, centers, "2025-01-01").drop("last_updated")
+    return _long(out, "training_frequency_months", "training_window_months", "prediction_frequency_minutes")
+
+
 @query(
     "result_projection",
     """SELECT i.number, i.sys_created_on, t.TeamDepartment AS team_department, i.short_description, i.business_service, i.description

@@ -117,13 +117,14 @@ def _score_and_store(store: Store, rows: DataFrame, now: datetime, json_path: st
                      **options) -> DataFrame:
     from ticketloom.runtime import cut
 
-    rows = cut(rows)
-    predictions = cut(score(store, rows, F.lit(now).cast("timestamp"), **options))
-    sinks.save_predictions(predictions, store)
-    if json_path:
-        sinks.write_json(sinks.without_vectors(predictions), json_path, "tech_center")
-    if not move_marks:
-        return predictions
-    marks = governance.prediction_watermarks(rows, now)
-    sinks.write_table(schemas.conform(marks, schemas.PREDICTION_WATERMARKS), store, "prediction_watermarks")
+    with sinks.run_logged(store, "prediction", now) as log:
+        rows = cut(rows)
+        predictions = cut(score(store, rows, F.lit(now).cast("timestamp"), **options))
+        log["rows"] = predictions.count()
+        sinks.save_predictions(predictions, store)
+        if json_path:
+            sinks.write_json(sinks.without_vectors(predictions), json_path, "tech_center")
+        if move_marks:
+            marks = governance.prediction_watermarks(rows, now)
+            sinks.write_table(schemas.conform(marks, schemas.PREDICTION_WATERMARKS), store, "prediction_watermarks")
     return predictions

@@ -83,14 +83,30 @@ def _hash(options: TrainingOptions, day: str) -> Column:
     )
 
 
+def with_minimum(seen: DataFrame, least: int, centers: DataFrame | None = None) -> DataFrame:
+    """Add ``enough``: has a center the rows it needs? ``centers`` may ask for more by ``tech_center, min_incidents``."""
+    if centers is None:
+        return seen.withColumn("enough", F.col("incidents_count") >= least)
+    own = centers.groupBy("tech_center").agg(F.max("min_incidents").alias("_own"))
+    return seen.join(own, "tech_center", "left").withColumn(
+        "enough", F.col("incidents_count") >= F.greatest(F.lit(least), F.coalesce("_own", F.lit(0)))
+    ).drop("_own")
+
+
 def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = dates.TRAINING_WINDOW_MONTHS,
-          options: TrainingOptions | None = None) -> DataFrame:
+          options: TrainingOptions | None = None, centers: DataFrame | None = None) -> DataFrame:
     """Train every center on its window and store results, model tables, artefact, registry and cycle rows.
 
-    A center that fails the quality gate, or has fewer rows than a cluster needs, is stored with status FAILED and the
+    ``centers`` may name a least number of incidents for each center (``tech_center, min_incidents``). A center that fails the quality gate, or has fewer rows than a cluster needs, is stored with status FAILED and the
     reasons; scoring takes successful cycles only. A rerun replaces its own partitions. Returns the cycle rows.
     """
-    options = options or TrainingOptions()
+    with sinks.run_logged(store, "training", now) as log:
+        cycles = _train(store, preprocessed, now, months, options or TrainingOptions(), centers)
+        log["rows"] = cycles.agg(F.sum("incidents_count")).first()[0] or 0
+    return cycles
+
+
+def _train(store: Store, preprocessed: DataFrame, now: datetime, months: int, options: TrainingOptions, centers: DataFrame | None):
     end = F.lit(now).cast("timestamp")
     version = f"{now.year}_q{(now.month - 1) // 3 + 1}"
     window = scans.window_scan(
@@ -101,7 +117,9 @@ def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = da
     # a center needs at least one cluster's worth of rows
     seen = window.groupBy("tech_center").agg(F.count("*").alias("incidents_count"))
     seen = cut(seen.withColumn("model_version", F.lit(version)).withColumn("model_hash", _hash(options, now.date().isoformat())))
-    counts = seen.where(F.col("incidents_count") >= options.min_cluster_size)
+    seen = cut(with_minimum(seen, options.min_cluster_size, centers))
+    counts, small = seen.where("enough").drop("enough"), seen.where("not enough").drop("enough")
+    seen = seen.drop("enough")
     usable = window.join(counts.select("tech_center"), "tech_center", "left_semi")
     clustered, axes = cluster_points(usable, options)
     points = cut(clustered.join(counts, "tech_center"))
@@ -121,7 +139,6 @@ def train(store: Store, preprocessed: DataFrame, now: datetime, months: int = da
         F.col("description").alias("cluster_description"), "domain",
     )
     sinks.save_clusters(model_clusters, store, version, end)
-    small = seen.where(F.col("incidents_count") < options.min_cluster_size)
     cycles = cut(_cycle_rows(_with_small(judged, small), results["domain_info"], seen, now, end))
     sinks.write_table(cycles, store, "training_cycle_metadata", "WRITE_TRUNCATE")
     sinks.write_table(_registry_rows(cycles, judged, now, months, end, options), store, "model_registry", "WRITE_TRUNCATE")

@@ -109,6 +109,7 @@ WATERMARKS = _schema(
     "pipeline_name STRING!, tech_center STRING!, last_processed_timestamp TIMESTAMP, last_processed_id STRING,"
     "updated_at TIMESTAMP!"
 )
+RUN_LOG = _schema("run_id STRING!, stage STRING!, time_trigger TIMESTAMP!, preprocessed_rows INTEGER!, seconds FLOAT!")
 RUN_WATERMARKS = _schema("preprocessed_rows INTEGER!, time_trigger TIMESTAMP!, run_details JSON")
 PREDICTION_WATERMARKS = _schema(
     "tech_center STRING!, prediction_timestamp TIMESTAMP!, last_processed_incident_time TIMESTAMP,"
@@ -136,6 +137,7 @@ ALL = {
     "training_logs": TRAINING_LOGS,
     "watermarks": WATERMARKS,
     "preprocessing_watermarks": RUN_WATERMARKS,
+    "run_log": RUN_LOG,
     "prediction_watermarks": PREDICTION_WATERMARKS,
     "processing_failures": PROCESSING_FAILURES,
     "artefacts": ARTEFACTS,

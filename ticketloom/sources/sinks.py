@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from contextlib import contextmanager
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
@@ -138,3 +143,16 @@ def sorted_by_day(df: DataFrame, path: str, time: str, cluster_by: list[str]) ->
         .partitionBy("dt")
         .parquet(path)
     )
+
+
+@contextmanager
+def run_logged(store: Store, stage: str, now: datetime):
+    """Append what a job did to ``run_log``: stage, rows (set them in the yielded dictionary) and seconds.
+
+    A job that fails leaves no row. The rows feed :func:`ticketloom.operators.governance.run_metrics`.
+    """
+    done = {"rows": 0}
+    began = time.monotonic()
+    yield done
+    row = (f"{stage}-{uuid.uuid4().hex}", stage, now, done["rows"], time.monotonic() - began)
+    write_table(store.spark.createDataFrame([row], schemas.RUN_LOG), store, "run_log")
