@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.blocks import Words, blocks, code_points, keep_columns, mix, utf8
-from ticketloom.runtime import cut
 
 UNDETERMINED = "und"
 #: Bounds of the model: texts to learn from, words, and n-grams of each length. They bound what is learned, not what is
@@ -166,7 +165,7 @@ def fit(
                     )
 
     counts = rows.mapInArrow(count, "lang string, size int, hash long, n long").groupBy("size", "hash", "lang").agg(F.sum("n").alias("n"))
-    counts = cut(counts)
+    counts.persist()  # read several times, then given back: the pipeline's next stages need the disk
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
     names = len({r["lang"] for r in totals})
     sizes = counts.groupBy("lang", "size", "n").agg(F.count("*").alias("k")).orderBy("lang", "size", F.desc("n")).collect()
@@ -188,6 +187,7 @@ def fit(
         chosen = counts.join(often, ["size", "hash"], "left_semi")  # a row per language of at most as many entries as the model has
         by = F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
         kept = chosen.groupBy("size", "hash").agg(by).collect()
+    counts.unpersist()
     languages = sorted({r["lang"] for r in totals})
     place = {x: k for k, x in enumerate(languages)}
     seen = {(r["lang"], r["size"]): r["n"] for r in totals}
