@@ -86,3 +86,22 @@ def test_fewer_nodes_than_vectors(spark, n):
     graph = spark.createDataFrame(ring(n) if n > 2 else [(0, 1, 1.0)], "a long, b long, weight double")
     placed, values = spectral.layout(graph, [], components=2)
     assert values.count() == n - 1 and placed.count() == n
+
+
+def test_long_ring_settles(spark):
+    graph = spark.createDataFrame(ring(2000), "a long, b long, weight double")
+    found = spectral.eigenvectors(graph, [], tolerance=1e-7).values.collect()
+    assert len(found) == 2 and all(r.residual <= 1e-7 for r in found)
+    assert all(abs(r.eigenvalue - np.cos(2 * np.pi / 2000)) < 1e-9 for r in found)
+
+
+def test_large_keys_by_joins_beside_small_ones(spark, monkeypatch):
+    data = [("small", i, (i + 1) % 9, 1.0 + i) for i in range(9)] + [("large", i, (i * 7 + 1) % 30, 1.0 + i % 3) for i in range(30)]
+    graph = spark.createDataFrame(data, "k string, a long, b long, weight double")
+    inside = {(r.k, r.component): r.eigenvalue for r in spectral.eigenvectors(graph, ["k"], tolerance=1e-5).values.collect()}
+    monkeypatch.setattr(spectral, "LOCAL_ENTRIES", 20)
+    found = spectral.eigenvectors(graph, ["k"], tolerance=1e-5)
+    joined = {(r.k, r.component): r.eigenvalue for r in found.values.collect()}
+    assert inside.keys() == joined.keys() and len(joined) == 4
+    assert all(abs(inside[x] - joined[x]) < 1e-6 for x in joined)
+    assert found.vectors.count() == 2 * (9 + 30)
