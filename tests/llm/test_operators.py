@@ -432,3 +432,23 @@ def test_many_matches_in_one_text(spark):
     tokens = [m.span() for m in re.finditer(secrets.CANDIDATE % secrets.LEAST_CHARS, text)]
     assert set((s.start, s.end) for s in got[1].markov) <= set(tokens) and len(got[1].markov) > 300
     assert not got[2].hex and not got[2].markov
+
+
+def test_shards_keep_the_order_of_the_mixture(spark, tmp_path):
+    """What the mixing stage wrote decides the slots; a frame without files is taken as it comes."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stages.mix_sources(spark, docs, sf).write.parquet(str(tmp_path / "mixed"))
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    order = [r.doc_id for r in stages.mixing.mixed(docs).orderBy("place", "in_block").select("doc_id").collect()]
+    frame = spark.createDataFrame([(i, str(i)) for i in order], "doc_id long, text string").repartition(3)
+    for rows, want in ((mixed, order), (frame, [r.doc_id for r in frame.collect()])):
+        placed = stages.shard(spark, rows, sf).collect()
+        assert sorted(r.doc_id for r in placed) == sorted(order)
+        for s in {r.shard for r in placed}:
+            mine = [r.doc_id for r in sorted((r for r in placed if r.shard == s), key=lambda r: r.slot)]
+            assert mine == [i for i in want if i in set(mine)]
+    # every bucket of a shard as well
+    many = shards.placed(stages.in_order(mixed, "p"), bucket_bytes=2_000, place="p").collect()
+    at = {i: k for k, i in enumerate(order)}
+    assert all(at[a.doc_id] < at[b.doc_id] for a in many for b in many if a.shard == b.shard and a.slot < b.slot)

@@ -2,7 +2,8 @@
 
 First pass: a seeded hash scatters every record over its shard's buckets, each of which fits in a task's memory. Second
 pass: every bucket is put into a fixed order and shuffled by Fisher and Yates; a record's slot is the place of its
-bucket in the shard plus its place in the bucket. Any task can be repeated with the same outcome.
+bucket in the shard plus its place in the bucket. Any task can be repeated with the same outcome. Rows that come in an
+order of their own (``place``) keep it in every shard: buckets are then ranges of places, and nothing is drawn.
 """
 
 from __future__ import annotations
@@ -41,27 +42,28 @@ def home(key: Column, shards: int, seed: int) -> Column:
 
 
 def placed(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 40, seed: int = 17, bucket_bytes: int = BUCKET_BYTES
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 40, seed: int = 17, bucket_bytes: int = BUCKET_BYTES,
+    place: str | None = None,
 ) -> DataFrame:
     """All columns of ``df`` with ``shard_size, shard, grown_shard, slot``; law ``key``.
 
     ``doc_id`` and the number of shards decide the shard, ``grown_shard`` is the one among one shard more. Rows with a
     null id have no key and go by their text instead, so that they don't pile up. ``shard_size`` is the UTF-8 length of
     the text (null: 0) plus 16. Slots count from 0 without gaps in every shard. Rows with equal id and text are in one
-    bucket (any order among them is the same); columns of ``df`` with one of these names are replaced.
+    bucket (any order among them is the same); columns of ``df`` with one of these names are replaced. ``place`` names a
+    column that numbers the rows from 0; it is not returned.
     """
     made = ("shard_size", "shard", "grown_shard", "slot")
-    carried = [c for c in df.columns if c not in made]
+    carried = [c for c in df.columns if c not in made and c != place]
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + OVERHEAD
-    rows = df.select(*carried, size.alias("shard_size"))
-    total = rows.agg(F.sum("shard_size")).first()[0] or 0
+    rows = df.select(*carried, size.alias("shard_size"), *([F.col(place).alias("__mark")] if place else []))
+    total, count = rows.agg(F.coalesce(F.sum("shard_size"), F.lit(0)), F.count("*")).first()
     buckets = max(1, -(-total // (shards * bucket_bytes)))
     unkeyed = F.xxhash64(F.lit("unkeyed"), F.col(text))
     key = F.coalesce(F.xxhash64(F.col(doc_id)) if dict(df.dtypes)[doc_id] == "string" else F.col(doc_id).cast("long"), unkeyed)
-    mark = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
-    rows = rows.withColumns({
-        "__mark": mark, "__bucket": F.pmod(mark, F.lit(buckets)).cast("int"), "__key": key,
-    }).withColumn("__home", home(F.col("__key"), shards, seed))
+    mark = F.col("__mark") if place else F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
+    bucket = F.floor(mark * buckets / max(1, count)) if place else F.pmod(mark, F.lit(buckets))
+    rows = rows.withColumns({"__mark": mark, "__bucket": bucket.cast("int"), "__key": key}).withColumn("__home", home(F.col("__key"), shards, seed))
     one_more = F.when(scores(F.col("__key"), seed, shards) >= F.col("__home.h"), F.lit(shards)).otherwise(F.col("__home.s"))
     rows = rows.withColumns({"shard": F.col("__home.s"), "grown_shard": one_more}).drop("__key", "__home")
     sizes = rows.groupBy("shard", "__bucket").agg(F.count("*").alias("n"))
@@ -74,7 +76,7 @@ def placed(
         shard, bucket = (k.as_py() for k in key)
         marks = table.column("__mark").to_numpy()
         fixed = np.argsort(marks, kind="stable")
-        mixed = fixed[fisher_yates(len(fixed), (seed * 1_000_003 + shard) * 1_000_003 + bucket)]
+        mixed = fixed if place else fixed[fisher_yates(len(fixed), (seed * 1_000_003 + shard) * 1_000_003 + bucket)]
         out = table.drop(["__mark"]).take(pa.array(mixed))
         return out.append_column("__place", pa.array(np.arange(len(mixed))))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return placed.repartitionByRange("place", "in_block").sortWithinPartitions("place", "in_block").select(docs.columns)
 
 
+def in_order(docs: DataFrame, place: str) -> DataFrame:
+    """Number the rows from 0 as they come: files by name, rows as they lie in them; a frame without files row by row."""
+    own = [F.col(c) for c in docs.columns]
+    try:
+        rows = docs.select(*own, F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        rows = docs.select(*own, F.spark_partition_id().cast("string").alias("__file"), F.monotonically_increasing_id().alias("__row"))
+        rows = rows.withColumns({"__row": F.col("__row").bitwiseAND(F.lit((1 << 33) - 1)), "__file": F.lpad("__file", 10, "0")})
+    before = F.expr("coalesce(sum(n) OVER (ORDER BY __file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)")
+    starts = rows.groupBy("__file").agg(F.count("*").alias("n")).select("__file", before.alias("__start"))  # a row per file
+    return rows.join(starts, "__file").select(*docs.columns, (F.col("__start") + F.col("__row")).alias(place))
+
+
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with shard and slot."""
-    return shards.placed(docs)
+    """All documents with shard and slot; the slots of a shard keep the order that the rows come in, that of the mixture."""
+    return shards.placed(in_order(docs, "__come"), place="__come")
