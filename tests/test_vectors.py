@@ -2,6 +2,7 @@
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
@@ -331,3 +332,45 @@ def test_ward_merges_like_the_definition():
         assert [len(set(ward.cut_labels(n, got, k))) for k in range(1, n + 1)] == list(range(1, n + 1))
     equal = ward.merges(np.zeros((4, 2)))
     assert len(equal) == 3 and {m[0] for m in equal} == {0.0}
+
+
+def test_queries_that_reach_all_cells_move_points_by_groups(spark, monkeypatch):
+    """In many dimensions every cell is within reach: a stage hands on points times groups, not queries times cells."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 40))
+    rows = [(f"k{i % 2}", f"n{i:04d}", v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "k string, id string, v array<double>")
+    most = []
+    whole = neighbours.sweep
+
+    def seen(queries, index, points, reach, visit, schema):
+        out = whole(queries, index, points, reach, visit, schema)
+        dealt = neighbours._dealt(index, queries)[1]
+        pairs = queries.mapInArrow(lambda bs: (pa.record_batch([pa.array(c.astype("int32"))], names=["c"]) for b in bs for _, c in reach(b)), "c int")
+        most.append((dealt, pairs.count()))
+        return out
+
+    monkeypatch.setattr(neighbours, "sweep", seen)
+    monkeypatch.setattr(neighbours, "LEAST_GROUP", 100)
+    got = {}
+    for r in neighbours.neighbours(df, ["k"], "id", "v", 4, cell_rows=30).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbour))
+    for i in range(900):
+        others = sorted((float(np.linalg.norm(x[i] - x[j])), f"n{j:04d}") for j in range(i % 2, 900, 2) if j != i)[:4]
+        assert [n for _, n in sorted(got[f"n{i:04d}"])] == [n for _, n in others]
+    (groups, pairs), = most
+    assert groups <= 2 * neighbours.GROUPS and pairs > 900 * 5
+
+
+def test_groups_hold_equal_distances_and_hot_cells(spark, monkeypatch):
+    """Points of a grid: ties go to the smaller identifier, also between groups and blocks; a cell may be many groups."""
+    monkeypatch.setattr(neighbours, "LEAST_GROUP", 16)
+    monkeypatch.setattr(neighbours, "GROUP_BYTES", 16 * 16)
+    x = [(float(a), float(b)) for a in range(18) for b in range(18)]
+    df = spark.createDataFrame([(i, list(v)) for i, v in enumerate(x)], "id long, v array<double>")
+    got = {}
+    for r in neighbours.neighbours(df, [], "id", "v", 5, cell_rows=60).collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbour))
+    for i, v in enumerate(x):
+        want = sorted((round(float(np.hypot(v[0] - w[0], v[1] - w[1])), 9), j) for j, w in enumerate(x) if j != i)[:5]
+        assert [n for _, n in sorted(got[i])] == [n for _, n in want]

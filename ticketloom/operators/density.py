@@ -55,83 +55,101 @@ def _cores(lists: DataFrame, sizes: DataFrame, min_samples: int) -> DataFrame:
     return joined.select("_k", "_id", "_m", "_list", F.coalesce(core, F.element_at(full, -1)["_d"]).alias("_core"))
 
 
-def _outside(alpha: float, empty: pa.Schema):
-    """Best way out of a query's component within one block of points."""
-
-    def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return empty.empty_table()
-        q, p = matrix(left.column("_v")), matrix(right.column("_v"))
-        ids = pa.concat_arrays([left.column("_id").combine_chunks(), right.column("_id").combine_chunks()])
-        comps = pa.concat_arrays([left.column("_comp").combine_chunks(), right.column("_comp").combine_chunks()])
-        codes = array(comps.dictionary_encode().indices)
-        order = np.empty(len(ids), np.int64)
-        order[array(pc.sort_indices(ids))] = np.arange(len(ids))
-        qc, pc_ = array(left.column("_core")), array(right.column("_core"))
-        bound = array(left.column("_bound"))
-        nq = len(q)
-        rows, cols, weights = [], [], []
-        for i in range(0, nq, 256):
-            j = slice(i, min(i + 256, nq))
-            d2 = squared_distances(q[j], p)
-            d2[codes[j][:, None] == codes[nq:][None, :]] = np.inf
-            rough = np.maximum(np.maximum(qc[j][:, None], pc_[None, :]), np.sqrt(d2) / alpha)
-            rough[~np.isfinite(d2)] = np.inf
-            limit = np.minimum(rough.min(1), bound[j])
-            r, c = np.nonzero((rough <= (limit * (1 + 1e-7) + 1e-7)[:, None]) & np.isfinite(rough))
-            diff = q[j][r] - p[c]
-            w = np.maximum(np.maximum(qc[j][r], pc_[c]), np.sqrt((diff * diff).sum(1)) / alpha)
-            a, b = order[:nq][j][r], order[nq:][c]
-            by = np.lexsort((np.maximum(a, b), np.minimum(a, b), w, r))
-            r, c, w = r[by], c[by], w[by]
-            first = np.unique(r, return_index=True)[1]
-            rows.append(r[first] + i)
-            cols.append(c[first])
-            weights.append(w[first])
-        r, c = pa.array(np.concatenate(rows)), pa.array(np.concatenate(cols))
+class _WayOut:
+    """Best way out of every component that a group of queries belongs to."""
+
+    def __init__(self, queries: pa.Table, pivots, radius, pure, alpha: float, empty: pa.Schema):
+        self.key = queries.column("_k")[0].as_py()
+        self.q, self.ids, self.core = matrix(queries.column("_v")), queries.column("_id").combine_chunks(), array(queries.column("_core"))
+        comps = queries.column("_comp").combine_chunks()
+        self.comps = comps.unique()
+        self.code = array(pc.index_in(comps, value_set=self.comps))
+        self.place = {c: i for i, c in enumerate(self.comps.to_pylist())}
+        self.bound = np.full(len(self.comps), np.inf)
+        np.minimum.at(self.bound, self.code, array(queries.column("_bound")))
+        self.pivots, self.radius, self.pure, self.alpha, self.empty = pivots[self.key], radius[self.key], pure[self.key], alpha, empty
+        self.found: list[pa.Table] = []
+        self.rows, self.cell, self.near = 0, None, None
+
+    def _limit(self, rows: np.ndarray) -> np.ndarray:
+        return self.bound[self.code[rows]] * (1 + 1e-7) + 1e-7
+
+    def meet(self, cell: int, points: pa.RecordBatch) -> None:
+        if cell != self.cell:
+            gap = np.sqrt(squared_distances(self.q, self.pivots[cell : cell + 1]))[:, 0] - self.radius[cell]
+            self.cell, self.near = cell, np.maximum(self.core, np.maximum(gap, 0.0) / self.alpha)
+            self.near[self.code == self.place.get(self.pure[cell], -1)] = np.inf
+        active = np.flatnonzero(np.isfinite(self.near) & (self.near <= self._limit(np.arange(len(self.q)))))
+        p, core = matrix(points.column("_v")), array(points.column("_core"))
+        other = array(pc.index_in(points.column("_comp"), value_set=self.comps).fill_null(-1))
+        for i in range(0, len(active), 512):
+            part = active[i : i + 512]
+            d2 = squared_distances(self.q[part], p)
+            rough = np.maximum(np.maximum(self.core[part][:, None], core[None, :]), np.sqrt(d2) / self.alpha)
+            rough[self.code[part][:, None] == other[None, :]] = np.inf
+            limit = np.minimum(rough.min(1) * (1 + 1e-7) + 1e-7, self._limit(part))
+            r, c = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
+            if not len(r):
+                continue
+            w = np.maximum(np.maximum(self.core[part][r], core[c]), nb._exact(self.q[part], p, r, c) / self.alpha)
+            code = self.code[part][r]
+            np.minimum.at(self.bound, code, w)
+            keep = w <= self.bound[code]  # equal weights stay: identifiers decide between them
+            a, take = self.ids.take(pa.array(part[r[keep]])), pa.array(c[keep])
+            to = points.column("_id").take(take)
+            self.found.append(pa.table({
+                "code": code[keep], "w": w[keep], "lo": pc.min_element_wise(a, to), "hi": pc.max_element_wise(a, to),
+                "a": a, "b": to, "cb": points.column("_comp").take(take),
+            }))
+            self.rows += int(keep.sum())
+        if self.rows > nb.CHUNK_CELLS // 4:
+            self._compact()
+
+    def _compact(self) -> None:
+        if not self.found:
+            return
+        rows = pa.concat_tables(self.found)
+        rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in ("code", "w", "lo", "hi")]))
+        first = np.unique(array(rows.column("code")), return_index=True)[1]
+        self.found, self.rows = [rows.take(pa.array(first)).combine_chunks()], len(first)
+
+    def result(self) -> pa.Table:
+        self._compact()
+        if not self.found:
+            return self.empty.empty_table()
+        rows = self.found[0]
+        own = self.comps.take(rows.column("code").combine_chunks())
         return pa.table(
-            [left.column("_k").combine_chunks().take(r), left.column("_comp").combine_chunks().take(r),
-             left.column("_id").combine_chunks().take(r), right.column("_id").combine_chunks().take(c),
-             right.column("_comp").combine_chunks().take(c), pa.array(np.concatenate(weights))],
-            schema=empty,
+            [pa.array([self.key] * rows.num_rows, pa.string()), own, rows.column("a"), rows.column("b"), rows.column("cb"), rows.column("w")],
+            schema=self.empty,
         )
 
-    return kernel
-
 
 def _cells_outside(pivots, radius, size, pure, top_core, alpha):
     """Cells that may hold a better way out of the query's component than the bound it came with."""
 
-    def run(batches):
-        for batch in batches:
-            keys = np.asarray(batch.column("_k").to_pylist(), dtype=object)
-            comps = np.asarray(batch.column("_comp").to_pylist(), dtype=object)
-            core, bound = array(batch.column("_core")), array(batch.column("_bound")).copy()
-            rows, cells = [], []
-            for key in set(keys):
-                at = np.flatnonzero(keys == key)
-                step = nb.chunk_rows(len(pivots[key]))
-                for i in range(0, len(at), step):
-                    part = at[i : i + step]
-                    x = matrix(batch.column("_v").take(pa.array(part)))
-                    d = np.sqrt(squared_distances(x, pivots[key]))
-                    closed = (comps[part][:, None] == pure[key][None, :]) | (size[key] == 0)[None, :]
-                    near = np.maximum(core[part][:, None], np.maximum(d - radius[key][None, :], 0.0) / alpha)
-                    far = np.maximum(
-                        np.maximum(core[part][:, None], top_core[key][None, :]), (d + radius[key][None, :]) / alpha
-                    )
-                    far[closed] = np.inf
-                    bound[part] = np.minimum(bound[part], far.min(1))
-                    r, c = np.nonzero(~closed & (near <= (bound[part] * (1 + 1e-7) + 1e-7)[:, None]))
-                    rows.append(part[r])
-                    cells.append(c)
-            take = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-            target = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-            out = batch.set_column(batch.schema.get_field_index("_bound"), "_bound", pa.array(bound))
-            out = out.take(pa.array(take, pa.int64()))
-            yield out.set_column(out.schema.get_field_index("_cell"), "_cell", pa.array(target.astype(np.int32)))
-
-    return run
+    def reach(batch):
+        keys = np.asarray(batch.column("_k").to_pylist(), dtype=object)
+        comps = np.asarray(batch.column("_comp").to_pylist(), dtype=object)
+        core, bound = array(batch.column("_core")), array(batch.column("_bound"))
+        for key in set(keys):
+            at = np.flatnonzero(keys == key)
+            step = nb.chunk_rows(len(pivots[key]))
+            for i in range(0, len(at), step):
+                part = at[i : i + step]
+                x = matrix(batch.column("_v").take(pa.array(part)))
+                d = np.sqrt(squared_distances(x, pivots[key]))
+                closed = (comps[part][:, None] == pure[key][None, :]) | (size[key] == 0)[None, :]
+                near = np.maximum(core[part][:, None], np.maximum(d - radius[key][None, :], 0.0) / alpha)
+                far = np.maximum(
+                    np.maximum(core[part][:, None], top_core[key][None, :]), (d + radius[key][None, :]) / alpha
+                )
+                far[closed] = np.inf
+                limit = np.minimum(bound[part], far.min(1)) * (1 + 1e-7) + 1e-7
+                r, c = np.nonzero(~closed & (near <= limit[:, None]))
+                yield part[r], c
+
+    return reach
 
 
 def _search_outside(index: nb.CellIndex, points: DataFrame, queries: DataFrame, alpha: float) -> DataFrame:
@@ -146,8 +164,6 @@ def _search_outside(index: nb.CellIndex, points: DataFrame, queries: DataFrame,
         top[row._k][row._cell] = row.core
         if row.lo == row.hi:
             pure[row._k][row._cell] = row.lo
-    run = _cells_outside(index.pivots, index.radius, index.size, pure, top, alpha)
-    targets = queries.mapInArrow(run, queries.schema)
     ident = index.points.schema["_id"].dataType
     schema = T.StructType(
         [
@@ -159,7 +175,10 @@ def _search_outside(index: nb.CellIndex, points: DataFrame, queries: DataFrame,
             T.StructField("_wt", T.DoubleType()),
         ]
     )
-    return nb.meet(targets, index, points, _outside(alpha, to_arrow_schema(schema)), schema)
+    empty = to_arrow_schema(schema)
+    pivots, radius = index.pivots, index.radius
+    reach = _cells_outside(pivots, radius, index.size, pure, top, alpha)
+    return nb.sweep(queries, index, points, reach, lambda rows: _WayOut(rows, pivots, radius, pure, alpha, empty), schema)
 
 
 def spanning_tree(
@@ -216,7 +235,7 @@ def spanning_tree(
         listed = cut(out.groupBy("_k", "_comp").agg(F.min("_e").alias("_e")))
         placed = located.join(comp, ["_k", "_id"])
         bound = listed.select("_k", "_comp", F.col("_e._wt").alias("_w"))
-        open_points = (
+        open_points = cut(
             placed.join(bound, ["_k", "_comp"], "left")
             .withColumn("_bound", F.coalesce("_w", F.lit(float("inf"))))
             .where(F.col("_beyond") <= F.col("_bound"))

@@ -2,8 +2,10 @@
 
 Points are assigned to cells around pivots, which are themselves points and therefore dense where the data are dense.
 A query first meets its own cell. The distance of its k-th match there bounds the search, and by the triangle
-inequality only cells whose ball reaches into that bound are visited in the second pass. Cells are split into blocks of
-limited size, so a hot cell is many tasks; equal vectors are searched once and their members expanded at the end, so a
+inequality only cells whose ball reaches into that bound are visited in the second pass. There, queries of nearby cells
+form groups of limited size; a group stays in its task while the points of all cells that any of its queries reaches pass
+by in a stream, so that what moves is the points times the groups of a key, and not the queries times the cells. Cells are
+split into blocks of limited size in the first pass, so a hot cell is many tasks; equal vectors are searched once and their members expanded at the end, so a
 vector that a third of the rows share costs no more than any other. No partner is dropped: the result is exact.
 """
 
@@ -27,6 +29,12 @@ CELL_ROWS = 1024
 MAX_PIVOTS = 20_000
 PIVOT_BYTES = 128 << 20
 CHUNK_CELLS = 1 << 22
+#: Groups of queries a key is dealt into, unless they were smaller than the least or larger than the most there may be.
+GROUPS = 16
+LEAST_GROUP = 256
+GROUP_BYTES = 16 << 20
+#: Tasks that the groups of all keys are dealt to, at most.
+MAX_TASKS = 2000
 SLACK = 1e-9
 
 
@@ -199,36 +207,198 @@ def _top_k(k: int, exclude_self: bool, empty: pa.Schema):
     return kernel
 
 
-def _reachable(pivots: dict[str, np.ndarray], radius: dict[str, np.ndarray], size: dict[str, np.ndarray]):
-    """Other cells that a query's bound reaches into."""
+def _along(pivots: np.ndarray) -> np.ndarray:
+    """Order of the pivots in which near ones mostly follow each other: halved along their widest axis again and again."""
+    parts, done = [np.arange(len(pivots))], []
+    while parts:
+        at = parts.pop()
+        if len(at) <= 1:
+            done.append(at)
+            continue
+        axis = pivots[at].var(0).argmax()
+        at = at[np.argsort(pivots[at, axis], kind="stable")]
+        parts += [at[len(at) // 2 :], at[: len(at) // 2]]
+    return np.concatenate(done)
+
+
+def _dealt(index: CellIndex, queries: DataFrame) -> tuple[DataFrame, int]:
+    """Group ``_g`` of the queries of every cell, and how many follow it if one cell has several; number of all groups."""
+    counts: dict[str, np.ndarray] = {}
+    for row in queries.groupBy("_k", "_cell").agg(F.count("*").alias("n")).collect():  # a row per pivot at most
+        counts.setdefault(row._k, np.zeros(len(index.pivots[row._k]), int))[row._cell] = row.n
+    rows, g = [], 0
+    for key, n in sorted(counts.items()):
+        most = max(LEAST_GROUP, GROUP_BYTES // (8 * index.pivots[key].shape[1]))
+        aim = min(most, max(LEAST_GROUP, -(-int(n.sum()) // GROUPS)))
+        held = 0
+        for c in _along(index.pivots[key]):
+            if held and held + n[c] > aim:
+                g, held = g + 1, 0
+            parts = int(-(-n[c] // most))
+            if parts:
+                rows.append((key, int(c), g, parts))
+                g, held = (g, held + int(n[c])) if parts == 1 else (g + parts, 0)
+        g += held > 0
+    return queries.sparkSession.createDataFrame(rows, "_k string, _cell int, _g int, _parts int"), g
+
+
+def sweep(queries: DataFrame, index: CellIndex, points: DataFrame, reach, visit, schema: T.StructType) -> DataFrame:
+    """Groups of queries, past each of which the points of all cells that any of its queries reaches are streamed.
+
+    ``reach`` gives positions and cells for the queries of a batch, in parts. ``visit(queries)`` is made once per group; its
+    ``meet(cell, points)`` sees a block of points of one cell at a time, and ``result()`` is what the group returns.
+    """
+    spark = queries.sparkSession
+    groups, n = _dealt(index, queries)
+    if not n:
+        return spark.createDataFrame([], schema)
+    asked = queries.join(groups, ["_k", "_cell"]).withColumn("_g", F.col("_g") + F.pmod(F.xxhash64("_id"), "_parts").cast("int")).drop("_parts")
+
+    def cells(batches):
+        for batch in batches:
+            g, keys = array(batch.column("_g")), batch.column("_k")
+            for part, cell in reach(batch):
+                pairs, first = np.unique(np.stack([g[part], cell]), axis=1, return_index=True)
+                yield pa.record_batch(
+                    [keys.take(pa.array(part[first], pa.int64())), pa.array(pairs[1].astype(np.int32)), pa.array(pairs[0].astype(np.int32))],
+                    names=["_k", "_cell", "_g"],
+                )
+
+    reached = asked.mapInArrow(cells, "_k string, _cell int, _g int").distinct()
+    passing = points.join(reached, ["_k", "_cell"]).withColumn("_passes", F.lit(True))
+    rows = asked.withColumn("_passes", F.lit(False)).unionByName(passing, allowMissingColumns=True)
+    tasks = min(n, MAX_TASKS)
+    dealt = rows.repartitionById(tasks, F.pmod("_g", F.lit(tasks))).sortWithinPartitions("_g", "_passes", "_cell")
 
     def run(batches):
+        group, held, state = None, [], None
+
+        def results():
+            if state is not None:
+                yield from state.result().to_batches()
+
         for batch in batches:
-            keys = np.asarray(batch.column("_k").to_pylist(), dtype=object)
-            own = array(batch.column("_cell"))
-            bound = array(batch.column("_bound"))
-            rows, cells = [], []
-            for key in set(keys):
-                if key not in pivots:
+            g, cell, passes = (array(batch.column(c)) for c in ("_g", "_cell", "_passes"))
+            if not len(g):
+                continue
+            cuts = np.flatnonzero((np.diff(g) != 0) | (np.diff(passes.astype(int)) != 0) | ((np.diff(cell) != 0) & passes[1:]))
+            starts = np.r_[0, cuts + 1]
+            for lo, hi in zip(starts, np.r_[starts[1:], len(g)]):
+                if g[lo] != group:
+                    yield from results()
+                    group, held, state = g[lo], [], None
+                if not passes[lo]:
+                    held.append(batch.slice(lo, hi - lo))
                     continue
-                at = np.flatnonzero(keys == key)
-                step = chunk_rows(len(pivots[key]))
-                for i in range(0, len(at), step):
-                    part = at[i : i + step]
-                    x = matrix(batch.column("_v").take(pa.array(part)))
-                    gap = np.sqrt(squared_distances(x, pivots[key])) - radius[key][None, :]
-                    limit = bound[part] * (1 + SLACK) + SLACK
-                    near = (gap <= limit[:, None] + SLACK) & (size[key] > 0)[None, :]
-                    r, c = np.nonzero(near)
-                    keep = c != own[part][r]
-                    rows.append(part[r[keep]])
-                    cells.append(c[keep])
-            take = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-            out = batch.take(pa.array(take, pa.int64()))
-            target = np.concatenate(cells) if cells else np.zeros(0, np.int64)
-            yield out.set_column(out.schema.get_field_index("_cell"), "_cell", pa.array(target.astype(np.int32)))
+                if state is None:
+                    state, held = visit(pa.Table.from_batches(held)), []
+                for i in range(lo, hi, BLOCK_ROWS):
+                    state.meet(int(cell[lo]), batch.slice(i, min(BLOCK_ROWS, hi - i)))
+        yield from results()
 
-    return run
+    return dealt.mapInArrow(run, schema)
+
+
+def _exact(q: np.ndarray, p: np.ndarray, r: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Distances of the pairs (r, c), by differences."""
+    out = np.empty(len(r))
+    step = max(1, CHUNK_CELLS // max(1, q.shape[1]))
+    for i in range(0, len(r), step):
+        diff = q[r[i : i + step]] - p[c[i : i + step]]
+        out[i : i + step] = np.sqrt((diff * diff).sum(1))
+    return out
+
+
+def _reachable(pivots: dict[str, np.ndarray], radius: dict[str, np.ndarray], size: dict[str, np.ndarray]):
+    """Other cells that a query's bound reaches into."""
+
+    def reach(batch):
+        keys = np.asarray(batch.column("_k").to_pylist(), dtype=object)
+        own, bound = array(batch.column("_cell")), array(batch.column("_bound"))
+        for key in set(keys):
+            if key not in pivots:
+                continue
+            at = np.flatnonzero(keys == key)
+            step = chunk_rows(len(pivots[key]))
+            for i in range(0, len(at), step):
+                part = at[i : i + step]
+                x = matrix(batch.column("_v").take(pa.array(part)))
+                gap = np.sqrt(squared_distances(x, pivots[key])) - radius[key][None, :]
+                limit = bound[part] * (1 + SLACK) + SLACK
+                near = (gap <= limit[:, None] + SLACK) & (size[key] > 0)[None, :]
+                r, c = np.nonzero(near)
+                keep = c != own[part][r]
+                yield part[r[keep]], c[keep]
+
+    return reach
+
+
+class _Nearest:
+    """The ``k`` nearest points outside their own cells of a group of queries."""
+
+    def __init__(self, queries: pa.Table, pivots, radius, k: int, empty: pa.Schema):
+        self.key = queries.column("_k")[0].as_py()
+        self.q, self.ids, self.own = matrix(queries.column("_v")), queries.column("_id").combine_chunks(), array(queries.column("_cell"))
+        self.bound = array(queries.column("_bound")).copy()
+        self.pivots, self.radius, self.k, self.empty = pivots[self.key], radius[self.key], k, empty
+        self.best = np.full((len(self.q), k), np.inf)
+        self.found: list[pa.Table] = []
+        self.rows, self.cell, self.gap = 0, None, None
+
+    def meet(self, cell: int, points: pa.RecordBatch) -> None:
+        if cell != self.cell:
+            self.cell, self.gap = cell, np.sqrt(squared_distances(self.q, self.pivots[cell : cell + 1]))[:, 0] - self.radius[cell]
+        limit = self.bound * (1 + SLACK) + 2 * SLACK
+        active = np.flatnonzero((self.gap <= limit) & (self.own != cell))
+        p = matrix(points.column("_v"))
+        for i in range(0, len(active), 512):
+            part = active[i : i + 512]
+            d2 = squared_distances(self.q[part], p)
+            # the product form is only a filter: everything within its error of the k-th value is measured exactly
+            limit = self.bound[part] ** 2
+            near = d2 <= (limit * (1 + SLACK) + SLACK)[:, None]
+            if np.count_nonzero(near) > 4 * self.k * len(part) and len(p) > self.k:
+                limit = np.minimum(limit, np.partition(d2, self.k - 1, axis=1)[:, self.k - 1])
+                near = d2 <= (limit * (1 + SLACK) + SLACK)[:, None]
+            r, c = np.nonzero(near)
+            if not len(r):
+                continue
+            d = _exact(self.q[part], p, r, c)
+            by = np.lexsort((d, r))
+            r, c, d = r[by], c[by], d[by]
+            first = np.searchsorted(r, r)
+            place = np.arange(len(r)) - first
+            some, at = np.unique(r, return_inverse=True)
+            new = np.full((len(some), self.k), np.inf)
+            new[at[place < self.k], place[place < self.k]] = d[place < self.k]
+            self.best[part[some]] = np.sort(np.concatenate([self.best[part[some]], new], axis=1), axis=1)[:, : self.k]
+            self.bound[part[some]] = np.minimum(self.bound[part[some]], self.best[part[some], -1])
+            keep = d <= self.bound[part[r]]  # equal distances stay: identifiers decide between them
+            take = pa.array(c[keep])
+            self.found.append(pa.table({"r": part[r[keep]], "d": d[keep], "p": points.column("_id").take(take), "m": points.column("_m").take(take)}))
+            self.rows += int(keep.sum())
+        if self.rows > 8 * self.k * len(self.q) + CHUNK_CELLS // 4:
+            self._compact()
+
+    def _compact(self) -> None:
+        if not self.found:
+            return
+        rows = pa.concat_tables(self.found)
+        rows = rows.filter(pa.array(array(rows.column("d")) <= self.bound[array(rows.column("r"))]))
+        rows = rows.take(pc.sort_indices(rows, [("r", "ascending"), ("d", "ascending"), ("p", "ascending")]))
+        r = array(rows.column("r"))
+        rows = rows.filter(pa.array(np.arange(len(r)) - np.searchsorted(r, r) < self.k))
+        self.found, self.rows = [rows.combine_chunks()], rows.num_rows
+
+    def result(self) -> pa.Table:
+        self._compact()
+        if not self.found:
+            return self.empty.empty_table()
+        rows = self.found[0]
+        return pa.table(
+            [pa.array([self.key] * rows.num_rows, pa.string()), self.ids.take(rows.column("r")), rows.column("p"), rows.column("m"), rows.column("d")],
+            schema=self.empty,
+        )
 
 
 def search(index: CellIndex, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
@@ -245,7 +415,8 @@ def search(index: CellIndex, queries: DataFrame, k: int, exclude_self: bool) ->
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    kernel = _top_k(k, exclude_self, to_arrow_schema(schema))
+    empty = to_arrow_schema(schema)
+    kernel = _top_k(k, exclude_self, empty)
     located = queries.select("_k", "_id", "_v", "_cell").withColumn("_bound", F.lit(float("inf")))
     first = meet(located, index, index.points, kernel, schema)
 
@@ -260,8 +431,11 @@ def search(index: CellIndex, queries: DataFrame, k: int, exclude_self: bool) ->
     known = head.select("_k", F.col("_q").alias("_id"), bound.alias("_known"))
     bounded = located.drop("_bound").join(known, ["_k", "_id"], "left")
     bounded = bounded.withColumn("_bound", F.coalesce("_known", F.lit(float("inf")))).drop("_known")
-    targets = bounded.mapInArrow(_reachable(index.pivots, index.radius, index.size), bounded.schema)
-    second = meet(targets, index, index.points, kernel, schema)
+    pivots, radius = index.pivots, index.radius
+    second = sweep(
+        bounded, index, index.points.select("_k", "_id", "_v", "_m", "_cell"), _reachable(pivots, radius, index.size),
+        lambda rows: _Nearest(rows, pivots, radius, k, empty), schema,
+    )
     flat = head.select("_k", "_q", F.explode("_list").alias("e")).select("_k", "_q", "e._p", "e._m", "e._d")
     return best(flat.unionByName(second))
 
