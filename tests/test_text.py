@@ -156,3 +156,30 @@ def test_summaries_fall_back(spark):
 def test_built_in_summary_is_short(views):
     rows = providers.summarize(views.incidents, "description")
     assert rows.where(text.word_count(F.col("combined_incidents_summary")) > 30).where("summary_source = 'built_in'").isEmpty()
+
+
+def test_words_of_a_batch_are_not_all_in_python_at_once():
+    """A batch of ten thousand texts: Python's memory follows some of them; nulls and empty texts keep their places."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    leading = []
+    made = F.arrow_udf
+    try:
+        F.arrow_udf = lambda kind: lambda f: leading.append(f) or made(kind)(f)
+        text.leading_words(F.lit("a"), 2)
+    except AssertionError:  # no session is needed for the function itself
+        pass
+    finally:
+        F.arrow_udf = made
+    rows = [[f"w{i}_{k}" for k in range(100)] + [f"w{i}_7"] for i in range(10_000)]
+    rows[3], rows[5] = None, []
+    words = pa.array(rows, pa.list_(pa.string())).slice(1)
+    del rows
+    tracemalloc.start()
+    got = leading[0](words).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0] == "w1_7 w1_0" and got[2] is None and got[4] == "" and got[-1] == "w9999_7 w9999_0"
+    assert peak < 20 << 20
