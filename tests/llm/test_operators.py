@@ -452,3 +452,16 @@ def test_shards_keep_the_order_of_the_mixture(spark, tmp_path):
     many = shards.placed(stages.in_order(mixed, "p"), bucket_bytes=2_000, place="p").collect()
     at = {i: k for k, i in enumerate(order)}
     assert all(at[a.doc_id] < at[b.doc_id] for a in many for b in many if a.shard == b.shard and a.slot < b.slot)
+
+
+def test_the_model_is_collected_in_columns(spark):
+    """The driver gets numbers in columns, not a row with a map per entry: its Python stays small."""
+    import tracemalloc
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    tracemalloc.start()
+    model = language.fit(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    entries = sum(len(keys) for keys, _ in model.tables.values())
+    assert entries > 5_000 and peak < (2 << 20) + 300 * entries

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.blocks import Words, blocks, code_points, keep_columns, mix, utf8
+from ticketloom.operators.arrow_blocks import array
 
 UNDETERMINED = "und"
 #: Bounds of the model: texts to learn from, words, and n-grams of each length. They bound what is learned, not what is
@@ -167,7 +168,8 @@ def fit(
     counts = rows.mapInArrow(count, "lang string, size int, hash long, n long").groupBy("size", "hash", "lang").agg(F.sum("n").alias("n"))
     counts.persist()  # read several times, then given back: the pipeline's next stages need the disk
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()
-    names = len({r["lang"] for r in totals})
+    languages = sorted({r["lang"] for r in totals})
+    names = len(languages)
     sizes = counts.groupBy("lang", "size", "n").agg(F.count("*").alias("k")).orderBy("lang", "size", F.desc("n")).collect()
     # of the entries at the level where a share ends, a part is taken by hash
     taken: dict[tuple[str, int], int] = {}
@@ -178,31 +180,28 @@ def fit(
         taken[part] = taken.get(part, 0) + r["k"]
         if left > 0:
             level[part] = (r["n"], 1 << 20 if r["k"] <= left else (left << 20) // r["k"])
-    kept = []
+    kept = None
     if level:
         at = F.element_at(F.create_map(*[x for (l, size), (n, part) in level.items() for x in (
             F.lit(f"{size} {l}"), F.struct(F.lit(n).alias("n"), F.lit(part).alias("part")))]), F.concat_ws(" ", F.col("size").cast("string"), "lang"))
         often = counts.where((F.col("n") > at["n"]) | ((F.col("n") == at["n"]) & (F.pmod("hash", F.lit(1 << 20)) < at["part"])))
         often = often.select("size", "hash").distinct()
         chosen = counts.join(often, ["size", "hash"], "left_semi")  # a row per language of at most as many entries as the model has
-        by = F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by")
-        kept = chosen.groupBy("size", "hash").agg(by).collect()
+        # plain numbers in columns: rows with a map each would be many times as large on the driver
+        code = F.element_at(F.create_map(*[F.lit(x) for k, l in enumerate(languages) for x in (l, k)]), F.col("lang"))
+        kept = chosen.select(F.col("size").cast("byte").alias("size"), "hash", code.cast("int").alias("lang"), "n").toArrow()
     counts.unpersist()
-    languages = sorted({r["lang"] for r in totals})
-    place = {x: k for k, x in enumerate(languages)}
     seen = {(r["lang"], r["size"]): r["n"] for r in totals}
+    size_, hash_, lang_, n_ = (np.zeros(0, np.int64) if kept is None else array(kept.column(c)) for c in ("size", "hash", "lang", "n"))
     tables = {}
     for size in range(LONGEST_GRAM + 1):
-        mine = [r for r in kept if r["size"] == size]
-        keys = np.array([r["hash"] for r in mine], np.int64).view(np.uint64)
-        table = np.zeros((len(mine), len(languages)))
-        for k, r in enumerate(mine):
-            for lang_, n in r["by"].items():
-                table[k, place[lang_]] = n
+        mine = size_ == size
+        keys, row = np.unique(hash_[mine].view(np.uint64), return_inverse=True)
+        table = np.zeros((len(keys), len(languages)))
+        table[row, lang_[mine]] = n_[mine]
         total = np.array([seen.get((x, size), 0) for x in languages], float)
-        order = np.argsort(keys)
         # what a language lacks costs the same in all of them, whatever the size of their samples
-        tables[size] = (keys[order], np.log(table[order] / np.maximum(total, 1) + SMOOTHING / max(1.0, total.max(initial=0))))
+        tables[size] = (keys, np.log(table / np.maximum(total, 1) + SMOOTHING / max(1.0, total.max(initial=0))))
     return Model(languages, tables)
 
 
