@@ -119,6 +119,48 @@ def test_json_repair(spark):
     assert json.loads(got[7].repaired) == {"k": "w", "z": "q"}
 
 
+def rewritten(text, pairs):
+    """Plain model of the token stages: commas between ``pairs``, none before a closing bracket, quotes around keys."""
+    import re
+
+    tokens = re.findall(r'"[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\],:]|[^\s"{}\[\],:]+|"', text)
+    kinds = [t if t in "{}[],:" else "s" if len(t) > 1 and t[0] == t[-1] == '"' else "w" for t in tokens]
+    out = []
+    for t, kind, before, after in zip(tokens, kinds, [",", *kinds], [*kinds[1:], ","]):
+        key = kind == "w" and after == ":" and re.fullmatch("[a-zA-Z0-9_]+", t)
+        body = f'"{t}"' if key else "" if kind == "," and after in "}]" else t
+        out.append("," * (before + kind in pairs) + body)
+    return "".join(out)
+
+
+def test_json_token_stages_without_arrays(spark):
+    """The token stages agree with a plain model and make no array of the tokens: one cost most of the job's time."""
+    import random
+
+    pieces = ['{', '}', '[', ']', ',', ':', '"', ' ', '\n', '\\', '\\"', '"x"', 'k: ', 'b1 :', '1', 'true', '?', '""', '"} {"', '$1']
+    dice = random.Random(14)
+    texts = ["".join(dice.choices(pieces, k=dice.randint(0, 20))) for _ in range(3000)] + ["", " ", '"', '\\"']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pairs in (json_repair.STRUCTURAL_PAIRS, json_repair.COMMA_PAIRS):
+        got = df.select("t", json_repair._separated(json_repair._keyed(F.col("t")), pairs).alias("r")).collect()
+        assert [r for r in got if r.r != rewritten(r.t, pairs)] == []
+    plan = json_repair.repair(df, "t")._jdf.queryExecution().optimizedPlan().toString()
+    ladder = [line for line in plan.splitlines() if "AS _s3" in line or "AS _s4" in line]
+    assert len(ladder) == 2 and not any("lambda" in line for line in ladder)
+    assert "arrays_zip(slice" not in plan
+
+
+def test_json_repair_reads_quotes_that_open_nothing_once(spark):
+    """Escaped quotes outside any string: none may look for its end through the rest of the text."""
+    import time
+
+    text = "{" + '\\"a\\": 1, ' * 60000 + "} {"
+    start = time.perf_counter()
+    df = spark.createDataFrame([(text,)], "t string").select(json_repair._separated(json_repair._keyed(F.col("t")), ("}{",)).alias("r"))
+    assert df.select(F.length("r")).first()[0] == 1 + 60000 * 8 - 1 + 3
+    assert time.perf_counter() - start < 15
+
+
 def test_required_keys(spark):
     values = ['{"a": 1, "b": 2}', '{"a": 1}', "{}", None]
     assert column(spark, values, lambda c: json_repair.validate(c, ["a", "b"])) == [

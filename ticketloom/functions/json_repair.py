@@ -6,6 +6,8 @@ result parses wins and is named in ``repair_stage``. Nothing leaves the JVM and
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +17,21 @@ STRUCTURAL_PAIRS = ("}{", "s{", "}s", "][", "]{", "}[")
 COMMA_PAIRS = STRUCTURAL_PAIRS + ("ss", "]s", "s[", "ws", "sw")
 TOPIC_PATTERN = r'"([^"]+)":\s*\{\s*"topic":\s*"([^"]*)"(?:[^}]*)"description":\s*"([^"]*)"'
 PAIR_PATTERN = r'"([^"]+)":\s*"([^"]+)"'
-TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\],:]|[^\s"{}\[\],:]+|"'
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+BLANK = r" \t\n\x0B\f\r"  # written out, because a class that names \s is slower
+WORD = rf'[^{BLANK}"{{}}\[\],:]++'
+TOKENS = {"s": STRING, "w": WORD, **{c: re.escape(c) for c in "{}[],:"}}
+BARE_KEY = r"[a-zA-Z0-9_]++[\u2028\u2029]?+(?=\s*+:)"
+QUOTE = "\u0001"  # stands for quotes that bound no string of the text, which has lost its control characters by then
+# up to the next quote that opens no string; behind such a quote an escaped one opens none either and is not tried
+UP_TO_LOOSE_QUOTE = rf'\G((?!^)[^"\\]*+(?:\\(?!").[^"\\]*+)*+\\|(?:[^"]++|{STRING})*+)"'
 END_DATE_PATTERN = r'"end_date\\?":\s*\\?"([^"\\]+)'
 
 
 def is_json(text: Column) -> Column:
     """Whether the whole text is one document; the parser alone would accept anything after a first one."""
-    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
-    return F.try_parse_json(text).isNotNull() & F.coalesce(alone, F.lit(False))
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1  # first: it costs less where it fails
+    return F.coalesce(alone, F.lit(False)) & F.try_parse_json(text).isNotNull()
 
 
 def unquote(text: Column) -> Column:
@@ -42,11 +51,17 @@ def run_end(details: Column) -> Column:
     return F.when(found != "", found)
 
 
-def _close(text: Column) -> Column:
+def _skeleton(bare: Column) -> Column:
+    """Brackets outside strings of a text without escapes, less those that close each other within three levels."""
+    pair = r"\{\}|\[\]"
+    for _ in range(2):
+        pair = rf"\{{(?:{pair})*+\}}|\[(?:{pair})*+\]"
+    return F.regexp_replace(F.regexp_replace(bare, r'(?:[^{}\[\]"]++|"[^"]*+(?:"|$))++', ""), pair, "")
+
+
+def _close(text: Column, bare: Column, skeleton: Column) -> Column:
     """Close an open string and every open bracket, innermost first."""
-    bare = F.regexp_replace(text, r"\\.", "")
-    open_string = F.length(F.regexp_replace(bare, r'[^"]', "")) % 2 == 1
-    skeleton = F.regexp_replace(F.regexp_replace(bare, r'"[^"]*("|$)', ""), r"[^{}\[\]]", "")
+    open_string = (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))) % 2 == 1
 
     def step(stack: Column, c: Column) -> Column:
         top = F.right(stack, F.lit(1))
@@ -58,38 +73,31 @@ def _close(text: Column) -> Column:
         )
 
     left_open = F.aggregate(F.split(skeleton, ""), F.lit(""), step)
-    return F.concat(text, F.when(open_string, '"').otherwise(""), F.translate(F.reverse(left_open), "{[", "}]"))
-
+    closing = F.when(skeleton == "", "").otherwise(F.translate(F.reverse(left_open), "{[", "}]"))
+    return F.concat(text, F.when(open_string, '"').otherwise(""), closing)
 
-def _tokens(text: Column) -> Column:
-    """Tokens with their kinds: strings are tokens as a whole (s), brackets and separators are their own kind, else w."""
 
-    def kind(token: Column) -> Column:
-        whole = F.startswith(token, F.lit('"')) & F.endswith(token, F.lit('"')) & (F.length(token) > 1)
-        return F.struct(token.alias("t"), F.when(whole, "s").when(token.isin(*"{}[],:"), token).otherwise("w").alias("k"))
+def _keyed(text: Column) -> Column:
+    """Write ``QUOTE`` for quotes that open no string, and around bare keys; what carries it belongs to a word."""
+    loose = F.regexp_replace(text, UP_TO_LOOSE_QUOTE, f"$1{QUOTE}")
+    others = rf'{STRING}|[{{}}\[\],:{QUOTE}]|(?!{BARE_KEY})[^{BLANK}"{{}}\[\],:{QUOTE}]++'
+    return F.regexp_replace(loose, rf"\G((?:\s*+(?:{others}))*+\s*+)({BARE_KEY})", f"$1{QUOTE}$2{QUOTE}")
 
-    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), kind)
 
+def _separated(keyed: Column, pairs: tuple[str, ...]) -> Column:
+    """Add missing commas, leave out trailing ones and blanks between tokens, and write plain quotes again.
 
-def _retokened(tokens: Column, pairs: tuple[str, ...]) -> Column:
-    """Put a text together again from its tokens: missing commas added, trailing ones left out, bare keys quoted.
-
-    Nothing inside a string is touched; blanks between tokens go.
+    Strings are tokens as a whole (s), brackets and separators are their own kind, else w; nothing inside a string is
+    touched. Every match goes from the last place of a comma to the next one, so a text is read once.
     """
-
-    def rebuilt(e: Column) -> Column:
-        before, token, kind, after = e["before"]["k"], e["token"]["t"], e["token"]["k"], e["after"]["k"]
-        bare_key = (kind == "w") & (after == ":") & token.rlike("^[a-zA-Z0-9_]+$")
-        comma = F.concat(before, kind).isin(*pairs)
-        trailing = (kind == ",") & after.isin("}", "]")
-        body = F.when(bare_key, _quoted(token)).when(trailing, F.lit("")).otherwise(token)
-        return F.when(comma, F.concat(F.lit(","), body)).otherwise(body)
-
-    edge = F.array(F.struct(F.lit(",").alias("t"), F.lit(",").alias("k")))  # before the first and behind the last token
-    before = F.slice(F.concat(edge, tokens), 1, F.size(tokens))
-    after = F.slice(F.concat(tokens, edge), 2, F.size(tokens))
-    rows = F.arrays_zip(before.alias("before"), tokens.alias("token"), after.alias("after"))
-    return F.array_join(F.transform(rows, rebuilt), "")
+    follow = {k: "|".join(TOKENS[after] for after in TOKENS if k + after in pairs) for k in TOKENS}
+    quiet = "".join(TOKENS[k] for k in "{}[],:" if not follow[k])  # no comma is missing behind these, nor behind blanks
+    loud = "".join(TOKENS[k] for k in "{}[],:" if follow[k])
+    run = rf"[{BLANK}{quiet}]++" if follow["w"] else rf'[^"{loud}]++'
+    apart = "|".join(rf"{TOKENS[k]}(?!\s*+(?:{follow[k]}))" for k in TOKENS if follow[k])
+    commas = F.regexp_replace(keyed, rf"\G((?:{run}|{apart})*+(?:{STRING}|[{loud}]|{WORD}))", "$1,")
+    kept = rf'(?:[^{BLANK}",]++|{STRING}|,(?!\s*+[}}\]]))++'
+    return F.replace(F.regexp_replace(commas, rf"({kept})|\s++|,", "$1"), F.lit(QUOTE), F.lit('"'))
 
 
 def _entries(keys: Column, values: Column) -> Column:
@@ -154,23 +162,30 @@ def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
     pairs = _entries(_groups(c3, PAIR_PATTERN, 1), F.transform(_groups(c3, PAIR_PATTERN, 2), _quoted))
     stages = (
         ("none", raw),
-        ("closed", _close(F.col("_s0"))),
+        ("closed", _close(F.col("_s0"), F.col("_bare"), F.col("_skeleton"))),
         ("printable", F.regexp_replace("_s1", r"[^\P{C}\n\r\t]", "")),
-        ("structure", _retokened(F.col("_tokens"), STRUCTURAL_PAIRS)),
-        ("commas", _retokened(F.col("_tokens"), COMMA_PAIRS)),
+        ("structure", _separated(F.col("_keyed"), STRUCTURAL_PAIRS)),
+        ("commas", _separated(F.col("_keyed"), COMMA_PAIRS)),
         ("outer_object", F.regexp_extract("_s3", r"(?s)(\{.*\})", 1)),
         ("topics", topics),
         ("objects", merged),
         ("pairs", pairs),
     )
-    # a row that parses leaves the ladder: later rewrites are only worked out for rows still broken
+    read_twice = {
+        "closed": {"_bare": F.regexp_replace("_s0", r"\\.", ""), "_skeleton": _skeleton(F.col("_bare"))},
+        "structure": {"_keyed": _keyed(F.col("_s2"))},
+    }
+    # a row that parses leaves the ladder: later rewrites are only worked out for rows still broken, and only parsed
+    # where they changed the text
     staged = df.withColumn("repair_stage", F.lit(None).cast("string")).withColumn(out, F.lit(None).cast("string"))
     for i, (name, rewritten) in enumerate(stages):
-        now = F.col("repair_stage").isNull() & F.coalesce(is_json(F.col(f"_s{i}")), F.lit(False))
-        if name == "structure":  # read by two stages
-            staged = staged.withColumn("_tokens", F.when(F.col("repair_stage").isNull(), _tokens(F.col("_s2"))))
+        broken = F.col("repair_stage").isNull()
+        changed = F.lit(True) if i == 0 else F.coalesce(F.col(f"_s{i}") != F.col(f"_s{min(i - 1, 3)}"), F.lit(False))
+        now = broken & changed & F.coalesce(is_json(F.col(f"_s{i}")), F.lit(False))
+        for helper, value in read_twice.get(name, {}).items():
+            staged = staged.withColumn(helper, F.when(broken, value))
         staged = (
-            staged.withColumn(f"_s{i}", F.when(F.col("repair_stage").isNull(), rewritten))
+            staged.withColumn(f"_s{i}", F.when(broken, rewritten))
             .withColumn("_now", now)
             .withColumn(out, F.when(F.col("_now"), F.col(f"_s{i}")).otherwise(F.col(out)))
             .withColumn("repair_stage", F.when(F.col("_now"), name).otherwise(F.col("repair_stage")))
@@ -178,7 +193,7 @@ def repair(df: DataFrame, column: str, out: str = "repaired") -> DataFrame:
     return (
         staged.withColumn("repair_stage", F.coalesce("repair_stage", F.lit("lost")))
         .withColumn(out, F.coalesce(out, F.lit("{}")))
-        .drop("_now", "_tokens", *[f"_s{i}" for i in range(len(stages))])
+        .drop("_now", "_bare", "_skeleton", "_keyed", *[f"_s{i}" for i in range(len(stages))])
     )
 
 
