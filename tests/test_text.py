@@ -134,7 +134,7 @@ def rewritten(text, pairs):
 
 
 def test_json_token_stages_without_arrays(spark):
-    """The token stages agree with a plain model and make no array of the tokens: one cost most of the job's time."""
+    """The token stages agree with a plain model and make no array of the tokens: it took half of the time."""
     import random
 
     pieces = ['{', '}', '[', ']', ',', ':', '"', ' ', '\n', '\\', '\\"', '"x"', 'k: ', 'b1 :', '1', 'true', '?', '""', '"} {"', '$1']
